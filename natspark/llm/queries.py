@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from natspark.llm import packing
-from natspark.llm.common import documents
+from natspark.llm import exact, grammar, packing, quality
+from natspark.llm.common import documents, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +17,23 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op5_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    grammar.write_ids(documents(spark, sf_dir), path)
+    return grammar.read_ids(spark, path)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.decisions(documents(spark, sf_dir)).drop("n_chars")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_packing,)}
+    return {f.__name__: f for f in (op3_packing, op5_grammar, op6_quality, op7_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_quality": quality.oracle(), "op7_exact_dedup": exact.ORACLE}
