@@ -6,17 +6,29 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from natspark.llm import exact, grammar, packing, quality
-from natspark.llm.common import documents, shared_dir
+from natspark.llm import exact, grammar, mixing, packing, quality, simhash
+from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(stored(docs, "sizes"), F.col("size"))
+    return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.grouped(documents(spark, sf_dir))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
     grammar.write_ids(documents(spark, sf_dir), path)
@@ -32,7 +44,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_packing, op5_grammar, op6_quality, op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_mixing, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
