@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import exact, grammar, mixing, packing, quality, simhash
+from natspark.llm import exact, grammar, language, mixing, packing, quality, simhash, toxicity
 from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,8 +43,22 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decisions(documents(spark, sf_dir)).drop("n_chars")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    score = F.col("score")
+    return toxicity.scored(docs, lexicon).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identified(docs, language.learn(docs))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_mixing, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op9_toxicity, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
