@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import exact, grammar, language, mixing, packing, quality, simhash, toxicity
+from natspark.llm import exact, grammar, language, mixing, packing, quality, simhash, substrings, toxicity
 from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.decisions(documents(spark, sf_dir)).drop("n_chars")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(documents(spark, sf_dir)).drop("kept_text")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -58,7 +62,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op9_toxicity, op10_language)}
+    return {f.__name__: f for f in (op1_mixing, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op8_substrings, op9_toxicity, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
