@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from natspark.llm.common import GAP, free_name, stored
 
-#: Letters, digits and signs whose code is 3 modulo 8, in the Latin, Greek and Cyrillic ranges.
-_CLASS = "".join(rf"\x{{{c:X}}}" for c in range(0x23, 0x450) if c % 8 == 3)
+#: Latin letters, digits and signs whose code is 3 modulo 8, and an eighth of the Han and Hangul signs, as ranges.
+_CLASS = "".join(rf"\x{{{c:X}}}" for c in range(0x23, 0x100) if c % 8 == 3) + r"\x{4E00}-\x{57FF}\x{AC00}-\x{B1FF}"
 CHUNK = rf"(?s).{{251,4091}}?[{_CLASS}].[{_CLASS}].[{_CLASS}]|.{{1,4096}}"
 
 
@@ -39,14 +39,16 @@ def chunk_store(docs: DataFrame) -> DataFrame:
     return parts.groupBy(F.xxhash64("chunk").alias("hash"), "chunk").agg(F.count(F.lit(1)).alias("uses"))
 
 
-def _collided(store: DataFrame) -> DataFrame:
-    """``hash, chunk, ordinal`` of chunks that share their hash with a smaller chunk; as good as always empty."""
-    chunk = store.select("hash", "chunk")
-    shared = chunk.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    both = chunk.join(shared, "hash")
-    smaller = both.select("hash", F.col("chunk").alias("other"))
-    pairs = both.join(smaller, "hash").where("other < chunk")
-    return pairs.groupBy("hash", "chunk").agg(F.count(F.lit(1)).cast("int").alias("ordinal"))
+def _collided(docs: DataFrame) -> DataFrame | None:
+    """``hash, chunk, ordinal`` of chunks that share their hash with a smaller chunk. That no two do is the rule, which
+    is verified over all chunks in one pass; only if some do is there another over the chunks of their hashes."""
+    shared = chunk_store(docs).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    shared = stored(shared, "shared")
+    if shared.isEmpty():
+        return None
+    chunk = stored(chunk_store(docs).join(shared, "hash", "left_semi").select("hash", "chunk"), "doubtful")
+    pairs = chunk.join(chunk.select("hash", F.col("chunk").alias("other")), "hash").where("other < chunk")
+    return stored(pairs.groupBy("hash", "chunk").agg(F.count(F.lit(1)).cast("int").alias("ordinal")), "collided")
 
 
 def recipes(docs: DataFrame) -> DataFrame:
@@ -57,10 +59,11 @@ def recipes(docs: DataFrame) -> DataFrame:
     hashes = F.transform(chunks(F.col("plain")), lambda c: F.xxhash64(c))
     made = read.select("doc_id", "n_chars", F.sha2("plain", 256).alias("text_sha256"), hashes.alias("recipe"), F.monotonically_increasing_id().alias("row"))
     made = stored(made, "recipes")
-    collided = stored(_collided(chunk_store(text)), "collided")
-    placed = text.select("doc_id", F.posexplode(chunks(normalised(F.col("text")))).alias("at", "chunk"), F.sha2(normalised(F.col("text")), 256).alias("text_sha256")) if not collided.isEmpty() else None
-    if placed is None:
+    collided = _collided(text)
+    if collided is None:
         return made.withColumn("marks", F.array().cast("array<struct<at:int,ordinal:int>>"))
+    plain = normalised(F.col("text"))
+    placed = text.select(F.posexplode(chunks(plain)).alias("at", "chunk"), F.sha2(plain, 256).alias("text_sha256"))
     placed = placed.withColumn("hash", F.xxhash64("chunk")).join(collided, ["hash", "chunk"])
     marks = placed.groupBy("text_sha256").agg(F.array_sort(F.collect_set(F.struct("at", "ordinal"))).alias("marks"))
     joined = made.join(marks, "text_sha256", "left")
