@@ -1 +1 @@
-
+"""Column functions: addresses, times, names."""

@@ -1 +1 @@
-
+"""The registered queries: inputs derived from the given tables, Spark plans and their SQL."""

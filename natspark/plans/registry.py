@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from natspark.plans import report_queries
+
 
 def queries() -> dict:
-    return {}
+    return dict(report_queries.ALL)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(report_queries.SQL)

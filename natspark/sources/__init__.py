@@ -1 +1 @@
-
+"""Readers and writers of sessions, packets and batches."""

@@ -1 +1 @@
-
+"""Structured Streaming forms of ingest, dedup and incidents."""
