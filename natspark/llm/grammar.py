@@ -31,14 +31,15 @@ from natspark.llm.tokens import END_ID, blocks, encoder
 
 SHARD_IDS = 1 << 20
 SEGMENT_IDS = 1 << 19
-ROUNDS = 4
+#: Rounds of a segment; more, up to the second number, as long as each saves a quarter.
+ROUNDS, MORE_ROUNDS = 4, 24
 PAIRS_PER_ROUND = 8192
 #: A rule must replace so many pairs to be kept, and a round so large a share of the symbols to be followed by another.
 LEAST_USES, LEAST_GAIN = 4, 0.03
 MAGIC = b"NGR1"
 SHARDS = "part int, shard int, n_docs long, n_ids long, payload binary"
 _HEAD, _SEGMENT = struct.Struct("<4sQI"), struct.Struct("<QIIQII")
-_BITS = 20
+_BITS = 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int32(2**31 - 1)
 
@@ -74,15 +75,19 @@ def _round(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
 
 def compress(ids: np.ndarray) -> bytes:
     """One segment."""
-    terminals, seq = np.unique(ids, return_inverse=True)
-    seq = seq.astype(np.uint32)
+    number = np.zeros(int(ids.max(initial=0)) + 1, np.uint32)
+    number[ids] = 1
+    terminals = np.flatnonzero(number)
+    number[terminals] = np.arange(len(terminals))
+    seq = number[ids]
     rules, rounds = [np.empty(0, np.uint64)], []
     base = len(terminals)
-    while len(seq) > 1 and len(rounds) < ROUNDS:
+    while len(seq) > 1 and len(rounds) < MORE_ROUNDS:
         shorter, pairs = _round(seq, base)
         if not len(pairs):
             break
-        done = len(seq) - len(shorter) < LEAST_GAIN * len(seq)
+        least = LEAST_GAIN if len(rounds) + 1 < ROUNDS else 0.25
+        done = len(seq) - len(shorter) < least * len(seq)
         seq, base = shorter, base + len(pairs)
         rules.append(pairs)
         rounds.append(len(pairs))
