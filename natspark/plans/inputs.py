@@ -59,7 +59,7 @@ FROM {{events}}
 
 _TICKS = f"""
 SELECT 'host-' || CAST(user_id % 20 AS STRING) AS host, 'drops' AS alert,
-  {S} + 10 * row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) AS tick,
+  CAST({S} AS BIGINT) + 10 * row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) AS tick,
   value / 100 AS indicator, event_id % 11 <> 0 AS valid, event_id % 5 AS denominator
 FROM {{events}}
 """

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from natspark.plans import report_queries
+from natspark.plans import health_queries, report_queries
 
 
 def queries() -> dict:
-    return dict(report_queries.ALL)
+    return report_queries.ALL | health_queries.ALL
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(report_queries.SQL)
+    return report_queries.SQL | health_queries.SQL
