@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_DOTTED = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
+_DOTTED = rf"\A{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
 
 
 def ip_to_long(text: Column, strict: bool = False) -> Column:
