@@ -33,10 +33,14 @@ def chunks(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
+def chunk_hash(chunk: Column) -> Column:
+    return F.xxhash64(chunk)
+
+
 def chunk_store(docs: DataFrame) -> DataFrame:
     """``hash, chunk, uses``: each distinct chunk once."""
     parts = docs.select(F.explode(chunks(normalised(F.col("text")))).alias("chunk"))
-    return parts.groupBy(F.xxhash64("chunk").alias("hash"), "chunk").agg(F.count(F.lit(1)).alias("uses"))
+    return parts.groupBy(chunk_hash(F.col("chunk")).alias("hash"), "chunk").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def _collided(docs: DataFrame) -> DataFrame | None:
@@ -56,7 +60,7 @@ def recipes(docs: DataFrame) -> DataFrame:
     hashes and, where a hash isn't unique, (position, ordinal)."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     read = text.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), normalised(F.col("text")).alias("plain"))
-    hashes = F.transform(chunks(F.col("plain")), lambda c: F.xxhash64(c))
+    hashes = F.transform(chunks(F.col("plain")), lambda c: chunk_hash(c))
     made = read.select("doc_id", "n_chars", F.sha2("plain", 256).alias("text_sha256"), hashes.alias("recipe"), F.monotonically_increasing_id().alias("row"))
     made = stored(made, "recipes")
     collided = _collided(text)
@@ -64,7 +68,7 @@ def recipes(docs: DataFrame) -> DataFrame:
         return made.withColumn("marks", F.array().cast("array<struct<at:int,ordinal:int>>"))
     plain = normalised(F.col("text"))
     placed = text.select(F.posexplode(chunks(plain)).alias("at", "chunk"), F.sha2(plain, 256).alias("text_sha256"))
-    placed = placed.withColumn("hash", F.xxhash64("chunk")).join(collided, ["hash", "chunk"])
+    placed = placed.withColumn("hash", chunk_hash(F.col("chunk"))).join(collided, ["hash", "chunk"])
     marks = placed.groupBy("text_sha256").agg(F.array_sort(F.collect_set(F.struct("at", "ordinal"))).alias("marks"))
     joined = made.join(marks, "text_sha256", "left")
     return joined.withColumn("marks", F.coalesce("marks", F.array().cast("array<struct<at:int,ordinal:int>>")))
