@@ -33,7 +33,7 @@ from natspark.llm.common import free_name, stored
 SAMPLE_ROWS, ENTRIES = 6000, 5000
 PREFIXES = range(4, 9)
 #: An entry is in this share of the toxic sample at least, in so many of its documents, and has this weight.
-LEAST_SHARE, LEAST_DOCS, LEAST_WEIGHT = 0.01, 4, 3.0
+LEAST_SHARE, LEAST_DOCS, LEAST_WEIGHT = 0.01, 4, 2.0
 
 # Letters of other scripts, digits and signs, and the Latin letters they are used for.
 LOOK_ALIKES = {
@@ -120,7 +120,8 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     share = F.lit(-1.0)
     for label, n in counts.items():
         share = F.when(F.col("toxic") == label, min(1.0, rows / n) * 1_000_000).otherwise(share)
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known.where(place < share), "doc_id").select("text", "toxic")
+    chosen = known.where(place < share).limit(4 * rows)  # twice what is expected: the proven bound of what is broadcast
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
 def _counted(sample: DataFrame, wanted: set[str] | None) -> DataFrame:
