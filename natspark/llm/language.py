@@ -88,7 +88,7 @@ def marginals(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray,
     e = np.ones((strips * STRIP, k))
     e[:n] = np.exp(evidence - evidence.max(1, keepdims=True))
     e = e.reshape(strips, STRIP, k)
-    opens = np.zeros(strips * STRIP, bool)
+    opens = np.ones(strips * STRIP, bool)  # what fills up the last strip is forgotten at once
     opens[:n] = first
     opens = opens.reshape(strips, STRIP)
     a, pi = np.exp(transitions - transitions.max()), np.exp(start - start.max())

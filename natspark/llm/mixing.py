@@ -78,7 +78,7 @@ def _tilt(bins: Column, mean: Column, target: Column, cap: int) -> Column:
             low = F.when(at["f"] < target, s["tilt"]).otherwise(s["low"])
             high = F.when(at["f"] < target, s["high"]).otherwise(s["tilt"])
             newton = s["tilt"] - F.try_divide(at["f"] - target, at["h"])
-            inside = F.coalesce((newton > low) & (newton < high), F.lit(False))
+            inside = F.coalesce((newton >= low) & (newton <= high), F.lit(False))
             return F.struct(F.when(inside, newton).otherwise((low + high) / 2).alias("tilt"), low.alias("low"), high.alias("high"))
 
         return F.element_at(F.transform(F.array(sums(s["tilt"])), moved), 1)

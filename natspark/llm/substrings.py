@@ -1,14 +1,17 @@
 """Substring dedup: repeated word windows, found with a count-min prefilter and grouped exactly.
 
 A window is a run of words. Each window has an anchor, the least hash of the ten-word grams inside it, which it shares
-with every equal window; a text has far fewer anchors than windows. In the first pass each partition sketches the
-anchors of its texts, and the sketches are merged cell by cell; a cell counts, up to two, the texts that fall into it.
-All rows of the sketch overestimate, so no repeated window is lost. The second pass emits only windows whose anchor is
-estimated to be in two texts, and groups them exactly by a 128-bit hash. Repeats inside one text are found in the text.
+with every equal window; neighbouring windows mostly share theirs, so a text is a short list of runs of windows.
 
-The merged sketch says for each cell only whether it counts two, so its size is fixed: ``ROWS * CELLS`` bits, which is
-what is broadcast whatever the input. With more anchors than cells it passes more windows to the second pass, which is
-exact for any number; work stays in proportion to the input.
+First pass: each partition sketches the anchors of its texts, and the sketches are merged cell by cell; a cell counts, up
+to two, the texts that fall into it. All rows of the sketch overestimate, so no repeated window is lost. Second pass: runs
+whose anchor is estimated to be in two texts are grouped exactly. Whole runs go first, by a 128-bit hash of all
+their words: a run that an earlier text has too is repeated window by window, which settles all but the edges of
+copied passages. Only the windows of anchors that have different runs are then grouped one by one, by 96 bits. Repeats
+inside one text are found where the text is read.
+
+What is broadcast are bit sets of a fixed size, whatever the input. With more anchors than cells they pass more to the
+exact steps, which stay in proportion to the input.
 
 A window is removed if an equal one starts earlier, in a smaller doc_id or before it in the same text. Defined cases:
 null text has no words; rows with one doc_id do not precede each other, and rows without doc_id come last; texts shorter
@@ -17,6 +20,7 @@ than a window stay; an empty table gives an empty result; extra columns are igno
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -30,11 +34,12 @@ from natspark.llm.common import stored
 from natspark.llm.tokens import blocks
 
 WINDOW, GRAM = 20, 10
-#: Cells of a row of the sketch, and rows: together 16 MB of bits. Cells travel in slices.
-CELLS, ROWS, SLICE = 1 << 26, 2, 1 << 18
+#: Cells of a row of the sketch, and rows: together 32 MB of bits. Cells travel in slices.
+CELLS, ROWS, SLICE = 1 << 27, 2, 1 << 19
 #: Multipliers of the two rolling hashes, both odd and so with inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
+_SIZE = 12  # bytes of a window's hash
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -60,175 +65,248 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.uint64), n
 
 
+@functools.lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, out=out)
+
+
+def _summed(h: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``h[k] base**k`` up to each word, and the inverse powers that bring their differences to one power."""
+    room = 1 << max(16, len(h).bit_length())
+    return np.concatenate([[np.uint64(0)], np.cumsum(h * _powers(base, room)[: len(h)])]), _powers(pow(base, -1, 1 << 64), room)
+
+
 def rolling(h: np.ndarray, size: int, base: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` words: differences of sums of ``h[k] base**k``, brought to one power."""
-    n = len(h)
-    if n < size:
+    """Hashes of all runs of ``size`` words."""
+    if len(h) < size:
         return np.empty(0, np.uint64)
-    powers = np.full(n, base, np.uint64)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    back = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(h * powers)])
-    return mixed((sums[size:] - sums[:-size]) * back[: n - size + 1])
+    sums, back = _summed(h, base)
+    return mixed((sums[size:] - sums[:-size]) * back[: len(h) - size + 1])
 
 
 def anchors(h: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """The anchor of every window of a text."""
+    """The anchor of every window."""
     low = rolling(h, gram, _BASES[0])
-    width = window - gram + 1
-    have = 1
-    while have < width:  # doubling: low[i] is the least of so many grams from i on
+    width, have = window - gram + 1, 1
+    while have < width and len(low):  # doubling: low[i] is the least of so many grams from i on
         step = min(have, width - have)
         low = np.minimum(low[:-step], low[step:])
         have += step
     return low
 
 
+class Runs:
+    """The runs of windows of the texts of a block: ``text``, ``start`` (in the block's words), ``size`` and ``anchor``
+    of each. A run has one anchor and at most as many windows as grams in a window."""
+
+    def __init__(self, block: pa.RecordBatch, window: int, gram: int):
+        self.h, self.n = word_hashes(block.column("text"))
+        self.stop = np.cumsum(self.n)
+        self.begin = self.stop - self.n
+        anchor = anchors(self.h, window, gram)
+        of = np.repeat(np.arange(len(self.n)), self.n)[: len(anchor)]
+        valid = np.arange(len(anchor)) + window <= self.stop[of]
+        new = np.ones(len(anchor), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])
+        head = np.flatnonzero(new & valid)
+        ends = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)[: len(anchor)]) + 1 if len(anchor) else head
+        size, most = ends - head, window - gram + 1
+        if len(size) and size.max() > most:  # a text that repeats itself
+            parts = -(-size // most)
+            within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            size = np.minimum(np.repeat(size, parts) - within * most, most)
+            head = np.repeat(head, parts) + within * most
+        self.text, self.start, self.size, self.anchor = of[head], head, size, anchor[head]
+
+    def spans(self, chosen: np.ndarray, window: int, base: int) -> np.ndarray:
+        """Hashes of all words of the chosen runs, and of their number."""
+        sums, back = _summed(self.h, base)
+        a, words = self.start[chosen], self.size[chosen] + window - 1
+        return mixed(mixed((sums[a + words] - sums[a]) * back[a]) + words.astype(np.uint64))
+
+
 def cells(anchor: np.ndarray, row: int, n_cells: int) -> np.ndarray:
     salt = np.uint64((row + 1) * _BASES[1] % (1 << 64))
     return (mixed(anchor + salt) & np.uint64(n_cells - 1)).astype(np.int64)
 
 
-def _texts(block: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
-    h, n = word_hashes(block.column("text"))
-    stops = np.cumsum(n)
-    for doc_id, a, b in zip(block.column("doc_id").to_pylist(), (stops - n).tolist(), stops.tolist()):
-        yield doc_id, h[a:b]
+def hit(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Which anchors are set in all rows of a bit set."""
+    found = np.ones(len(anchor), bool)
+    for row in range(len(bits)):
+        cell = cells(anchor, row, bits.shape[1] * 8)
+        found &= bits[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1 > 0
+    return found
 
 
-def sketch(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: int = CELLS, rows: int = ROWS) -> np.ndarray:
-    """The merged sketch as bits, ``rows`` by ``n_cells``: set where two texts fall into a cell. A partition sends, per
-    slice, the cells that it counts once and those that it counts twice."""
+def _slices(anchor: np.ndarray, n_cells: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """The cells of these anchors by slice, and which of them are hit twice."""
     width = min(SLICE, n_cells)
+    for row in range(rows):
+        place, count = np.unique(cells(anchor, row, n_cells), return_counts=True)
+        cut = np.searchsorted(place, np.arange(0, n_cells + 1, width)).tolist()
+        out = [(row * (n_cells // width) + k, (place[a:b] - k * width).astype(np.uint32).tobytes(), np.packbits(count[a:b] > 1).tobytes()) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))], names=["slice", "cells", "twice"])
 
-    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            for row in range(rows):
-                place, count = np.unique(cells(np.concatenate(held), row, n_cells), return_counts=True)
-                cut = np.searchsorted(place, np.arange(0, n_cells + 1, width))
-                out = [(row * (n_cells // width) + k, (place[a:b] - k * width).astype(np.uint32).tobytes(), np.packbits(count[a:b] > 1).tobytes())
-                       for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if a < b]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))], names=["slice", "cells", "twice"])
+_PART = "slice int, cells binary, twice binary"
 
-        for batch in batches:
-            for block in blocks(batch, "text"):
-                for _, h in _texts(block):
-                    if len(h) >= window:
-                        held.append(np.unique(anchors(h, window, gram)))
-                        n_held += len(held[-1])
-                if n_held > 2_000_000:
-                    yield from sent()
-                    held, n_held = [], 0
-        if held:
-            yield from sent()
 
-    def merged(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def merged(parts: DataFrame, n_cells: int, rows: int, least: int) -> np.ndarray:
+    """The bit set of the cells that all partitions together hit ``least`` times; slices are merged in parallel."""
+    width = min(SLICE, n_cells)
+
+    def one(key: tuple, sent: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(width, np.uint8)
-        for part in parts:
+        for part in sent:
             for place, twice in zip(part.column("cells").to_pylist(), part.column("twice").to_pylist()):
                 place = np.frombuffer(place, np.uint32)
                 count[place] = np.minimum(count[place] + 1 + np.unpackbits(np.frombuffer(twice, np.uint8))[: len(place)], 2)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(count > 1, bitorder="little").tobytes()])], names=["slice", "bits"])
+        bits = np.packbits(count >= least, bitorder="little").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([bits])], names=["slice", "bits"])
 
-    parts = docs.mapInArrow(one, "slice int, cells binary, twice binary")
-    bits = np.zeros((rows, n_cells // 8), np.uint8)
-    flat = bits.reshape(-1)
-    for row in parts.groupBy("slice").applyInArrow(merged, "slice int, bits binary").collect():
+    flat = np.zeros(rows * n_cells // 8, np.uint8)
+    for row in parts.groupBy("slice").applyInArrow(one, "slice int, bits binary").collect():
         flat[row["slice"] * width // 8 :][: width // 8] = np.frombuffer(row["bits"], np.uint8)
-    return bits
+    return flat.reshape(rows, -1)
+
+
+def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> np.ndarray:
+    """The merged sketch of the anchors of each text: set where two texts, or two anchors, share a cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                runs = Runs(block, window, gram)
+                order = np.lexsort((runs.anchor, runs.text))
+                text, anchor = runs.text[order], runs.anchor[order]
+                first = np.ones(len(order), bool)
+                first[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+                held.append(anchor[first])
+                n_held += len(held[-1])
+                if n_held > 2_000_000:
+                    yield from _slices(np.concatenate(held), n_cells, rows)
+                    held, n_held = [], 0
+        if held:
+            yield from _slices(np.concatenate(held), n_cells, rows)
+
+    return merged(docs.mapInArrow(run, _PART), n_cells, rows, 2)
 
 
-def candidates(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: int = CELLS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, start, a, b``: for each text the first of its windows of each kind whose anchor is estimated to be in
-    another text too; (a, b) is the window's hash."""
+def candidates(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
+    """``doc_id, start, size, anchor, ra, rb, windows`` of the runs whose anchor is estimated to be in another text too;
+    (ra, rb) is the hash of all the run's words, ``windows`` are the hashes of its windows."""
     seen = docs.sparkSession.sparkContext.broadcast(sketch(docs, window, gram, n_cells, rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = seen.value
         for batch in batches:
             for block in blocks(batch, "text"):
-                ids, nulls, starts, firsts, seconds = [], [], [], [], []
-                for doc_id, h in _texts(block):
-                    if len(h) < window:
-                        continue
-                    anchor = anchors(h, window, gram)
-                    change = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-                    run_anchor, often = anchor[change], True
-                    for row in range(rows):
-                        cell = cells(run_anchor, row, n_cells)
-                        often = often & (bits[row][cell >> 3] >> (cell & 7).astype(np.uint8) & 1 > 0)
-                    at = np.flatnonzero(np.repeat(often, np.diff(change, append=len(anchor))))
-                    if not len(at):
-                        continue
-                    a, b = rolling(h, window, _BASES[0])[at], rolling(h, window, _BASES[1])[at]
-                    _, first = np.unique(a, return_index=True)
-                    ids.append(np.full(len(first), doc_id or 0, np.int64))
-                    nulls.append(np.full(len(first), doc_id is None))
-                    starts.append(at[first].astype(np.int32))
-                    firsts.append(a[first].view(np.int64))
-                    seconds.append(b[first].view(np.int64))
-                if ids:
-                    columns = [pa.array(np.concatenate(ids), mask=np.concatenate(nulls)), *(pa.array(np.concatenate(c)) for c in (starts, firsts, seconds))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "a", "b"])
-
-    return docs.mapInArrow(run, "doc_id long, start int, a long, b long")
-
-
-def earlier(docs: DataFrame, **sizes: int) -> DataFrame:
-    """``doc_id, starts``: the windows of a text, by start, that a text with a smaller doc_id has too. Both sides of the
-    join come from stored tables, so that a window in a large share of all texts is split between tasks."""
-    found = stored(candidates(docs, **sizes), "windows")
-    first = found.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
-    first = stored(first, "first-windows")
-    later = found.join(first, ["a", "b"]).where("first < doc_id or (doc_id is null and first is not null)")
-    return later.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
-
-
-def covered(h: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
-    """Which words fall into a window that is repeated: those from ``starts``, all equal ones in this text, and those
-    that this text itself repeats."""
+                runs = Runs(block, window, gram)
+                chosen = np.flatnonzero(hit(seen.value, runs.anchor))
+                if not len(chosen):
+                    continue
+                size = runs.size[chosen]
+                at = np.repeat(runs.start[chosen] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                hashes = np.empty(len(at), "<u8,<u4")
+                hashes["f0"], hashes["f1"] = rolling(runs.h, window, _BASES[0])[at], rolling(runs.h, window, _BASES[1])[at]
+                offsets = np.concatenate([[0], np.cumsum(size) * _SIZE]).astype(np.int32)
+                windows = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(hashes.tobytes())])
+                text = runs.text[chosen]
+                start = (runs.start[chosen] - runs.begin[text]).astype(np.int32)
+                numbers = [x.view(np.int64) for x in (runs.anchor[chosen], *(runs.spans(chosen, window, b) for b in _BASES))]
+                columns = [block.column("doc_id").take(pa.array(text)), pa.array(start), pa.array(size.astype(np.int32)), *map(pa.array, numbers), windows]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "size", "anchor", "ra", "rb", "windows"])
+
+    return docs.mapInArrow(run, "doc_id long, start int, size int, anchor long, ra long, rb long, windows binary")
+
+
+def _mixed_anchors(spans: DataFrame, n_cells: int) -> np.ndarray:
+    """The bit set of the anchors that have more than one run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _slices(batch.column("anchor").to_numpy().view(np.uint64), n_cells, 1)
+
+    several = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    return merged(several.mapInArrow(run, _PART), n_cells, 1, 1)
+
+
+def earlier(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
+    """``doc_id, ranges``: runs of windows (start, size) of a text that a text with a smaller doc_id has too. All joins
+    are between stored tables, so that a run in a large share of all texts is split between tasks."""
+    runs = stored(candidates(docs, window, gram, n_cells, rows), "runs")
+    spans = runs.groupBy("ra", "rb", "anchor").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    spans = stored(spans, "spans")
+    several = docs.sparkSession.sparkContext.broadcast(_mixed_anchors(spans, n_cells))
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.filter(pa.array(hit(several.value, batch.column("anchor").to_numpy().view(np.uint64))))
+            size = kept.column("size").to_numpy().astype(np.int64)
+            hashes = np.frombuffer(b"".join(kept.column("windows").to_pylist()), "<u8,<u4")
+            which = np.repeat(np.arange(len(size)), size)
+            start = kept.column("start").to_numpy()[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+            columns = [kept.column("doc_id").take(pa.array(which)), pa.array(start.astype(np.int32)), pa.array(hashes["f0"].view(np.int64)), pa.array(hashes["f1"].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "a", "b"])
+
+    windows = runs.select("doc_id", "start", "size", "anchor", "windows").mapInArrow(single, "doc_id long, start int, a long, b long")
+    windows = stored(windows, "windows")
+    firsts = windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
+    later = "first < doc_id or (doc_id is null and first is not null)"
+    whole = runs.select("doc_id", "start", "size", "ra", "rb").join(spans.where("n > 1").select("ra", "rb", "first"), ["ra", "rb"]).where(later)
+    alone = windows.join(stored(firsts, "first-windows"), ["a", "b"]).where(later)
+    ranges = whole.select("doc_id", "start", "size").unionByName(alone.select("doc_id", "start", F.lit(1).alias("size")))
+    return ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("ranges"))
+
+
+def covered(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
+    """Which words fall into a window that is repeated: those of the ranges of windows, and those that this text
+    itself has before."""
     n = len(h) - window + 1
     if n < 1:
         return np.zeros(len(h), bool)
-    a, b = rolling(h, window, _BASES[0]), rolling(h, window, _BASES[1])
-    _, first, kind = np.unique(a, return_index=True, return_inverse=True)
-    again = np.arange(n) != first[kind]
-    again &= b == b[first[kind]]
-    repeated = np.zeros(len(first), bool)
-    repeated[kind[starts]] = True
-    gone = np.flatnonzero(again | repeated[kind])
     edge = np.zeros(len(h) + 1, np.int64)
-    np.add.at(edge, gone, 1)
-    np.add.at(edge, gone + window, -1)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + sizes + window - 1, -1)
+    a = rolling(h, window, _BASES[0])
+    ordered = np.sort(a)
+    if (ordered[1:] == ordered[:-1]).any():
+        b = rolling(h, window, _BASES[1])
+        _, first, kind = np.unique(a, return_index=True, return_inverse=True)
+        again = np.flatnonzero((np.arange(n) != first[kind]) & (b == b[first[kind]]))
+        np.add.at(edge, again, 1)
+        np.add.at(edge, again + window, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: int = CELLS, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept_text`` of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = stored(earlier(texts, window=window, gram=gram, n_cells=n_cells, rows=rows), "earlier")
-    found = found.select(F.col("doc_id").alias("of"), "starts")
-    joined = texts.join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", "starts")
+    found = stored(earlier(texts, window, gram, n_cells, rows), "earlier")
+    found = found.select(F.col("doc_id").alias("of"), F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
+    joined = texts.join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", "starts", "sizes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
+                h, n = word_hashes(block.column("text"))
+                stops = np.cumsum(n).tolist()
+                numbers = [pc.fill_null(block.column(c), pa.scalar([], block.column(c).type)) for c in ("starts", "sizes")]
+                offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(numbers[0]).to_numpy())]).tolist()
+                starts, sizes = (x.flatten().to_numpy().astype(np.int64) for x in numbers)
                 out = []
-                lists = pc.list_value_length(block.column("starts")).to_numpy(zero_copy_only=False)
-                for k, (doc_id, h) in enumerate(_texts(block)):
-                    starts = block.column("starts")[k].values.to_numpy() if lists[k] > 0 else np.empty(0, np.int64)
-                    gone = covered(h, starts, window)
-                    text = block.column("text")[k].as_py()
+                for k, (doc_id, text) in enumerate(zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist())):
+                    own, part = h[stops[k] - int(n[k]) : stops[k]], slice(offsets[k], offsets[k + 1])
+                    gone = covered(own, starts[part], sizes[part], window)
                     kept = (text or "").encode().split()
                     if gone.any():
                         kept = [w for w, g in zip(kept, gone.tolist()) if not g]
                     text = b" ".join(kept)
-                    out.append((doc_id, len(h), int(gone.sum()), hashlib.sha256(text).hexdigest(), text))
+                    out.append((doc_id, len(own), int(gone.sum()), hashlib.sha256(text).hexdigest(), text))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)

@@ -32,8 +32,9 @@ from natspark.llm.common import free_name, stored
 
 SAMPLE_ROWS, ENTRIES = 6000, 5000
 PREFIXES = range(4, 9)
-#: An entry is in this share of the toxic sample at least, in so many of its documents, and has this weight.
-LEAST_SHARE, LEAST_DOCS, LEAST_WEIGHT = 0.01, 4, 2.0
+#: An entry is in this share of the toxic sample at least and in so many of its documents, and its log odds, less so
+#: many standard errors, reach this weight: what a few documents have by chance doesn't, however many terms are tried.
+LEAST_SHARE, LEAST_DOCS, LEAST_WEIGHT, ERRORS = 0.01, 4, 2.0, 2.0
 
 # Letters of other scripts, digits and signs, and the Latin letters they are used for.
 LOOK_ALIKES = {
@@ -203,9 +204,14 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, entries:
     often = _counted(toxic, None).where(F.col("docs") >= least).orderBy(F.desc("docs"), "term").limit(20 * entries)
     in_toxic = {r["term"]: r["docs"] for r in often.collect()}
     in_clean = {r["term"]: r["docs"] for r in _counted(clean, set(in_toxic)).collect()}
-    weight = {t: math.log((n + 0.5) / (size[True] + 1)) - math.log((in_clean.get(t, 0) + 0.5) / (size[False] + 1)) for t, n in in_toxic.items()}
+    weight, sure = {}, []
+    for term, n in in_toxic.items():
+        m = in_clean.get(term, 0)
+        weight[term] = math.log((n + 0.5) / (size[True] + 1)) - math.log((m + 0.5) / (size[False] + 1))
+        if weight[term] - ERRORS * math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5)) >= LEAST_WEIGHT:
+            sure.append(term)
     chosen: dict[str, float] = {}
-    for term in sorted((t for t, w in weight.items() if w >= LEAST_WEIGHT), key=lambda t: (len(t), t)):
+    for term in sorted(sure, key=lambda t: (len(t), t)):
         shorter = [chosen[term[: n + 1]] for n in PREFIXES if term[: n + 1] in chosen]
         if not shorter or weight[term] > max(shorter) + 1:
             chosen[term] = weight[term]
