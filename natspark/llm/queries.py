@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import exact, grammar, language, mixing, packing, quality, simhash, substrings, toxicity
+from natspark.llm import exact, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity
 from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -62,8 +66,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op8_substrings, op9_toxicity, op10_language)}
+    found = (
+        op1_mixing, op2_line_dedup, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op8_substrings, op9_toxicity, op10_language,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality": quality.oracle(), "op7_exact_dedup": exact.ORACLE}
+    return {"op2_line_dedup": lines.ORACLE, "op6_quality": quality.oracle(), "op7_exact_dedup": exact.ORACLE}

@@ -5,10 +5,10 @@ with every equal window; neighbouring windows mostly share theirs, so a text is
 
 First pass: each partition sketches the anchors of its texts, and the sketches are merged cell by cell; a cell counts, up
 to two, the texts that fall into it. All rows of the sketch overestimate, so no repeated window is lost. Second pass: runs
-whose anchor is estimated to be in two texts are grouped exactly. Whole runs go first, by a 128-bit hash of all
-their words: a run that an earlier text has too is repeated window by window, which settles all but the edges of
-copied passages. Only the windows of anchors that have different runs are then grouped one by one, by 96 bits. Repeats
-inside one text are found where the text is read.
+whose anchor is estimated to be in two texts are grouped exactly. Whole runs go first, by their anchor and a hash of all
+their words, 128 bits: a run that an earlier text has too is repeated window by window, which settles all but the edges
+of copied passages. Only the windows of anchors that have different runs are then grouped one by one, in a third pass,
+by 128 bits. Repeats inside one text are found where the text is read; texts without others move no further.
 
 What is broadcast are bit sets of a fixed size, whatever the input. With more anchors than cells they pass more to the
 exact steps, which stay in proportion to the input.
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,6 @@ CELLS, ROWS, SLICE = 1 << 27, 2, 1 << 19
 #: Multipliers of the two rolling hashes, both odd and so with inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
-_SIZE = 12  # bytes of a window's hash
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -197,67 +197,69 @@ def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) ->
     return merged(docs.mapInArrow(run, _PART), n_cells, rows, 2)
 
 
-def candidates(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
-    """``doc_id, start, size, anchor, ra, rb, windows`` of the runs whose anchor is estimated to be in another text too;
-    (ra, rb) is the hash of all the run's words, ``windows`` are the hashes of its windows."""
-    seen = docs.sparkSession.sparkContext.broadcast(sketch(docs, window, gram, n_cells, rows))
+def runs_of(docs: DataFrame, seen: Broadcast, window: int, gram: int) -> DataFrame:
+    """``doc_id, start, size, anchor, span`` of the runs whose anchor is estimated to be in another text too; anchor and
+    span are the hash of all the run's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
                 runs = Runs(block, window, gram)
                 chosen = np.flatnonzero(hit(seen.value, runs.anchor))
+                if len(chosen):
+                    text = runs.text[chosen]
+                    start = (runs.start[chosen] - runs.begin[text]).astype(np.int32)
+                    span = runs.spans(chosen, window, _BASES[1]).view(np.int64)
+                    columns = [block.column("doc_id").take(pa.array(text)), *map(pa.array, (start, runs.size[chosen].astype(np.int32), runs.anchor[chosen].view(np.int64), span))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "size", "anchor", "span"])
+
+    return docs.mapInArrow(run, "doc_id long, start int, size int, anchor long, span long")
+
+
+def windows_of(docs: DataFrame, seen: Broadcast, several: Broadcast, window: int, gram: int) -> DataFrame:
+    """``doc_id, start, a, b``: the windows of the runs whose anchor has several spans; (a, b) is a window's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                runs = Runs(block, window, gram)
+                chosen = np.flatnonzero(hit(seen.value, runs.anchor))
+                chosen = chosen[hit(several.value, runs.anchor[chosen])]
                 if not len(chosen):
                     continue
                 size = runs.size[chosen]
                 at = np.repeat(runs.start[chosen] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                hashes = np.empty(len(at), "<u8,<u4")
-                hashes["f0"], hashes["f1"] = rolling(runs.h, window, _BASES[0])[at], rolling(runs.h, window, _BASES[1])[at]
-                offsets = np.concatenate([[0], np.cumsum(size) * _SIZE]).astype(np.int32)
-                windows = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(hashes.tobytes())])
-                text = runs.text[chosen]
-                start = (runs.start[chosen] - runs.begin[text]).astype(np.int32)
-                numbers = [x.view(np.int64) for x in (runs.anchor[chosen], *(runs.spans(chosen, window, b) for b in _BASES))]
-                columns = [block.column("doc_id").take(pa.array(text)), pa.array(start), pa.array(size.astype(np.int32)), *map(pa.array, numbers), windows]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "size", "anchor", "ra", "rb", "windows"])
+                text = np.repeat(runs.text[chosen], size)
+                numbers = [rolling(runs.h, window, base)[at].view(np.int64) for base in _BASES]
+                columns = [block.column("doc_id").take(pa.array(text)), *map(pa.array, ((at - runs.begin[text]).astype(np.int32), *numbers))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "a", "b"])
 
-    return docs.mapInArrow(run, "doc_id long, start int, size int, anchor long, ra long, rb long, windows binary")
+    return docs.mapInArrow(run, "doc_id long, start int, a long, b long")
 
 
-def _mixed_anchors(spans: DataFrame, n_cells: int) -> np.ndarray:
-    """The bit set of the anchors that have more than one run."""
+def bits_of(numbers: DataFrame, n_cells: int) -> np.ndarray:
+    """A bit set of the numbers of the only column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _slices(batch.column("anchor").to_numpy().view(np.uint64), n_cells, 1)
+            yield from _slices(batch.column(0).drop_null().to_numpy().view(np.uint64), n_cells, 1)
 
-    several = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    return merged(several.mapInArrow(run, _PART), n_cells, 1, 1)
+    return merged(numbers.mapInArrow(run, _PART), n_cells, 1, 1)
 
 
 def earlier(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
     """``doc_id, ranges``: runs of windows (start, size) of a text that a text with a smaller doc_id has too. All joins
     are between stored tables, so that a run in a large share of all texts is split between tasks."""
-    runs = stored(candidates(docs, window, gram, n_cells, rows), "runs")
-    spans = runs.groupBy("ra", "rb", "anchor").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    share = docs.sparkSession.sparkContext.broadcast
+    seen = share(sketch(docs, window, gram, n_cells, rows))
+    runs = stored(runs_of(docs, seen, window, gram), "runs")
+    spans = runs.groupBy("anchor", "span").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     spans = stored(spans, "spans")
-    several = docs.sparkSession.sparkContext.broadcast(_mixed_anchors(spans, n_cells))
-
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = batch.filter(pa.array(hit(several.value, batch.column("anchor").to_numpy().view(np.uint64))))
-            size = kept.column("size").to_numpy().astype(np.int64)
-            hashes = np.frombuffer(b"".join(kept.column("windows").to_pylist()), "<u8,<u4")
-            which = np.repeat(np.arange(len(size)), size)
-            start = kept.column("start").to_numpy()[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
-            columns = [kept.column("doc_id").take(pa.array(which)), pa.array(start.astype(np.int32)), pa.array(hashes["f0"].view(np.int64)), pa.array(hashes["f1"].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "a", "b"])
-
-    windows = runs.select("doc_id", "start", "size", "anchor", "windows").mapInArrow(single, "doc_id long, start int, a long, b long")
-    windows = stored(windows, "windows")
+    several = share(bits_of(spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), n_cells))
+    windows = stored(windows_of(docs, seen, several, window, gram), "windows")
     firsts = windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
     later = "first < doc_id or (doc_id is null and first is not null)"
-    whole = runs.select("doc_id", "start", "size", "ra", "rb").join(spans.where("n > 1").select("ra", "rb", "first"), ["ra", "rb"]).where(later)
+    whole = runs.join(spans.where("n > 1").select("anchor", "span", "first"), ["anchor", "span"]).where(later)
     alone = windows.join(stored(firsts, "first-windows"), ["a", "b"]).where(later)
     ranges = whole.select("doc_id", "start", "size").unionByName(alone.select("doc_id", "start", F.lit(1).alias("size")))
     return ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("ranges"))
@@ -283,32 +285,58 @@ def covered(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray, window: int) -
     return np.cumsum(edge[:-1]) > 0
 
 
+def _kept(block: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    """The rows of a block (``doc_id, text, starts, sizes``) with what stays of them."""
+    h, n = word_hashes(block.column("text"))
+    stops = np.cumsum(n).tolist()
+    numbers = [pc.fill_null(block.column(c), pa.scalar([], block.column(c).type)) for c in ("starts", "sizes")]
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(numbers[0]).to_numpy())]).tolist()
+    starts, sizes = (x.flatten().to_numpy().astype(np.int64) for x in numbers)
+    out = []
+    for k, (doc_id, text) in enumerate(zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist())):
+        own, part = h[stops[k] - int(n[k]) : stops[k]], slice(offsets[k], offsets[k + 1])
+        gone = covered(own, starts[part], sizes[part], window)
+        kept = (text or "").encode().split()
+        if gone.any():
+            kept = [w for w, g in zip(kept, gone.tolist()) if not g]
+        text = b" ".join(kept)
+        out.append((doc_id, len(own), int(gone.sum()), hashlib.sha256(text).hexdigest(), text))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_RESULT)
+
+
+_RESULT = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
+_RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: int = CELLS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256, kept_text`` of every row."""
+    """``doc_id, n_words, n_removed, kept_sha256, kept_text`` of every row. Only texts that share a window with an
+    earlier one, by a bit set of their ids, are moved to meet their ranges."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(earlier(texts, window, gram, n_cells, rows), "earlier")
-    found = found.select(F.col("doc_id").alias("of"), F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
-    joined = texts.join(found, F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", "starts", "sizes")
+    some = docs.sparkSession.sparkContext.broadcast(bits_of(found.select("doc_id"), n_cells))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shares(batch: pa.RecordBatch) -> pa.Array:
+        ids = pc.fill_null(batch.column("doc_id"), 0).to_numpy().view(np.uint64)
+        return pc.or_(pa.array(hit(some.value, ids)), pc.is_null(batch.column("doc_id")))
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(shares(batch))
+
+    def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.filter(pc.invert(shares(batch)))
+            none = pa.nulls(len(rest), pa.list_(pa.int32()))
+            for block in blocks(pa.RecordBatch.from_arrays([*rest.columns, none, none], names=["doc_id", "text", "starts", "sizes"]), "text"):
+                yield _kept(block, window)
+
+    def with_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
-                h, n = word_hashes(block.column("text"))
-                stops = np.cumsum(n).tolist()
-                numbers = [pc.fill_null(block.column(c), pa.scalar([], block.column(c).type)) for c in ("starts", "sizes")]
-                offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(numbers[0]).to_numpy())]).tolist()
-                starts, sizes = (x.flatten().to_numpy().astype(np.int64) for x in numbers)
-                out = []
-                for k, (doc_id, text) in enumerate(zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist())):
-                    own, part = h[stops[k] - int(n[k]) : stops[k]], slice(offsets[k], offsets[k + 1])
-                    gone = covered(own, starts[part], sizes[part], window)
-                    kept = (text or "").encode().split()
-                    if gone.any():
-                        kept = [w for w, g in zip(kept, gone.tolist()) if not g]
-                    text = b" ".join(kept)
-                    out.append((doc_id, len(own), int(gone.sum()), hashlib.sha256(text).hexdigest(), text))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
-
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+                yield _kept(block, window)
+
+    ranges = found.select(F.col("doc_id").alias("of"), F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
+    joined = texts.mapInArrow(moved, "doc_id long, text string").join(ranges, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    met = joined.select("doc_id", "text", "starts", "sizes").mapInArrow(with_ranges, _RESULT_SCHEMA)
+    return texts.mapInArrow(at_once, _RESULT_SCHEMA).unionByName(met)
