@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natspark.llm.common import free_name, stored
+from natspark.llm.tokens import blocks
 
 SEED = 42
 DISTANCE = 2
@@ -63,9 +64,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``doc_id, print``, the fingerprint as a signed number. One pass over the texts, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = np.array([fingerprint(t.as_buffer() and bytes(t.as_buffer()), shingle) if t.is_valid else 0 for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "print"])
+        for block in (b for batch in batches for b in blocks(batch, "text")):
+            prints = np.array([fingerprint(bytes(t.as_buffer()), shingle) if t.is_valid else 0 for t in block.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "print"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, print long")
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Bytes of text encoded at a time, and words remembered; both bound a task's memory.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 CACHE_WORDS = 300_000
 _JOINED = 200
 
@@ -123,7 +123,8 @@ def encoder(path: str | None = None) -> WordEncoder:
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` cut into runs of rows whose texts hold about ``limit`` bytes; a longer text stands alone."""
+    """``batch`` cut into runs of rows whose texts hold about ``limit`` bytes; a longer text stands alone. After the last
+    one, memory that Arrow keeps for later goes back to the system."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin = total = 0
     for i, size in enumerate(sizes):
@@ -133,3 +134,4 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
         total += int(size)
     if len(sizes) > begin:
         yield batch.slice(begin)
+    pa.default_memory_pool().release_unused()

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natspark.llm.common import free_name, stored
+from natspark.llm.tokens import blocks
 
 SAMPLE_ROWS, ENTRIES = 6000, 5000
 PREFIXES = range(4, 9)
@@ -170,9 +171,9 @@ def _evidence(docs: DataFrame, lexicon: Lexicon, kept: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
-        for batch in batches:
-            values = np.array([lexicon.evidence(automaton, folded(t.as_py())) for t in batch.column("text")], float).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(kept), pa.array(values[:, 0]), pa.array(values[:, 1])], names=[kept, "total", "rate"])
+        for block in (b for batch in batches for b in blocks(batch, "text")):
+            values = np.array([lexicon.evidence(automaton, folded(t.as_py())) for t in block.column("text")], float).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([block.column(kept), pa.array(values[:, 0]), pa.array(values[:, 1])], names=[kept, "total", "rate"])
 
     kind = docs.schema[kept].dataType.simpleString()
     return docs.select(kept, F.col("text").cast("string").alias("text")).mapInArrow(run, f"`{kept}` {kind}, total double, rate double")
@@ -241,9 +242,9 @@ def keep(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
-        for batch in batches:
-            values = np.array([lexicon.evidence(automaton, folded(t.as_py())) for t in batch.column(text)], float).reshape(-1, 2)
+        for block in (b for batch in batches for b in blocks(batch, text)):
+            values = np.array([lexicon.evidence(automaton, folded(t.as_py())) for t in block.column(text)], float).reshape(-1, 2)
             stays = lexicon.score(values) < threshold
-            yield batch.select(columns).filter(pa.array(stays))
+            yield block.select(columns).filter(pa.array(stays))
 
     return wide.mapInArrow(run, schema)
