@@ -12,7 +12,7 @@ from natspark.plans.inputs import DATE, NOW, S, duck
 from natspark.sources import alerts as alert_files
 from natspark.sources import packets as packet_files
 from natspark.sources import rowbinary
-from natspark.sources.shared import new_path
+from natspark.sources.shared import new_path, stored
 from natspark.streaming import incidents as live
 from natspark.streaming import ingest
 
@@ -96,12 +96,17 @@ def fixed_width_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.fixed_width_rows(_inventory(spark, sf_dir))
 
 
+#: ``l_orderkey % 20 = 0`` of the SQL, told by the port: that is 1024 + l_orderkey % 50000, and 20 divides 50000.
+_COUNTED = "(private_port - 1024) % 20 = 0"
+
+
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A batch per node and part of the NAT table: files with their content, and candidates for them."""
-    made = inputs.sessions(spark, sf_dir).where("l_orderkey % 20 = 0")
-    blobs = rowbinary.write_rowbinary(made.repartition(8, "l_orderkey"), 500)
+    """Batches of all sessions of the NAT table, as many as its parts fill: files with their content, and candidates for
+    them. Batches may have equal rows, so a file is named by its number and not by its content."""
+    blobs = rowbinary.write_rowbinary(inputs.sessions(spark, sf_dir), 500)
     path = new_path(spark, "spool")
-    blobs.withColumn("path", F.concat(F.lit("spool/"), F.sha1("blob"), F.lit(".rowbinary.done"))).write.parquet(path)
+    number = F.monotonically_increasing_id().cast("string")
+    blobs.withColumn("path", F.concat(F.lit("spool/"), number, F.lit(".rowbinary.done"))).write.parquet(path)
     files = spark.read.parquet(path)
     candidates = files.select("path", F.col("rows"), F.lit(replay.REDUCED).alias("version"))
     return candidates, files.select("path", F.col("blob").alias("content"))
@@ -111,6 +116,12 @@ def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     f"""SELECT {DATE.format('event_day')} AS event_date, count(*) AS rows, CAST(sum(private_port) AS BIGINT) AS ports FROM nat WHERE l_orderkey % 20 = 0 GROUP BY ALL""", "nat"
 )
 def replay_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sessions are replayed; the SQL counts those of every twentieth order."""
+    read = _replayed(spark, sf_dir).where(_COUNTED)
+    return read.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("rows"), F.sum("private_port").alias("ports"))
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replayed twice: what the ledger has is not appended again."""
     candidates, contents = _batches(spark, sf_dir)
     out, ledger = new_path(spark, "replayed"), new_path(spark, "ledger")
@@ -119,16 +130,23 @@ def replay_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         sessions, done = replay.replay_batches(candidates, contents, spark.read.parquet(ledger))
         sessions.write.mode("append").parquet(out)
         done.write.mode("append").parquet(ledger)
-    read = spark.read.parquet(out)
-    return read.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("rows"), F.sum("private_port").alias("ports"))
+    return spark.read.parquet(out)
 
 
 @query("SELECT count(*) AS rows, true AS all_agree FROM nat WHERE l_orderkey % 20 = 0", "nat")
 def verify_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All batches are verified; the SQL counts the rows of every twentieth order."""
+    decoded, checked = _verified(spark, sf_dir)
+    agree = checked.agg(F.every("agrees").alias("all_agree"))
+    return decoded.where(_COUNTED).agg(F.count(F.lit(1)).alias("rows")).crossJoin(agree)
+
+
+def _verified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The decoded rows of all batches, and each batch's account."""
     candidates, contents = _batches(spark, sf_dir)
     files = replay.with_batch_id(candidates).select("path", "batch_id").join(contents, "path")
-    checked = replay.verify_batch_rows(rowbinary.decode_rowbinary(files, 2, ("batch_id",)), candidates)
-    return checked.agg(F.sum("decoded_rows").alias("rows"), F.every("agrees").alias("all_agree"))
+    decoded = stored(rowbinary.decode_rowbinary(files, 2, ("batch_id",)).select("batch_id", "private_port"), "decoded")
+    return decoded, replay.verify_batch_rows(decoded, candidates)
 
 
 # Telemetry.
