@@ -14,8 +14,9 @@ What is broadcast are bit sets of a fixed size, whatever the input. With more an
 exact steps, which stay in proportion to the input.
 
 A window is removed if an equal one starts earlier, in a smaller doc_id or before it in the same text. Defined cases:
-null text has no words; rows with one doc_id do not precede each other, and rows without doc_id come last; texts shorter
-than a window stay; an empty table gives an empty result; extra columns are ignored by :func:`removed`.
+null text has no words; rows with one doc_id do not precede each other, and rows without doc_id come last; rows with one
+doc_id, or none, are told apart by a hash of their text, as equal texts have equal ranges; texts shorter than a window
+stay; an empty table gives an empty result; extra columns are ignored by :func:`removed`.
 """
 
 from __future__ import annotations
@@ -197,8 +198,25 @@ def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) ->
     return merged(docs.mapInArrow(run, _PART), n_cells, rows, 2)
 
 
+#: What tells rows apart.
+ROW = ["doc_id", "text_a", "text_b"]
+_ROW_SCHEMA = "doc_id long, text_a long, text_b long"
+
+
+def row_keys(rows: pa.RecordBatch) -> list[pa.Array]:
+    """The columns ``ROW`` of these rows: doc_id and a hash of the text, of 64 bits beside a doc_id and of 128 bits
+    without one, as any number of rows may have none."""
+    from xxhash import xxh3_128_intdigest
+
+    digests = [xxh3_128_intdigest(t.as_buffer() if t.is_valid else b"") for t in rows.column("text")]
+    low = np.fromiter((d & (1 << 64) - 1 for d in digests), np.uint64, len(digests))
+    high = np.fromiter((d >> 64 for d in digests), np.uint64, len(digests))
+    high[rows.column("doc_id").is_valid().to_numpy(zero_copy_only=False)] = 0
+    return [rows.column("doc_id"), pa.array(low.view(np.int64)), pa.array(high.view(np.int64))]
+
+
 def runs_of(docs: DataFrame, seen: Broadcast, window: int, gram: int) -> DataFrame:
-    """``doc_id, start, size, anchor, span`` of the runs whose anchor is estimated to be in another text too; anchor and
+    """``ROW`` and ``start, size, anchor, span`` of the runs whose anchor is estimated to be in another text too; anchor and
     span are the hash of all the run's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,14 +228,14 @@ def runs_of(docs: DataFrame, seen: Broadcast, window: int, gram: int) -> DataFra
                     text = runs.text[chosen]
                     start = (runs.start[chosen] - runs.begin[text]).astype(np.int32)
                     span = runs.spans(chosen, window, _BASES[1]).view(np.int64)
-                    columns = [block.column("doc_id").take(pa.array(text)), *map(pa.array, (start, runs.size[chosen].astype(np.int32), runs.anchor[chosen].view(np.int64), span))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "size", "anchor", "span"])
+                    columns = [*(c.take(pa.array(text)) for c in row_keys(block)), *map(pa.array, (start, runs.size[chosen].astype(np.int32), runs.anchor[chosen].view(np.int64), span))]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*ROW, "start", "size", "anchor", "span"])
 
-    return docs.mapInArrow(run, "doc_id long, start int, size int, anchor long, span long")
+    return docs.mapInArrow(run, f"{_ROW_SCHEMA}, start int, size int, anchor long, span long")
 
 
 def windows_of(docs: DataFrame, seen: Broadcast, several: Broadcast, window: int, gram: int) -> DataFrame:
-    """``doc_id, start, a, b``: the windows of the runs whose anchor has several spans; (a, b) is a window's hash."""
+    """``ROW`` and ``start, a, b``: the windows of the runs whose anchor has several spans; (a, b) is a window's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,10 +249,10 @@ def windows_of(docs: DataFrame, seen: Broadcast, several: Broadcast, window: int
                 at = np.repeat(runs.start[chosen] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 text = np.repeat(runs.text[chosen], size)
                 numbers = [rolling(runs.h, window, base)[at].view(np.int64) for base in _BASES]
-                columns = [block.column("doc_id").take(pa.array(text)), *map(pa.array, ((at - runs.begin[text]).astype(np.int32), *numbers))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "a", "b"])
+                columns = [*(c.take(pa.array(text)) for c in row_keys(block)), *map(pa.array, ((at - runs.begin[text]).astype(np.int32), *numbers))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*ROW, "start", "a", "b"])
 
-    return docs.mapInArrow(run, "doc_id long, start int, a long, b long")
+    return docs.mapInArrow(run, f"{_ROW_SCHEMA}, start int, a long, b long")
 
 
 def bits_of(numbers: DataFrame, n_cells: int) -> np.ndarray:
@@ -248,7 +266,7 @@ def bits_of(numbers: DataFrame, n_cells: int) -> np.ndarray:
 
 
 def earlier(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
-    """``doc_id, ranges``: runs of windows (start, size) of a text that a text with a smaller doc_id has too. All joins
+    """``ROW`` and ``ranges``: runs of windows (start, size) of a text that a text with a smaller doc_id has too. All joins
     are between stored tables, so that a run in a large share of all texts is split between tasks."""
     share = docs.sparkSession.sparkContext.broadcast
     seen = share(sketch(docs, window, gram, n_cells, rows))
@@ -261,8 +279,8 @@ def earlier(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) ->
     later = "first < doc_id or (doc_id is null and first is not null)"
     whole = runs.join(spans.where("n > 1").select("anchor", "span", "first"), ["anchor", "span"]).where(later)
     alone = windows.join(stored(firsts, "first-windows"), ["a", "b"]).where(later)
-    ranges = whole.select("doc_id", "start", "size").unionByName(alone.select("doc_id", "start", F.lit(1).alias("size")))
-    return ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "size")).alias("ranges"))
+    ranges = whole.select(*ROW, "start", "size").unionByName(alone.select(*ROW, "start", F.lit(1).alias("size")))
+    return ranges.groupBy(*ROW).agg(F.collect_set(F.struct("start", "size")).alias("ranges"))
 
 
 def covered(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
@@ -322,7 +340,8 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: in
 
     def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(shares(batch))
+            some_rows = batch.filter(shares(batch))
+            yield pa.RecordBatch.from_arrays([*row_keys(some_rows), some_rows.column("text")], names=[*ROW, "text"])
 
     def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,7 +355,8 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: in
             for block in blocks(batch, "text"):
                 yield _kept(block, window)
 
-    ranges = found.select(F.col("doc_id").alias("of"), F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
-    joined = texts.mapInArrow(moved, "doc_id long, text string").join(ranges, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    ranges = found.select(*(F.col(c).alias(f"of_{c}") for c in ROW), F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ROW]
+    joined = texts.mapInArrow(moved, f"{_ROW_SCHEMA}, text string").join(ranges, same, "left")
     met = joined.select("doc_id", "text", "starts", "sizes").mapInArrow(with_ranges, _RESULT_SCHEMA)
     return texts.mapInArrow(at_once, _RESULT_SCHEMA).unionByName(met)

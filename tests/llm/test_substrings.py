@@ -58,6 +58,16 @@ def test_other_sizes(spark):
     assert got(spark, passages(), window=6, gram=3, n_cells=1 << 20) == brute(passages(), 6)
 
 
+@pytest.mark.parametrize("doc_id", [None, 900])
+def test_rows_of_one_id_with_different_texts(spark, doc_id):
+    """Each has its own ranges: the passage stands at different places, beyond the other's end in one of them."""
+    passage = prose(40, 90)
+    rows = [(800, passage, "en", "a"), (doc_id, f"{prose(300, 91)} {passage}", "en", "a"), (doc_id, f"{passage} {prose(5, 92)}", "en", "a"), (doc_id, prose(30, 93), "en", "a")]
+    want = brute(rows, 20)
+    assert [r[2] for r in want].count(40) == 2
+    assert got(spark, rows, n_cells=1 << 20) == want
+
+
 def test_empty_table_and_no_words(spark):
     assert got(spark, []) == []
     assert got(spark, [(1, None, "en", "a"), (2, " ", "en", "a")]) == brute([(1, None), (2, " ")], 20)
