@@ -30,6 +30,7 @@ from natspark.llm.common import free_name, stored
 from natspark.llm.tokens import blocks
 
 SEED = 42
+#: Not a parameter: six keys of four bytes and the one-bit stars of long lists lose pairs that differ in more bits.
 DISTANCE = 2
 LONG = 64
 #: The two-byte halves of a fingerprint, from the lowest; keys take two of them.
@@ -78,7 +79,7 @@ def _differing(a: Column, b: Column) -> tuple[Column, Column]:
     return equal, F.bit_count(x)
 
 
-def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(prints: DataFrame) -> DataFrame:
     """``a, b`` with a < b: links between distinct fingerprints (``print``) that join all that differ in two bits at
     most; of a long posting list, a star around each meeting point."""
     half = lambda h: F.shiftrightunsigned("print", 16 * h).bitwiseAND(F.lit(0xFFFF))
@@ -90,7 +91,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     short = posted.where(F.col("n") <= LONG)
     equal, bits = _differing(F.col("a"), F.col("b"))
     pairs = short.select("key", F.col("print").alias("a")).join(short.select("key", F.col("print").alias("b")), "key").where("a < b")
-    near = pairs.where((equal >= 8 - distance) & (bits <= distance)).select("a", "b")
+    near = pairs.where((equal >= 8 - DISTANCE) & (bits <= DISTANCE)).select("a", "b")
 
     long = posted.where(F.col("n") > LONG).select("print").distinct()
     off = F.array(F.col("print"), *(F.col("print").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)))

@@ -75,6 +75,12 @@ def test_links_join_what_brute_force_joins(spark, monkeypatch, long):
         assert {tuple(sorted(x)) for x in got if set(x) <= few} == {x for x in close(few)}
 
 
+def test_links_take_no_distance(spark):
+    """Keys and stars are made for two bits, so a larger distance would lose pairs in silence."""
+    with pytest.raises(TypeError):
+        simhash.links(spark.createDataFrame([(0,), (7,)], "print long"), distance=3)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(-5, 3)]
     got = {r.node: r.label for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
