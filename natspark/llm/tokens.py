@@ -1,8 +1,11 @@
 """Token ids of whole texts by a public tokenizer, at a fraction of the cost of encoding each text by itself.
 
-The tokenizer drops white space and never lets a token span it, so a text's ids are its words' ids laid end to end.
-A batch's distinct words are found by Arrow, encoded once, and gathered back by numpy. White space here is the ASCII
-kind only; any other stays inside a "word" and is left to the tokenizer.
+The tokenizer lower-cases, drops white space and never lets a token span it, so a text's ids are its words' ids laid
+end to end. Words are lower-cased, and closing signs after a letter are a word of their own, as to the tokenizer. A
+batch's distinct words are found by Arrow, encoded once, and gathered back by numpy. White space here is the ASCII kind
+only; any other stays inside a "word" and is left to the tokenizer.
+
+Words met once are forgotten when there are too many; those met again stay.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import functools
 import os
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -21,29 +25,45 @@ END_ID = 1
 BLOCK_BYTES = 3 << 20
 CACHE_WORDS = 300_000
 _JOINED = 200
+_SIGN, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_SIGN[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")] = _LETTER[list(b"abcdefghijklmnopqrstuvwxyz")] = True
 
 
 class WordEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        self.path, self.remembered = path, remembered
         self.tokenizer = Tokenizer.from_file(path)
+        #: The same tokenizer for words that its normalizer and its pattern leave as they are.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.index: dict[str, int] = {"": 0}
         self.pool = np.empty(1 << 20, np.uint32)
-        self.start, self.length = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.start, self.length, self.uses = (np.zeros(1 << 18, np.int64) for _ in range(3))
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the empty word and those met in several blocks, unless these are too many themselves."""
+        words = [w for w, i in self.index.items() if not w or self.uses[i] > 1]
+        words = words if len(words) <= self.remembered // 2 else [""]
+        old = np.fromiter((self.index[w] for w in words), np.int64, len(words))
+        start, length = self.start[old], self.length[old]
+        to = np.cumsum(length)
+        pool = self.pool[np.arange(to[-1]) + np.repeat(start - (to - length), length)]
+        self.pool[: len(pool)], self.used = pool, len(pool)
+        self.start[: len(old)], self.length[: len(old)], self.uses[:] = to - length, length, 0
+        self.index = dict(zip(words, range(len(words))))
+
     def _add(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         n, k, m = len(self.index), len(words), len(flat)
         while n + k > len(self.start):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+            self.start, self.length, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.uses))
         while self.used + m > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         self.pool[self.used : self.used + m] = flat
@@ -52,48 +72,38 @@ class WordEncoder:
         self.used += m
         self.index.update(zip(words, range(n, n + k)))
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def _learn(self, words: list[str]) -> None:
-        """Words of one or two runs (letters; letters and a sign) are encoded many at a time and told apart by the
-        tokens that end a run; if their number isn't as foreseen, and for all other words, each is encoded alone."""
-        runs: dict[int, list[str]] = {1: [], 2: []}
-        alone: list[str] = []
+        """Words of lower-case letters are encoded many at a time and told apart by the tokens that end a word; if their
+        number isn't as foreseen, and for all other words, each is encoded alone by the whole tokenizer."""
+        plain, alone = [], []
         for w in words:
-            if w.isalpha():
-                runs[1].append(w)
-            elif w[-1] in ".,;:!?" and w[:-1].isalpha():
-                runs[2].append(w)
+            (plain if w.isalpha() and w == w.lower() and (w.isascii() or is_normalized("NFC", w)) else alone).append(w)
+        parts = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
+        for part, got in zip(parts, self.plain.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            flat = np.array(got.ids, np.uint32)
+            last = np.flatnonzero(self.ends[flat])
+            if len(last) == len(part):
+                self._add(part, flat, np.diff(last, prepend=-1))
             else:
-                alone.append(w)
-        for k, group in runs.items():
-            parts = [group[i : i + _JOINED] for i in range(0, len(group), _JOINED)]
-            for part, ids in zip(parts, self._encode([" ".join(p) for p in parts])):
-                flat = np.array(ids, np.uint32)
-                last = np.flatnonzero(self.ends[flat])
-                if len(last) == k * len(part):
-                    self._add(part, flat, np.diff(last[k - 1 :: k], prepend=-1))
-                else:
-                    alone += part
+                alone += part
         if alone:
-            got = self._encode(alone)
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
             self._add(alone, np.array([i for x in got for i in x], np.uint32), np.fromiter(map(len, got), np.int64, len(got)))
 
     def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids of these texts, each text's closed by ``end_id``, and the number of ids of each; null is empty."""
-        if len(self.index) > CACHE_WORDS:
+        if len(self.index) > self.remembered:
             self._forget()
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        words = lists.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        words, n_words = split_signs(texts)
+        words = words.dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         index = self.index
         new = [w for w in distinct if w not in index]
         if new:
             self._learn(new)
-        of_word = np.fromiter((index[w] for w in distinct), np.int64, len(distinct))
+        of_word = np.fromiter(map(index.__getitem__, distinct), np.int64, len(distinct))
+        self.uses[of_word] += 1
         of = of_word[words.indices.to_numpy()] if len(distinct) else np.empty(0, np.int64)
-        n_words = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         stop = np.cumsum(n_words)
         lengths = np.insert(self.length[of], stop, 1)
         starts = np.insert(self.start[of], stop, -1)
@@ -112,6 +122,45 @@ class WordEncoder:
         return out, np.diff(closing, prepend=-1)
 
 
+def split_signs(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words in lower case, closing signs after a letter apart, and the number of words of each text. Texts that may
+    hold a special token keep their capitals, as these tell it from other text."""
+    texts = pc.fill_null(texts, "")
+    if not pc.any(pc.match_substring(texts, "<|")).as_py():
+        texts = pc.ascii_lower(texts)
+    lists = pc.ascii_split_whitespace(texts)
+    words, of_text = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    _, offsets, data = words.buffers()
+    if not len(words) or data is None:
+        return words, np.diff(of_text)
+    at = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    letters = np.frombuffer(data, np.uint8)
+    cut = _sign_starts(letters, at)
+    inside = cut > 0
+    new = np.insert(at, np.flatnonzero(inside) + 1, cut[inside])
+    more = np.concatenate([[0], np.cumsum(inside)])
+    return pa.StringArray.from_buffers(len(new) - 1, pa.py_buffer(new), data), np.diff(of_text + more[of_text - of_text[0]])
+
+
+def _sign_starts(letters: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the closing signs of each word begin, if there are up to eight of them after a Latin letter; else 0."""
+    cut = np.zeros(len(at) - 1, np.int32)
+    word = np.flatnonzero(np.diff(at) > 1)
+    begin, end = at[word], at[word + 1]
+    for k in range(1, 9):
+        going = _SIGN[letters[end - k]] & (end - k > begin)
+        word, begin, end = word[going], begin[going], end[going]
+        before = letters[end - k - 1]
+        second = (end - k - 1 > begin) & (before & 0xC0 == 0x80)
+        lead = letters[end - k - 1 - second]
+        # Two-byte letters; not the two signs among them, nor the dotted I, whose small form ends with a mark.
+        wide = second & (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & (before & 0xDF == 0x97)) & ~((lead == 0xC4) & (before == 0xB0))
+        done = _LETTER[before] | wide
+        cut[word[done]] = end[done] - k
+        word, begin, end = word[~done], begin[~done], end[~done]
+    return cut
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str | None = None) -> WordEncoder:
     """The encoder of this Python worker; ``path`` defaults to the public tokenizer file of the box."""

@@ -1,10 +1,11 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
 
 from natspark.llm import packing
-from natspark.llm.tokens import blocks, encoder
+from natspark.llm.tokens import WordEncoder, blocks, encoder
 
 from .fixtures import HARD, docs_of, prose
 
@@ -103,6 +104,21 @@ def test_words_encode_as_whole_texts():
         at += k
 
 
+def test_words_with_signs_encode_as_whole_texts():
+    rng = random.Random(4)
+    odd = ["İ.", "×,", "÷.", "ß..", "Ⱥ!", "ɐ.", "a.'", "'LL.", "x" + "!" * 20, "≠", "a≠.", "ñ$$$", "<|", "|>", "<|endoftext|>.", "<|ENDOFTEXT|>"]
+    letters = [*"abAB.,;:!?'\"-1 2\n\té́ŒΣς你Жж", " ", " ", *odd]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    plain = [t.replace("<|", "") for t in texts]
+    enc = WordEncoder(encoder().path, remembered=100)
+    for part in (texts, plain, plain[::-1]):
+        ids, n = enc.encode(pa.array(["", *part], pa.string()).slice(1))
+        want = [[*e.ids, 1] for e in enc.tokenizer.encode_batch(part, add_special_tokens=False)]
+        assert n.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert len(enc.index) > 1 and enc.index[""] == 0
+
+
 def test_blocks_hold_all_rows():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * k for k in (5, 0, 50, 3, 3)] + [None]})
     assert [len(b) for b in blocks(batch, "text", 8)] == [2, 1, 3]
