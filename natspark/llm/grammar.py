@@ -1,14 +1,15 @@
 """Token ids in a binary file format, compressed by Re-Pair grammars.
 
-Documents are laid out in ascending doc_id order over shards of whole documents. A shard is cut into segments of a
-bounded number of ids, and each segment has a grammar of its own: in rounds, the most frequent pairs of neighbouring
-symbols become nonterminals and their occurrences are replaced, until a round saves little. Rules and the number of ids
-each expands to are stored, so any range of ids is decoded from the symbols that cover it alone.
+Documents are laid out in ascending doc_id order over shards of whole documents. A shard has a grammar of its own (one
+for each so many ids, if a very long text makes it larger): in rounds, the most frequent pairs of neighbouring symbols,
+counted exactly, become nonterminals and their occurrences are replaced, until a round saves less than a hundredth.
+Rules and the number of ids each expands to are stored, so any range of ids is decoded from the symbols that cover it
+alone. Symbols take as many bits as their number asks for.
 
 A shard is one row of a Parquet table, written by Spark's committer: a lost executor costs the rerun of its tasks.
 ``payload`` is little-endian: ``magic, documents, segments``, then for each document ``doc_id, has id, ids``, then the
-segments, each with ``ids, terminals, rules, symbols, rounds, bytes per symbol``, the terminals, the rules of each
-round, both sides of the rules, their expansion lengths and the symbols.
+segments, each with ``ids, terminals, rules, symbols, rounds, bits per symbol, bytes per length``, the terminals, the
+rules of each round, both sides of the rules, their expansion lengths and the symbols.
 
 Defined cases: a null or empty text is one end id; null doc_ids come first; rows with the same doc_id follow each other
 in the order of their texts' hashes; an empty table gives an empty file; extra columns are ignored; a text longer than
@@ -30,39 +31,51 @@ from pyspark.sql import functions as F
 from natspark.llm.tokens import END_ID, blocks, encoder
 
 SHARD_IDS = 1 << 20
-SEGMENT_IDS = 1 << 19
-#: Rounds of a segment; more, up to the second number, as long as each saves a quarter.
-ROUNDS, MORE_ROUNDS = 4, 24
+#: The most ids of one grammar; a shard has more only if a text is that long.
+SEGMENT_IDS = 1 << 21
 PAIRS_PER_ROUND = 8192
 #: A rule must replace so many pairs to be kept, and a round so large a share of the symbols to be followed by another.
-LEAST_USES, LEAST_GAIN = 4, 0.03
-MAGIC = b"NGR1"
+LEAST_USES, LEAST_GAIN = 4, 0.01
+MAGIC = b"NGR2"
 SHARDS = "part int, shard int, n_docs long, n_ids long, payload binary"
-_HEAD, _SEGMENT = struct.Struct("<4sQI"), struct.Struct("<QIIQII")
+_HEAD, _SEGMENT = struct.Struct("<4sQI"), struct.Struct("<QIIQIBB")
 _BITS = 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int32(2**31 - 1)
 
 
-def _round(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sequence with frequent pairs replaced by symbols from ``base`` on, and the pairs. Pairs are counted in hash
-    buckets; a bucket stands for one of its pairs, and uses are counted exactly before a rule is kept. Of overlapping
-    occurrences the more frequent pair's wins, of equal ones the left."""
-    codes = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:].astype(np.uint64)
-    bucket = (codes * _MIX >> np.uint64(64 - _BITS)).astype(np.int64)
-    count = np.bincount(bucket, minlength=1 << _BITS)
-    pair = np.zeros(1 << _BITS, np.uint64)
-    pair[bucket] = codes
+def _frequent(codes: np.ndarray) -> np.ndarray:
+    """The most frequent pairs, by exact counts, in descending order."""
+    ordered = np.sort(codes)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    count = np.diff(np.append(first, len(ordered)))
     often = np.flatnonzero(count >= LEAST_USES)
     if len(often) > PAIRS_PER_ROUND:
         often = often[np.argpartition(-count[often], PAIRS_PER_ROUND)[:PAIRS_PER_ROUND]]
-    often = often[np.argsort(-count[often], kind="stable")]
-    rank_of = np.full(1 << _BITS, _NONE)
-    rank_of[often] = np.arange(len(often), dtype=np.int32)
+    return ordered[first[often[np.argsort(-count[often], kind="stable")]]]
+
+
+def _round(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence with frequent pairs replaced by symbols from ``base`` on, and the pairs. Of overlapping occurrences
+    the more frequent pair's wins, of equal ones every other from the left. Pairs are looked up in a hash table; of two
+    in one place the less frequent waits for the next round."""
+    codes = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:].astype(np.uint64)
+    pairs = _frequent(codes)
+    place_of = lambda x: (x * _MIX >> np.uint64(64 - _BITS)).astype(np.int64)
+    _, first = np.unique(place_of(pairs), return_index=True)
+    pairs = pairs[np.sort(first)]
+    pair, rank_of = np.zeros(1 << _BITS, np.uint64), np.full(1 << _BITS, _NONE)
+    pair[place_of(pairs)], rank_of[place_of(pairs)] = pairs, np.arange(len(pairs), dtype=np.int32)
     rank = np.full(len(codes) + 2, _NONE)
-    rank[1:-1] = np.where(pair[bucket] == codes, rank_of[bucket], _NONE)
+    place = place_of(codes)
+    rank[1:-1] = np.where(pair[place] == codes, rank_of[place], _NONE)
+    same = np.flatnonzero((codes[1:] == codes[:-1]) & (rank[2:-1] < _NONE)) + 1  # inside a run of one symbol
+    if len(same):
+        head = np.flatnonzero(np.diff(same, prepend=-1) > 1)
+        nth = same - np.repeat(same[head], np.diff(np.append(head, len(same))))
+        rank[1 + same[nth % 2 == 0]] = _NONE
     at = np.flatnonzero((rank[1:-1] < rank[:-2]) & (rank[1:-1] <= rank[2:]) & (rank[1:-1] < _NONE))
-    uses = np.bincount(rank[1 + at], minlength=len(often))
+    uses = np.bincount(rank[1 + at], minlength=len(pairs))
     kept = uses >= LEAST_USES
     at = at[kept[rank[1 + at]]]
     number = np.cumsum(kept) - 1 + base
@@ -70,7 +83,28 @@ def _round(seq: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     out[at] = number[rank[1 + at]]
     stays = np.ones(len(seq), bool)
     stays[at + 1] = False
-    return out[stays], pair[often[kept]]
+    return out[stays], pairs[kept]
+
+
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    """So many bits of each value: whole bytes first, a byte of all values after the other, then what is left."""
+    whole = [(values >> np.uint32(8 * k)).astype(np.uint8) for k in range(bits // 8)]
+    rest = values >> np.uint32(bits // 8 * 8)
+    left = np.packbits((rest[:, None] >> np.arange(bits % 8, dtype=np.uint32) & np.uint32(1)).astype(np.uint8))
+    return b"".join(x.tobytes() for x in (*whole, left))
+
+
+def _unpacked(data: memoryview, n: int, bits: int) -> tuple[np.ndarray, int]:
+    """The values, and the bytes they took."""
+    out, size, over = np.zeros(n, np.uint32), bits // 8 * n, bits % 8
+    for k in range(bits // 8):
+        out |= np.frombuffer(data, np.uint8, n, k * n).astype(np.uint32) << np.uint32(8 * k)
+    last = -(-n * over // 8)
+    if last:
+        left = np.unpackbits(np.frombuffer(data, np.uint8, last, size), count=n * over).reshape(n, over)
+        for k in range(over):
+            out |= left[:, k].astype(np.uint32) << np.uint32(bits // 8 * 8 + k)
+    return out, size + last
 
 
 def compress(ids: np.ndarray) -> bytes:
@@ -82,36 +116,35 @@ def compress(ids: np.ndarray) -> bytes:
     seq = number[ids]
     rules, rounds = [np.empty(0, np.uint64)], []
     base = len(terminals)
-    while len(seq) > 1 and len(rounds) < MORE_ROUNDS:
-        shorter, pairs = _round(seq, base)
-        if not len(pairs):
-            break
-        least = LEAST_GAIN if len(rounds) + 1 < ROUNDS else 0.25
-        done = len(seq) - len(shorter) < least * len(seq)
-        seq, base = shorter, base + len(pairs)
-        rules.append(pairs)
-        rounds.append(len(pairs))
-        if done:
+    while len(seq) > 1:
+        before = len(seq)
+        seq, pairs = _round(seq, base)
+        if len(pairs):
+            base += len(pairs)
+            rules.append(pairs)
+            rounds.append(len(pairs))
+        if before - len(seq) < LEAST_GAIN * before:
             break
     pairs = np.concatenate(rules)
-    left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(2**32 - 1)).astype(np.int64)
+    left, right = (pairs >> np.uint64(32)).astype(np.uint32), (pairs & np.uint64(2**32 - 1)).astype(np.uint32)
     spans = np.ones(base, np.uint32)
     begin = len(terminals)
     for n in rounds:
         spans[begin : begin + n] = spans[left[begin - len(terminals) :][:n]] + spans[right[begin - len(terminals) :][:n]]
         begin += n
-    width = 2 if base <= 1 << 16 else 4
-    kind = f"<u{width}"
-    head = _SEGMENT.pack(len(ids), len(terminals), len(pairs), len(seq), len(rounds), width)
-    body = [terminals.astype("<u4"), np.array(rounds, "<u4"), left.astype(kind), right.astype(kind), spans[len(terminals) :].astype("<u4"), seq.astype(kind)]
-    return head + b"".join(x.tobytes() for x in body)
+    bits = max(1, int(base - 1).bit_length()) if base else 1
+    longest = int(spans.max(initial=1))
+    width = 1 if longest < 1 << 8 else 2 if longest < 1 << 16 else 4
+    head = _SEGMENT.pack(len(ids), len(terminals), len(pairs), len(seq), len(rounds), bits, width)
+    body = [terminals.astype("<u4"), np.array(rounds, "<u4"), spans[len(terminals) :].astype(f"<u{width}")]
+    return b"".join([head, *(x.tobytes() for x in body), *(_packed(x, bits) for x in (left, right, seq))])
 
 
 class Segment:
     """A stored segment; nothing is expanded until asked for."""
 
     def __init__(self, data: memoryview):
-        self.ids, terminals, rules, symbols, rounds, width = _SEGMENT.unpack_from(data)
+        self.ids, terminals, rules, symbols, rounds, bits, width = _SEGMENT.unpack_from(data)
         at = _SEGMENT.size
 
         def take(n: int, kind: str) -> np.ndarray:
@@ -120,10 +153,14 @@ class Segment:
             at += out.nbytes
             return out
 
-        kind = f"<u{width}"
-        self.terminals, self.rounds = take(terminals, "<u4"), take(rounds, "<u4")
-        self.left, self.right = take(rules, kind), take(rules, kind)
-        self.spans, self.symbols = take(rules, "<u4"), take(symbols, kind)
+        def symbols_of(n: int) -> np.ndarray:
+            nonlocal at
+            out, size = _unpacked(data[at:], n, bits)
+            at += size
+            return out
+
+        self.terminals, self.rounds, self.spans = take(terminals, "<u4"), take(rounds, "<u4"), take(rules, f"<u{width}")
+        self.left, self.right, self.symbols = symbols_of(rules), symbols_of(rules), symbols_of(symbols)
         self.size = at
 
     def _expand(self, seq: np.ndarray) -> np.ndarray:

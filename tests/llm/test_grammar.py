@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -29,6 +30,32 @@ def test_repeats_become_rules():
     assert np.array_equal(segment.read(), ids)
 
 
+def test_a_run_of_one_symbol_is_halved_each_round():
+    data = grammar.compress(np.full(5001, 7, np.uint32))
+    segment = grammar.Segment(memoryview(data))
+    assert len(segment.symbols) < 40 and len(data) < 200
+    assert segment.read(4990, 11).tolist() == [7] * 11
+
+
+def test_rules_are_pairs_counted_exactly():
+    rng = np.random.default_rng(5)
+    seq = rng.integers(0, 30, 4000).astype(np.uint32)
+    codes = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:].astype(np.uint64)
+    count = Counter(codes.tolist())
+    found = grammar._frequent(codes).tolist()
+    assert sorted(found) == sorted(c for c, n in count.items() if n >= grammar.LEAST_USES)
+    assert [count[c] for c in found] == sorted((count[c] for c in found), reverse=True)
+
+
+def test_grammars_are_smaller_than_plain_ids_and_zlib_of_these():
+    rng = np.random.default_rng(6)
+    words = [rng.integers(2, 3000, rng.integers(1, 4)) for _ in range(4000)]
+    often = 1 / np.arange(1, 4001)
+    ids = np.concatenate([words[w] for w in rng.choice(4000, 150_000, p=often / often.sum())]).astype(np.uint32)
+    plain = ids.astype("<u2").tobytes()
+    assert len(grammar.compress(ids)) < len(zlib.compress(plain, 6)) < len(plain)
+
+
 def test_shards_of_many_segments(monkeypatch):
     monkeypatch.setattr(grammar, "SEGMENT_IDS", 64)
     rng = np.random.default_rng(3)
