@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from natspark.operators.ordered import fold_in_order
+
 KEYS = ["host", "alert"]
 ACTIVE, CLEARED = "ACTIVE", "CLEARED"
 
@@ -49,7 +51,7 @@ def incidents(ticks: DataFrame, threshold: float, clear: float, trigger: int = 1
 
 def replay_incidents(ticks: DataFrame, threshold: float, clear: float, trigger: int = 1, clear_n: int = 3, min_batches: int = 1) -> DataFrame:
     """The same where a tick with a ``denominator`` below ``min_batches`` counts only while an incident is open, so
-    that it can end. With one trigger tick this is a matter of marks; with more, whether a tick counts depends on the
+    that it can end; there are no other invalid ticks. With one trigger tick this is a matter of marks; with more, whether a tick counts depends on the
     state, and each series is folded."""
     if clear >= threshold:
         raise ValueError("the clear level must lie below the threshold")
@@ -57,7 +59,7 @@ def replay_incidents(ticks: DataFrame, threshold: float, clear: float, trigger:
         breach = (F.col("indicator") >= threshold) & (F.col("denominator") >= min_batches)
         return _marked(ticks, breach, F.col("indicator") < clear, 1, clear_n)
     rule = Rule(threshold, clear, trigger, clear_n, min_batches)
-    versions = _folded(ticks, rule, update_s=None)
+    versions = _folded(ticks.drop("valid"), rule, update_s=0)
     last = versions.groupBy(*KEYS, "incident").agg(F.max_by(F.struct("start_tick", "end_tick", "peak"), "version").alias("x"))
     return last.select(*KEYS, "incident", "x.*")
 
@@ -140,15 +142,15 @@ def tick_tuples(frame: pd.DataFrame) -> list[tuple[int, float, bool, int]]:
 
 
 def _folded(ticks: DataFrame, rule: Rule, update_s: int | None) -> DataFrame:
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return version_rows(key, fold(State(), tick_tuples(frame), rule, update_s))
+    def run(key: tuple, state: State, frame: pd.DataFrame) -> pd.DataFrame:
+        return version_rows(key, fold(state, tick_tuples(frame), rule, update_s))
 
-    return tick_columns(ticks).groupBy(*KEYS).applyInPandas(run, VERSIONS)
+    return fold_in_order(tick_columns(ticks), KEYS, ["tick"], State, run, VERSIONS)
 
 
 def incident_versions(ticks: DataFrame, threshold: float, clear: float, trigger: int = 1, clear_n: int = 3, update_s: int = 60, min_batches: int = 0) -> DataFrame:
-    """The versions that a collector would emit; when one is due depends on the one before, so each series is folded.
-    A series is one host's ticks of one alert: 8640 a day at a tick every ten seconds."""
+    """The versions that a collector would emit; when one is due depends on the one before, so each series is folded in
+    order, with its state carried along."""
     return _folded(ticks, Rule(threshold, clear, trigger, clear_n, min_batches), update_s)
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from natspark.operators.ordered import fold_in_order
+
 # Counters of a metric line.
 COUNTERS = [
     "total_received", "total_packet_processed", "total_parsed", "total_inserted", "total_udp_kernel_drops",
@@ -29,22 +32,18 @@ SAMPLE, RESTART = "sample", "restart"
 KEYS = ["host", "capture"]
 
 
-def _fields(line: Column) -> Column:
-    """The k=v words of a line as a map; of a repeated key the last counts."""
-    pairs = F.transform(F.filter(F.split(line, " +"), lambda w: w.contains("=")), lambda w: F.struct(F.substring_index(w, "=", 1).alias("k"), F.substr(w, F.instr(w, "=") + 1).alias("v")))
-    size = F.size(pairs)
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(size, F.lit(1))), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
-
-
 def parse_metric_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """The other columns of ``lines``, ``ts``, ``kind``, ``fields`` and the counters, for sample and restart lines.
-    Samples without a time or without received packets are skipped."""
+    Samples without a time or without received packets are skipped. ``fields`` maps the k=v words of a line; of a
+    repeated key the last counts, for which the session's policy for repeated map keys is set."""
+    lines.sparkSession.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     line = F.col(value)
+    # What marks a restart and a sample.
     kind = F.when(line.contains("collector_started"), RESTART).when(line.rlike("metrics .*live_batch_mode="), SAMPLE)
     rest = [c for c in lines.columns if c != value]
-    made = lines.select(*rest, F.regexp_extract(line, r"^(\S+)", 1).try_cast("double").alias("ts"), kind.alias("kind"), _fields(line).alias("fields"))
-    good = (F.col("kind") == RESTART) | ((F.coalesce("ts", F.lit(0.0)) != 0) & (F.coalesce(F.col("fields")["total_received"], F.lit("")) != ""))
+    made = lines.select(*rest, F.regexp_extract(line, r"^(\S+)", 1).try_cast("double").alias("ts"), kind.alias("kind"), F.str_to_map(line, F.lit(" "), F.lit("=")).alias("fields"))
+    counted = line.rlike(r"^(?:.* )?total_received=[^ ]") & ~line.rlike(" total_received=(?: |$)")
+    good = (F.col("kind") == RESTART) | ((F.coalesce("ts", F.lit(0.0)) != 0) & counted)
     return made.where(F.col("kind").isNotNull() & good).select("*", *(F.col("fields")[c].try_cast("bigint").alias(c) for c in COUNTERS))
 
 
@@ -147,16 +146,20 @@ def socket_distribution(metrics: DataFrame) -> DataFrame:
 def counter_increments(samples: DataFrame, keys: list[str], order: str = "seq", value: str = "value") -> DataFrame:
     """``keys, order, increment`` of a cumulative 32-bit counter. The first value counts whole; a wrap-around counts; a
     step of over half the range is an older value that came late: it counts nothing and isn't the base of the next.
-    A group is one socket's samples of one day."""
-    items = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("bigint").alias("v"))))
-    start = F.struct(F.lit(False).alias("has"), F.lit(0).cast("bigint").alias("base"), F.array().cast("array<struct<o:bigint,n:bigint>>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        ahead = F.pmod(x["v"] - s["base"], F.lit(1 << 32))
-        stale = s["has"] & (ahead > 1 << 31)
-        n = F.when(~s["has"], x["v"]).when(stale, 0).otherwise(ahead)
-        base = F.when(stale, s["base"]).otherwise(x["v"])
-        return F.struct(F.lit(True).alias("has"), base.alias("base"), F.concat(s["out"], F.array(F.struct(x["o"].cast("bigint").alias("o"), n.cast("bigint").alias("n")))).alias("out"))
-
-    folded = samples.groupBy(*keys).agg(items.alias("items")).select(*keys, F.explode(F.aggregate("items", start, step, lambda s: s["out"])).alias("x"))
-    return folded.select(*keys, F.col("x.o").alias(order), F.col("x.n").alias("increment"))
+    Each step needs the base that the one before left, so samples are folded in order; those without a value are left
+    out."""
+    kinds = {f.name: f.dataType.simpleString() for f in samples.schema}
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", `{order}` bigint, increment bigint"
+
+    def fold(key: tuple, state: dict, frame: pd.DataFrame) -> pd.DataFrame:
+        found, base = [], state.get("base")
+        for v in frame[value].tolist():
+            ahead = v if base is None else (v - base) % (1 << 32)
+            stale = base is not None and ahead > 1 << 31
+            found.append(0 if stale else ahead)
+            base = base if stale else v
+        state["base"] = base
+        return frame[[*keys, order]].assign(increment=found)
+
+    picked = samples.select(*keys, F.col(order).cast("bigint").alias(order), F.col(value).cast("bigint").alias(value)).where(F.col(value).isNotNull())
+    return fold_in_order(picked, keys, [order, value], dict, fold, schema)

@@ -57,11 +57,12 @@ SELECT 'host-' || CAST(user_id % 4 AS STRING) AS host, {S} + event_id % 3600 AS
 FROM {{events}}
 """
 
+#: Hosts grow with the users, so that a series stays short.
 _TICKS = f"""
-SELECT 'host-' || CAST(user_id % 20 AS STRING) AS host, 'drops' AS alert,
-  CAST({S} AS BIGINT) + 10 * row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id) AS tick,
+SELECT 'host-' || CAST(h AS STRING) AS host, 'drops' AS alert,
+  CAST({S} AS BIGINT) + 10 * row_number() OVER (PARTITION BY h ORDER BY event_id) AS tick,
   value / 100 AS indicator, event_id % 11 <> 0 AS valid, event_id % 5 AS denominator
-FROM {{events}}
+FROM (SELECT *, user_id % 20 + 20 * CAST(floor(user_id / 150) AS BIGINT) AS h FROM {{events}}) e
 """
 
 _VERSIONS = f"""
@@ -96,8 +97,9 @@ SELECT 'spool/batch_' || CAST(o_orderkey AS STRING) || '.rowbinary.done' AS path
 FROM (SELECT *, o_orderkey % 9 AS f FROM {{orders}}) o WHERE f <> 8
 """
 
-#: Cumulative counters per host, a line every ten seconds, in captures of 500 lines; host 1 restarts, host 2 loses a
-#: field now and then, host 3 falls back once, and each has a gap.
+#: Cumulative counters per host, a line every ten seconds, in captures of 500 lines; of every four hosts the second
+#: restarts, the third loses a field now and then, the fourth falls back once, and each has a gap. Hosts grow with the
+#: customers.
 _LINES = f"""
 SELECT host, capture, i, CASE WHEN o_custkey % 4 = 1 AND i % 1300 = 700 THEN CAST({S} + 10 * i AS STRING) || ' ' || host || ' collector: collector_started'
   WHEN i % 401 = 400 THEN 'x ' || host || ' collector: metrics live_batch_mode=true total_received=1'
@@ -109,11 +111,11 @@ SELECT host, capture, i, CASE WHEN o_custkey % 4 = 1 AND i % 1300 = 700 THEN CAS
     || ' queue_packet=' || CAST(o_orderkey % 90 AS STRING) || '/4096 queue_batch=' || CAST(o_orderkey % 7 AS STRING) || '/64 udp_read_batches_10s=' || CAST(o_orderkey % 5 AS STRING)
     || ' udp_full_batches_10s=' || CAST(o_orderkey % 3 AS STRING) || ' udp_receiver_packets_10s=1:' || CAST(o_orderkey % 11 AS STRING) || ',2:' || CAST(o_orderkey % 13 AS STRING) || ',3:7'
   END AS value
-FROM (SELECT *, 'host-' || CAST(o_custkey % 4 AS STRING) AS host, CAST(floor(i / 500) AS BIGINT) AS capture FROM (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey % 4 ORDER BY o_orderkey) AS i,
-    sum(1000 + o_orderkey % 50) OVER (PARTITION BY o_custkey % 4 ORDER BY o_orderkey) AS received,
-    sum(o_orderkey % 3) OVER (PARTITION BY o_custkey % 4 ORDER BY o_orderkey) AS drops
-  FROM {{orders}}) a) b
+FROM (SELECT *, 'host-' || CAST(h AS STRING) AS host, CAST(floor(i / 500) AS BIGINT) AS capture FROM (
+  SELECT *, row_number() OVER (PARTITION BY h ORDER BY o_orderkey) AS i,
+    sum(1000 + o_orderkey % 50) OVER (PARTITION BY h ORDER BY o_orderkey) AS received,
+    sum(o_orderkey % 3) OVER (PARTITION BY h ORDER BY o_orderkey) AS drops
+  FROM (SELECT *, o_custkey % 4 + 4 * CAST(floor(o_custkey / 1500) AS BIGINT) AS h FROM {{orders}}) o) a) b
 """
 
 #: A 32-bit counter per host, socket and day that wraps around, repeats, and at times comes late.
