@@ -1,13 +1,16 @@
 """Near dedup by SimHash: fingerprints, a byte-position inverted index with count filtering, and components.
 
-Fingerprints of 64 bits that differ in two bits at most agree in six of their eight bytes at least. The index posts each
-distinct fingerprint under six keys, each made of the bytes at four positions: the positions form four pairs, and a key
-takes two of them. Two bad bytes leave two whole pairs, so fingerprints with six equal bytes share a key. The pairs of
-a posting list are tallied: pairs with fewer than six equal bytes are dropped, the others verified bit by bit.
-
-A list longer than ``LONG`` is not paired up. Its members meet exactly in another way: each is written under itself and
-under the 64 fingerprints one bit off. Two differ in at most two bits if and only if they share one of these, and none
-has more than 65 members, so neither lists nor pairs grow with the square of a group.
+Fingerprints of 64 bits that differ in two bits at most agree in six of their eight bytes at least. Single bytes would
+make lists of 1/256 of all fingerprints, so the index posts each distinct fingerprint under the bytes at every five of
+the eight positions, 56 keys; with six equal bytes, two share six of these at least. Shared keys are tallied for each
+pair of a posting list; pairs that reach six are kept and verified bit by bit.
+
+A list longer than ``LONG`` is not paired up but split by a further position: its members are posted anew under the
+bytes at every six positions, of which two with six equal bytes share one at least. Lists that are still too long agree
+in six bytes, and are split by bits: each member is posted under its other two bytes as they are and with one bit
+changed. Two differ in two bits at most if and only if they share one of these lists, and none has more than 17 members.
+So neither lists nor pairs grow with the square of a group, and no pair is lost: where one shares a long list, both of
+it are members of that list and meet in the next index.
 
 Components come from minimum labels with hooking and pointer jumping over stored tables, until nothing changes.
 
@@ -19,22 +22,23 @@ without doc_id stay; an empty table gives an empty result; extra columns are kep
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natspark.llm.common import free_name, stored
 from natspark.llm.tokens import blocks
 
 SEED = 42
-#: Not a parameter: six keys of four bytes and the one-bit stars of long lists lose pairs that differ in more bits.
+#: Not a parameter: the least tallies and the last split by bits lose pairs that differ in more bits.
 DISTANCE = 2
 LONG = 64
-#: The two-byte halves of a fingerprint, from the lowest; keys take two of them.
-_HALVES = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+#: Bytes of a key, in the first index and in that of long lists.
+SIZES = (5, 6)
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _PIECE = 1 << 18
 
@@ -72,32 +76,48 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, print long")
 
 
-def _differing(a: Column, b: Column) -> tuple[Column, Column]:
-    """Equal bytes and differing bits of two fingerprints."""
-    x = a.bitwiseXOR(b)
-    equal = sum(((F.shiftrightunsigned(x, 8 * p).bitwiseAND(F.lit(255))) == 0).cast("int") for p in range(8))
-    return equal, F.bit_count(x)
+#: What names a posting list: the positions, as a mask, and the bytes there.
+LIST = ["mask", "bytes"]
+
+
+def _postings(prints: DataFrame, size: int) -> DataFrame:
+    """``print, mask, bytes``: each fingerprint under the bytes at every ``size`` positions."""
+    masks = [_signed(sum(255 << 8 * p for p in positions)) for positions in combinations(range(8), size)]
+    posted = prints.select("print", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
+    return posted.select("print", "mask", F.col("print").bitwiseAND(F.col("mask")).alias("bytes"))
+
+
+def _near(pairs: DataFrame, least: int) -> DataFrame:
+    """Pairs (``a, b``, a row for each key they share) that share ``least`` keys and differ in two bits at most."""
+    tally = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+    return tally.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE).select("a", "b")
 
 
 def links(prints: DataFrame) -> DataFrame:
     """``a, b`` with a < b: links between distinct fingerprints (``print``) that join all that differ in two bits at
     most; of a long posting list, a star around each meeting point."""
-    half = lambda h: F.shiftrightunsigned("print", 16 * h).bitwiseAND(F.lit(0xFFFF))
-    keys = F.array(*(F.lit(i << 32) + F.shiftleft(half(a), 16) + half(b) for i, (a, b) in enumerate(_HALVES)))
-    posted = prints.select("print", F.explode(keys).alias("key"))
-    lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    posted = stored(posted.join(lists, "key"), "postings")
-
-    short = posted.where(F.col("n") <= LONG)
-    equal, bits = _differing(F.col("a"), F.col("b"))
-    pairs = short.select("key", F.col("print").alias("a")).join(short.select("key", F.col("print").alias("b")), "key").where("a < b")
-    near = pairs.where((equal >= 8 - DISTANCE) & (bits <= DISTANCE)).select("a", "b")
-
-    long = posted.where(F.col("n") > LONG).select("print").distinct()
-    off = F.array(F.col("print"), *(F.col("print").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)))
-    met = long.select("print", F.explode(off).alias("point")).groupBy("point").agg(F.sort_array(F.collect_list("print")).alias("of"))
-    star = met.where(F.size("of") > 1).select(F.col("of")[0].alias("a"), F.explode(F.slice("of", 2, 64)).alias("b"))
-    return near.union(star).distinct()
+    found = []
+    for size in SIZES:
+        # Lists of two, nearly all that have more than one, are a pair as they are; only longer ones are read again.
+        lists = _postings(prints, size).groupBy(*LIST).agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("a"), F.max("print").alias("b"))
+        lists = stored(lists.where("n > 1"), "lists")
+        posted = stored(_postings(prints, size).join(lists.where("n > 2").select(*LIST, "n"), LIST), "postings")
+        short = posted.where(F.col("n") <= LONG)
+        pairs = short.select(*LIST, F.col("print").alias("a")).join(short.select(*LIST, F.col("print").alias("b")), LIST).where("a < b")
+        found.append(_near(lists.where("n = 2").select("a", "b").unionByName(pairs.select("a", "b")), comb(8 - DISTANCE, size)))
+        long = posted.where(F.col("n") > LONG)
+        prints = stored(long.select("print").distinct(), "of-long-lists")
+    bits = F.array(*(F.lit(_signed(1 << b if b >= 0 else 0)) for b in range(-1, 64)))
+    split = long.select("print", *LIST, F.explode(bits).alias("bit")).where(F.col("bit").bitwiseAND(F.col("mask")) == 0)
+    met = split.groupBy(*LIST, F.col("print").bitwiseXOR(F.col("bit")).alias("point")).agg(F.sort_array(F.collect_set("print")).alias("of"))
+    star = met.where(F.size("of") > 1).select(F.col("of")[0].alias("a"), F.explode(F.slice("of", 2, 17)).alias("b"))
+    for more in found:
+        star = star.unionByName(more)
+    return star.distinct()
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def components(edges: DataFrame) -> DataFrame:

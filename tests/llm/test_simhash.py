@@ -1,4 +1,5 @@
 import random
+from math import comb
 
 import numpy as np
 import pytest
@@ -53,7 +54,7 @@ def test_long_texts_in_pieces(monkeypatch):
     assert simhash.fingerprint(prose(100, 4).encode()) == plain_fingerprint(prose(100, 4))
 
 
-@pytest.mark.parametrize("long", [64, 2])
+@pytest.mark.parametrize("long", [64, 8, 2])
 def test_links_join_what_brute_force_joins(spark, monkeypatch, long):
     """Clusters, chains and a dense ball, with posting lists paired up and met."""
     monkeypatch.setattr(simhash, "LONG", long)
@@ -75,6 +76,19 @@ def test_links_join_what_brute_force_joins(spark, monkeypatch, long):
         assert {tuple(sorted(x)) for x in got if set(x) <= few} == {x for x in close(few)}
 
 
+def test_keys_shared_by_six_equal_bytes(spark):
+    """Two of six equal bytes share as many keys as the tally asks for, whichever bytes they are."""
+    at = 0x0123456789ABCDEF
+    rows = [(signed(at ^ (1 << 8 * p) ^ (1 << 8 * q + 3)), ) for p in range(8) for q in range(p)] + [(at,)]
+    for size in simhash.SIZES:
+        posted = simhash._postings(spark.createDataFrame(rows, "print long"), size).collect()
+        keys = {}
+        for r in posted:
+            keys.setdefault(r["print"], set()).add((r.mask, r.bytes))
+        assert all(len(k) == comb(8, size) for k in keys.values())
+        assert {len(k & keys[at]) for p, k in keys.items() if p != at} == {comb(6, size)}
+
+
 def test_links_take_no_distance(spark):
     """Keys and stars are made for two bits, so a larger distance would lose pairs in silence."""
     with pytest.raises(TypeError):
