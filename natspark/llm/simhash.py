@@ -101,7 +101,7 @@ def links(prints: DataFrame) -> DataFrame:
         # Lists of two, nearly all that have more than one, are a pair as they are; only longer ones are read again.
         lists = _postings(prints, size).groupBy(*LIST).agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("a"), F.max("print").alias("b"))
         lists = stored(lists.where("n > 1"), "lists")
-        posted = stored(_postings(prints, size).join(lists.where("n > 2").select(*LIST, "n"), LIST), "postings")
+        posted = stored(_postings(prints, size).join(lists.where("n > 2").select(*LIST, "n").hint("shuffle_hash"), LIST), "postings")
         short = posted.where(F.col("n") <= LONG)
         pairs = short.select(*LIST, F.col("print").alias("a")).join(short.select(*LIST, F.col("print").alias("b")), LIST).where("a < b")
         found.append(_near(lists.where("n = 2").select("a", "b").unionByName(pairs.select("a", "b")), comb(8 - DISTANCE, size)))

@@ -8,10 +8,13 @@ to two, the texts that fall into it. All rows of the sketch overestimate, so no
 whose anchor is estimated to be in two texts are grouped exactly. Whole runs go first, by their anchor and a hash of all
 their words, 128 bits: a run that an earlier text has too is repeated window by window, which settles all but the edges
 of copied passages. Only the windows of anchors that have different runs are then grouped one by one, in a third pass,
-by 128 bits. Repeats inside one text are found where the text is read; texts without others move no further.
+by 128 bits. Both halves come from word hashes of their own. Repeats inside one text are found where the text is read;
+texts without others move no further.
 
-What is broadcast are bit sets of a fixed size, whatever the input. With more anchors than cells they pass more to the
-exact steps, which stay in proportion to the input.
+The sketch has a cell in each row for every four bytes of text, about nine for each anchor, so that it filters alike at
+every size. As long as its bits are few (``BROADCAST_BYTES``) they are broadcast; a larger sketch stays a table of the
+cells that are hit twice, which the runs are joined with, and texts are moved to meet the runs whose windows are wanted.
+Either way gives the same runs and windows.
 
 A window is removed if an equal one starts earlier, in a smaller doc_id or before it in the same text. Defined cases:
 null text has no words; rows with one doc_id do not precede each other, and rows without doc_id come last; rows with one
@@ -23,7 +26,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,10 @@ from natspark.llm.common import stored
 from natspark.llm.tokens import blocks
 
 WINDOW, GRAM = 20, 10
-#: Cells of a row of the sketch, and rows: together 32 MB of bits. Cells travel in slices.
-CELLS, ROWS, SLICE = 1 << 27, 2, 1 << 19
+#: Text for each cell of a row of the sketch, and rows. Cells travel in slices.
+BYTES_PER_CELL, ROWS, SLICE = 4, 2, 1 << 19
+#: The most bits that are broadcast, in bytes.
+BROADCAST_BYTES = 64 << 20
 #: Multipliers of the two rolling hashes, both odd and so with inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -51,7 +56,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, and the number of words of each text."""
+    """Two 64-bit hashes of every word, in two rows, and the number of words of each text."""
     from xxhash import xxh64_intdigest
 
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -62,8 +67,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = words.filter(pc.not_equal(words, ""))
     coded = words.dictionary_encode()
     distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-    hashes = np.fromiter(map(xxh64_intdigest, distinct), np.uint64, len(distinct))
-    return hashes[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.uint64), n
+    hashes = np.array([[xxh64_intdigest(w, seed) for w in distinct] for seed in (0, 1)], np.uint64)
+    return hashes[:, coded.indices.to_numpy()] if len(coded) else np.empty((2, 0), np.uint64), n
 
 
 @functools.lru_cache(maxsize=4)
@@ -106,7 +111,7 @@ class Runs:
         self.h, self.n = word_hashes(block.column("text"))
         self.stop = np.cumsum(self.n)
         self.begin = self.stop - self.n
-        anchor = anchors(self.h, window, gram)
+        anchor = anchors(self.h[0], window, gram)
         of = np.repeat(np.arange(len(self.n)), self.n)[: len(anchor)]
         valid = np.arange(len(anchor)) + window <= self.stop[of]
         new = np.ones(len(anchor), bool)
@@ -121,9 +126,9 @@ class Runs:
             head = np.repeat(head, parts) + within * most
         self.text, self.start, self.size, self.anchor = of[head], head, size, anchor[head]
 
-    def spans(self, chosen: np.ndarray, window: int, base: int) -> np.ndarray:
+    def spans(self, chosen: np.ndarray, window: int) -> np.ndarray:
         """Hashes of all words of the chosen runs, and of their number."""
-        sums, back = _summed(self.h, base)
+        sums, back = _summed(self.h[1], _BASES[1])
         a, words = self.start[chosen], self.size[chosen] + window - 1
         return mixed(mixed((sums[a + words] - sums[a]) * back[a]) + words.astype(np.uint64))
 
@@ -156,17 +161,22 @@ def _slices(anchor: np.ndarray, n_cells: int, rows: int) -> Iterator[pa.RecordBa
 _PART = "slice int, cells binary, twice binary"
 
 
+def _counts(sent: Iterator[pa.RecordBatch], width: int) -> np.ndarray:
+    """How often the cells of a slice are hit, up to two."""
+    count = np.zeros(width, np.uint8)
+    for part in sent:
+        for place, twice in zip(part.column("cells").to_pylist(), part.column("twice").to_pylist()):
+            place = np.frombuffer(place, np.uint32)
+            count[place] = np.minimum(count[place] + 1 + np.unpackbits(np.frombuffer(twice, np.uint8))[: len(place)], 2)
+    return count
+
+
 def merged(parts: DataFrame, n_cells: int, rows: int, least: int) -> np.ndarray:
     """The bit set of the cells that all partitions together hit ``least`` times; slices are merged in parallel."""
     width = min(SLICE, n_cells)
 
     def one(key: tuple, sent: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(width, np.uint8)
-        for part in sent:
-            for place, twice in zip(part.column("cells").to_pylist(), part.column("twice").to_pylist()):
-                place = np.frombuffer(place, np.uint32)
-                count[place] = np.minimum(count[place] + 1 + np.unpackbits(np.frombuffer(twice, np.uint8))[: len(place)], 2)
-        bits = np.packbits(count >= least, bitorder="little").tobytes()
+        bits = np.packbits(_counts(sent, width) >= least, bitorder="little").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([bits])], names=["slice", "bits"])
 
     flat = np.zeros(rows * n_cells // 8, np.uint8)
@@ -175,8 +185,19 @@ def merged(parts: DataFrame, n_cells: int, rows: int, least: int) -> np.ndarray:
     return flat.reshape(rows, -1)
 
 
-def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> np.ndarray:
-    """The merged sketch of the anchors of each text: set where two texts, or two anchors, share a cell."""
+def hot_cells(parts: DataFrame, n_cells: int) -> DataFrame:
+    """``cell``: the cells that all partitions together hit twice; those of a row follow those of the row before."""
+    width = min(SLICE, n_cells)
+
+    def one(key: tuple, sent: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(_counts(sent, width) > 1) + key[0].as_py() * width)], names=["cell"])
+
+    return parts.groupBy("slice").applyInArrow(one, "cell long")
+
+
+def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
+    """The partitions' sketches of the anchors of each text. Merged, a cell counts two where two texts, or two anchors,
+    share it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
@@ -195,7 +216,7 @@ def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) ->
         if held:
             yield from _slices(np.concatenate(held), n_cells, rows)
 
-    return merged(docs.mapInArrow(run, _PART), n_cells, rows, 2)
+    return docs.mapInArrow(run, _PART)
 
 
 #: What tells rows apart.
@@ -215,27 +236,44 @@ def row_keys(rows: pa.RecordBatch) -> list[pa.Array]:
     return [rows.column("doc_id"), pa.array(low.view(np.int64)), pa.array(high.view(np.int64))]
 
 
-def runs_of(docs: DataFrame, seen: Broadcast, window: int, gram: int) -> DataFrame:
+_RUNS = ["start", "size", "anchor", "span"]
+
+
+def runs_of(docs: DataFrame, seen: Broadcast | None, window: int, gram: int, n_cells: int = 0, rows: int = 0) -> DataFrame:
     """``ROW`` and ``start, size, anchor, span`` of the runs whose anchor is estimated to be in another text too; anchor and
-    span are the hash of all the run's words."""
+    span are the hash of all the run's words. Without ``seen``, of all runs, with their ``rows`` cells."""
+    cell_names = [f"cell{row}" for row in range(rows)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
                 runs = Runs(block, window, gram)
-                chosen = np.flatnonzero(hit(seen.value, runs.anchor))
+                chosen = np.flatnonzero(hit(seen.value, runs.anchor)) if seen else np.arange(len(runs.anchor))
                 if len(chosen):
-                    text = runs.text[chosen]
+                    text, anchor = runs.text[chosen], runs.anchor[chosen]
                     start = (runs.start[chosen] - runs.begin[text]).astype(np.int32)
-                    span = runs.spans(chosen, window, _BASES[1]).view(np.int64)
-                    columns = [*(c.take(pa.array(text)) for c in row_keys(block)), *map(pa.array, (start, runs.size[chosen].astype(np.int32), runs.anchor[chosen].view(np.int64), span))]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*ROW, "start", "size", "anchor", "span"])
+                    span = runs.spans(chosen, window).view(np.int64)
+                    own = [start, runs.size[chosen].astype(np.int32), anchor.view(np.int64), span, *(cells(anchor, row, n_cells) + row * n_cells for row in range(rows))]
+                    columns = [*(c.take(pa.array(text)) for c in row_keys(block)), *map(pa.array, own)]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*ROW, *_RUNS, *cell_names])
+
+    return docs.mapInArrow(run, ", ".join([f"{_ROW_SCHEMA}, start int, size int, anchor long, span long", *(f"{c} long" for c in cell_names)]))
+
+
+_WINDOWS = f"{_ROW_SCHEMA}, start int, a long, b long"
 
-    return docs.mapInArrow(run, f"{_ROW_SCHEMA}, start int, size int, anchor long, span long")
+
+def _windows(h: np.ndarray, begin: np.ndarray, text: np.ndarray, start: np.ndarray, size: np.ndarray, keys: list[pa.Array], window: int) -> pa.RecordBatch:
+    """The windows of runs (text, start in the block's words, size) of a block; (a, b) is a window's hash."""
+    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    text = np.repeat(text, size)
+    numbers = [rolling(h[k], window, _BASES[k])[at].view(np.int64) for k in (0, 1)]
+    columns = [*(c.take(pa.array(text)) for c in keys), *map(pa.array, ((at - begin[text]).astype(np.int32), *numbers))]
+    return pa.RecordBatch.from_arrays(columns, names=[*ROW, "start", "a", "b"])
 
 
 def windows_of(docs: DataFrame, seen: Broadcast, several: Broadcast, window: int, gram: int) -> DataFrame:
-    """``ROW`` and ``start, a, b``: the windows of the runs whose anchor has several spans; (a, b) is a window's hash."""
+    """``ROW`` and ``start, a, b``: the windows of the runs whose anchor has several spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,16 +281,44 @@ def windows_of(docs: DataFrame, seen: Broadcast, several: Broadcast, window: int
                 runs = Runs(block, window, gram)
                 chosen = np.flatnonzero(hit(seen.value, runs.anchor))
                 chosen = chosen[hit(several.value, runs.anchor[chosen])]
-                if not len(chosen):
-                    continue
-                size = runs.size[chosen]
-                at = np.repeat(runs.start[chosen] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                text = np.repeat(runs.text[chosen], size)
-                numbers = [rolling(runs.h, window, base)[at].view(np.int64) for base in _BASES]
-                columns = [*(c.take(pa.array(text)) for c in row_keys(block)), *map(pa.array, ((at - runs.begin[text]).astype(np.int32), *numbers))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*ROW, "start", "a", "b"])
+                if len(chosen):
+                    yield _windows(runs.h, runs.begin, runs.text[chosen], runs.start[chosen], runs.size[chosen], row_keys(block), window)
 
-    return docs.mapInArrow(run, f"{_ROW_SCHEMA}, start int, a long, b long")
+    return docs.mapInArrow(run, _WINDOWS)
+
+
+def windows_of_runs(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
+    """The same of some ``runs``; their texts are moved to meet them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                h, n = word_hashes(block.column("text"))
+                begin = np.cumsum(n) - n
+                text = np.repeat(np.arange(len(block)), pc.list_value_length(block.column("starts")).to_numpy())
+                start, size = (block.column(c).flatten().to_numpy().astype(np.int64) for c in ("starts", "sizes"))
+                if len(text):
+                    yield _windows(h, begin, text, begin[text] + start, size, [block.column(c) for c in ROW], window)
+
+    of_row = runs.groupBy(*ROW).agg(F.collect_set(F.struct("start", "size")).alias("runs"))
+    return _joined(_keyed(docs), of_row.select(*ROW, F.col("runs.start").alias("starts"), F.col("runs.size").alias("sizes")), "inner").mapInArrow(run, _WINDOWS)
+
+
+def _keyed(docs: DataFrame, wanted: Callable[[pa.RecordBatch], pa.Array] | None = None) -> DataFrame:
+    """``ROW`` and ``text`` of the rows, or of those that are wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(wanted(batch)) if wanted else batch
+            yield pa.RecordBatch.from_arrays([*row_keys(batch), batch.column("text")], names=[*ROW, "text"])
+
+    return docs.mapInArrow(run, f"{_ROW_SCHEMA}, text string")
+
+
+def _joined(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """Keyed texts with the ``starts`` and ``sizes`` of their row."""
+    named = lists.select(*(F.col(c).alias(f"of_{c}") for c in ROW), "starts", "sizes")
+    return texts.join(named, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ROW], how).select(*ROW, "text", "starts", "sizes")
 
 
 def bits_of(numbers: DataFrame, n_cells: int) -> np.ndarray:
@@ -265,16 +331,37 @@ def bits_of(numbers: DataFrame, n_cells: int) -> np.ndarray:
     return merged(numbers.mapInArrow(run, _PART), n_cells, 1, 1)
 
 
-def earlier(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
+def cells_for(docs: DataFrame) -> int:
+    """Cells of a row of the sketch of these texts: the power of two above a cell for every four bytes."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1 << 16, 1 << (size // BYTES_PER_CELL).bit_length())
+
+
+def earlier(docs: DataFrame, window: int, gram: int, n_cells: int | None, rows: int) -> DataFrame:
     """``ROW`` and ``ranges``: runs of windows (start, size) of a text that a text with a smaller doc_id has too. All joins
     are between stored tables, so that a run in a large share of all texts is split between tasks."""
     share = docs.sparkSession.sparkContext.broadcast
-    seen = share(sketch(docs, window, gram, n_cells, rows))
-    runs = stored(runs_of(docs, seen, window, gram), "runs")
+    n_cells = n_cells or cells_for(docs)
+    parts = sketch(docs, window, gram, n_cells, rows)
+    small = rows * n_cells // 8 <= BROADCAST_BYTES
+    if small:
+        seen = share(merged(parts, n_cells, rows, 2))
+        runs = runs_of(docs, seen, window, gram)
+    else:
+        hot = stored(hot_cells(parts, n_cells), "hot-cells")
+        runs = runs_of(docs, None, window, gram, n_cells, rows)
+        for row in range(rows):
+            of_row = hot.where((F.col("cell") >= row * n_cells) & (F.col("cell") < (row + 1) * n_cells)).withColumnRenamed("cell", f"cell{row}")
+            runs = runs.join(of_row, f"cell{row}", "left_semi").drop(f"cell{row}")
+    runs = stored(runs.select(*ROW, *_RUNS), "runs")
     spans = runs.groupBy("anchor", "span").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     spans = stored(spans, "spans")
-    several = share(bits_of(spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), n_cells))
-    windows = stored(windows_of(docs, seen, several, window, gram), "windows")
+    several = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    if small:
+        windows = windows_of(docs, seen, share(bits_of(several, n_cells)), window, gram)
+    else:
+        windows = windows_of_runs(docs, runs.join(stored(several, "several"), "anchor", "left_semi"), window)
+    windows = stored(windows, "windows")
     firsts = windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
     later = "first < doc_id or (doc_id is null and first is not null)"
     whole = runs.join(spans.where("n > 1").select("anchor", "span", "first"), ["anchor", "span"]).where(later)
@@ -286,16 +373,16 @@ def earlier(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) ->
 def covered(h: np.ndarray, starts: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
     """Which words fall into a window that is repeated: those of the ranges of windows, and those that this text
     itself has before."""
-    n = len(h) - window + 1
+    n = h.shape[1] - window + 1
     if n < 1:
-        return np.zeros(len(h), bool)
-    edge = np.zeros(len(h) + 1, np.int64)
+        return np.zeros(h.shape[1], bool)
+    edge = np.zeros(h.shape[1] + 1, np.int64)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + sizes + window - 1, -1)
-    a = rolling(h, window, _BASES[0])
+    a = rolling(h[0], window, _BASES[0])
     ordered = np.sort(a)
     if (ordered[1:] == ordered[:-1]).any():
-        b = rolling(h, window, _BASES[1])
+        b = rolling(h[1], window, _BASES[1])
         _, first, kind = np.unique(a, return_index=True, return_inverse=True)
         again = np.flatnonzero((np.arange(n) != first[kind]) & (b == b[first[kind]]))
         np.add.at(edge, again, 1)
@@ -312,13 +399,13 @@ def _kept(block: pa.RecordBatch, window: int) -> pa.RecordBatch:
     starts, sizes = (x.flatten().to_numpy().astype(np.int64) for x in numbers)
     out = []
     for k, (doc_id, text) in enumerate(zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist())):
-        own, part = h[stops[k] - int(n[k]) : stops[k]], slice(offsets[k], offsets[k + 1])
+        own, part = h[:, stops[k] - int(n[k]) : stops[k]], slice(offsets[k], offsets[k + 1])
         gone = covered(own, starts[part], sizes[part], window)
         kept = (text or "").encode().split()
         if gone.any():
             kept = [w for w, g in zip(kept, gone.tolist()) if not g]
         text = b" ".join(kept)
-        out.append((doc_id, len(own), int(gone.sum()), hashlib.sha256(text).hexdigest(), text))
+        out.append((doc_id, own.shape[1], int(gone.sum()), hashlib.sha256(text).hexdigest(), text))
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_RESULT)
 
@@ -327,22 +414,17 @@ _RESULT = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 _RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
-def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: int = CELLS, rows: int = ROWS) -> DataFrame:
+def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: int | None = None, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept_text`` of every row. Only texts that share a window with an
-    earlier one, by a bit set of their ids, are moved to meet their ranges."""
+    earlier one, by a bit set of their ids, are moved to meet their ranges; ``n_cells`` follows the input by default."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(earlier(texts, window, gram, n_cells, rows), "earlier")
-    some = docs.sparkSession.sparkContext.broadcast(bits_of(found.select("doc_id"), n_cells))
+    some = docs.sparkSession.sparkContext.broadcast(bits_of(found.select("doc_id"), min(n_cells or cells_for(texts), 8 * BROADCAST_BYTES)))
 
     def shares(batch: pa.RecordBatch) -> pa.Array:
         ids = pc.fill_null(batch.column("doc_id"), 0).to_numpy().view(np.uint64)
         return pc.or_(pa.array(hit(some.value, ids)), pc.is_null(batch.column("doc_id")))
 
-    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            some_rows = batch.filter(shares(batch))
-            yield pa.RecordBatch.from_arrays([*row_keys(some_rows), some_rows.column("text")], names=[*ROW, "text"])
-
     def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = batch.filter(pc.invert(shares(batch)))
@@ -355,8 +437,7 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: in
             for block in blocks(batch, "text"):
                 yield _kept(block, window)
 
-    ranges = found.select(*(F.col(c).alias(f"of_{c}") for c in ROW), F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
-    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ROW]
-    joined = texts.mapInArrow(moved, f"{_ROW_SCHEMA}, text string").join(ranges, same, "left")
+    ranges = found.select(*ROW, F.col("ranges.start").alias("starts"), F.col("ranges.size").alias("sizes"))
+    joined = _joined(_keyed(texts, shares), ranges, "left")
     met = joined.select("doc_id", "text", "starts", "sizes").mapInArrow(with_ranges, _RESULT_SCHEMA)
     return texts.mapInArrow(at_once, _RESULT_SCHEMA).unionByName(met)

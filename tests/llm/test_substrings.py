@@ -54,6 +54,19 @@ def test_removed_words(spark, n_cells):
     assert got(spark, passages(), n_cells=n_cells) == brute(passages(), 20)
 
 
+@pytest.mark.parametrize("n_cells", [None, 64])
+def test_a_sketch_too_large_to_broadcast(spark, monkeypatch, n_cells):
+    monkeypatch.setattr(substrings, "BROADCAST_BYTES", 8)
+    assert got(spark, passages(), n_cells=n_cells) == brute(passages(), 20)
+
+
+def test_cells_follow_the_texts(spark):
+    """Nine cells an anchor, or more, at any size: a text of 2 MB has about 50,000 anchors."""
+    docs = docs_of(spark, [(1, "word " * 400_000, "en", "a"), (2, None, "en", "a")])
+    assert substrings.cells_for(docs) == 1 << 19
+    assert substrings.cells_for(docs.where("doc_id = 2")) == 1 << 16
+
+
 def test_other_sizes(spark):
     assert got(spark, passages(), window=6, gram=3, n_cells=1 << 20) == brute(passages(), 6)
 
