@@ -1,7 +1,8 @@
 """Line dedup by site-relative frequency. Built-in functions only.
 
 A page's lines are the texts between its block elements. A line is boilerplate of a host if more than ``ratio`` of the
-host's pages have it, and at least ``min_pages`` do; such lines are dropped from all of the host's pages. Lines are
+host's pages have it, and at least ``min_pages`` do, by default two: what one page alone has isn't repeated, however few
+pages its host has. Such lines are dropped from all of the host's pages. Lines are
 counted once a page, by 128-bit hashes that are summed before the shuffle, so a host with a large share of all pages is
 spread by its lines. A host has at most (mean lines of its pages) / ``ratio`` boilerplate lines, as their shares
 add up to its mean number of lines: this bounds the list that meets its pages.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from natspark.llm.common import free_name, stored
 
-RATIO, MIN_PAGES = 0.3, 5
+RATIO, MIN_PAGES = 0.3, 2
 #: Unseen parts, and elements that end a line.
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 BLOCKS = (
