@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -98,7 +99,15 @@ class Lexicon:
                 free.append((start, end))
             elif weight > at.get(start, 0):
                 at[start] = weight
-        return [(s, w) for s, w in at.items() if not any(a <= s < b for a, b in free)]
+        begins, ends = [], []  # of the exceptions, where they overlap as one
+        for a, b in sorted(free):
+            if ends and a <= ends[-1]:
+                ends[-1] = max(ends[-1], b)
+            else:
+                begins.append(a)
+                ends.append(b)
+        place = {s: bisect_right(begins, s) - 1 for s in at} if begins else {}
+        return [(s, w) for s, w in at.items() if place.get(s, -1) < 0 or s >= ends[place[s]]]
 
     def evidence(self, automaton, text: str) -> tuple[float, float]:
         """Sum of the weights, and the same for a hundred words."""
