@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from natspark.llm.tokens import END_ID, blocks, encoder
 
 WINDOW = 2048
-OPEN_WINDOWS = 1024
+#: Open windows of a task, which hold 8 KB of ids each at most: a bound of memory that the rule stays far below.
+OPEN_WINDOWS = 8192
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 

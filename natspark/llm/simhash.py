@@ -15,8 +15,8 @@ it are members of that list and meet in the next index.
 Components come from minimum labels with hooking and pointer jumping over stored tables, until nothing changes.
 
 Defined cases: a text without words has fingerprint zero and links like any other; null text has no words; null doc_ids
-never name a component unless all of its are null; rows with one doc_id count as one document in :func:`keep`, and rows
-without doc_id stay; an empty table gives an empty result; extra columns are kept by :func:`keep`.
+never name a component unless all of its are null; rows with one doc_id are told apart by their texts in :func:`keep`, and
+rows without doc_id stay; an empty table gives an empty result; extra columns are kept by :func:`keep`.
 """
 
 from __future__ import annotations
@@ -66,14 +66,15 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, print``, the fingerprint as a signed number. One pass over the texts, no shuffle."""
+    """``doc_id, text_hash, print``, the fingerprint as a signed number. One pass over the texts, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in (b for batch in batches for b in blocks(batch, "text")):
             prints = np.array([fingerprint(bytes(t.as_buffer()), shingle) if t.is_valid else 0 for t in block.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_hash"), pa.array(prints.view(np.int64))], names=["doc_id", "text_hash", "print"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, print long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, "doc_id long, text_hash long, print long")
 
 
 #: What names a posting list: the positions, as a mask, and the bytes there.
@@ -138,7 +139,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, print, component_id`` of every row; the component is named by its smallest doc_id. Rows meet their
+    """``doc_id, text_hash, print, component_id`` of every row; the component is named by its smallest doc_id. Rows meet their
     component by fingerprint, from stored tables, so that a fingerprint with a large share of the rows is split."""
     prints = stored(fingerprints(docs, shingle), "prints")
     distinct = stored(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct")
@@ -147,11 +148,12 @@ def grouped(docs: DataFrame, shingle: int = 3) -> DataFrame:
     named = stored(named, "named")
     ids = stored(named.groupBy("label").agg(F.min("first").alias("component_id")), "components")
     of_print = stored(named.join(ids, "label").select("print", "component_id"), "of_print")
-    return prints.join(of_print, "print").select("doc_id", "print", "component_id")
+    return prints.join(of_print, "print").select("doc_id", "text_hash", "print", "component_id")
 
 
 def keep(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``docs`` without the documents whose component has a smaller doc_id."""
-    gone = free_name(docs, "gone")
-    dropped = grouped(docs, shingle).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col(gone), "left_anti")
+    gone, of = free_name(docs, "gone"), free_name(docs, "of_text")
+    dropped = grouped(docs, shingle).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(gone), F.col("text_hash").alias(of)).distinct()
+    same = (F.col("doc_id") == F.col(gone)) & (F.xxhash64(F.col("text").cast("string")) == F.col(of))
+    return docs.join(dropped, same, "left_anti")

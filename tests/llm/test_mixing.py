@@ -64,7 +64,7 @@ def test_rates_are_exponential_in_size(spark):
     sizes = rng.integers(1, 4000, 3000)
     rows = [(k, "a" if k < 2000 else "b", int(n)) for k, n in enumerate(sizes)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
-    mixing.mix(df, F.col("size"))
+    taken = {r.doc.doc_id: r.copies * r["size"] for r in mixing.mix(df, F.col("size")).collect()}
     for source, part in (("a", sizes[:2000]), ("b", sizes[2000:])):
         target = brute_targets({"a": int(sizes[:2000].sum()), "b": int(sizes[2000:].sum())})[source]
         mean = part.mean()
@@ -73,6 +73,12 @@ def test_rates_are_exponential_in_size(spark):
         for _ in range(200):
             mid = (low + high) / 2
             low, high = (mid, high) if (rate(mid) * part).sum() < target else (low, mid)
+        # From the largest down, the words taken follow those of the rates to within a document.
+        first = 0 if source == "a" else 2000
+        order = np.argsort(-part, kind="stable")
+        words = np.cumsum([taken[first + int(k)] for k in order])
+        same_size = np.append(np.diff(part[order]) != 0, True)
+        assert np.abs(words - np.cumsum((rate(mid) * part)[order]))[same_size].max() <= 4000
         bins = F.array(*(F.struct(F.lit(int(s)).alias("bin"), F.lit(1).alias("n"), F.lit(float(s)).alias("words"), F.lit(float(s)).alias("mean")) for s in part[:300]))
         part = part[:300]
         mean, target = part.mean(), 0.6 * part.sum()

@@ -126,6 +126,12 @@ def test_groups(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r, w in zip(rows, [least.get(root[plain_fingerprint(r[1])]) for r in rows]) if r[0] is None or r[0] == w)
 
 
+def test_rows_of_one_id_are_kept_by_their_texts(spark):
+    copy, own = prose(80, 61), prose(80, 62)
+    docs = docs_of(spark, [(1, copy, "en", "a"), (2, copy, "en", "a"), (2, own, "en", "a"), (3, copy, "en", "a")])
+    assert sorted((r.doc_id, r.text == own) for r in simhash.keep(docs).collect()) == [(1, False), (2, True)]
+
+
 def test_empty_table(spark):
     assert simhash.grouped(docs_of(spark, [])).count() == 0
     assert simhash.keep(docs_of(spark, [])).count() == 0
