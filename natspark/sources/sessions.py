@@ -6,7 +6,7 @@ import datetime
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from natspark.functions.times import event_date
@@ -28,15 +28,15 @@ def partition_path(path: str, **keys: object) -> str:
     return "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in keys.items())])
 
 
-def read_sessions(spark: SparkSession, path: str, day: datetime.date, nodes: Iterable[str] | None = None) -> DataFrame:
-    """One day of some nodes. Only their partitions are listed and read."""
-    nodes = None if nodes is None else list(nodes)
-    for node in nodes or []:
+def read_sessions(spark: SparkSession, path: str, day: datetime.date, nodes: Iterable[str]) -> DataFrame:
+    """One day of some nodes, each of which must be there. Only their partitions are listed and read."""
+    nodes = list(nodes)
+    for node in nodes:
         fs, at = _fs(spark, partition_path(path, event_date=day, node=node))
         if not fs.exists(at):
             raise MissingNode(f"{node} has no sessions of {day}")
     table = spark.read.schema(f"{SESSIONS}, event_date date, node string").parquet(path).where(F.col("event_date") == F.lit(day))
-    return table if nodes is None else table.where(F.col("node").isin(nodes))
+    return table.where(F.col("node").isin(nodes))
 
 
 def write_sessions(sessions: DataFrame, path: str, files_per_partition: int = 4, max_records: int = 20_000_000) -> None:
@@ -48,25 +48,48 @@ def write_sessions(sessions: DataFrame, path: str, files_per_partition: int = 4,
     spread.write.mode("append").partitionBy(*PARTITIONS).option("maxRecordsPerFile", max_records).parquet(path)
 
 
+def _sweep(spark: SparkSession, path: str, target: str, part: str) -> None:
+    """Clear what a killed publication of this partition left: the old partition goes back if there is no new one."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return
+    _, at = _fs(spark, target)
+    for left in fs.listStatus(root):
+        folder = left.getPath()
+        name = folder.getName()
+        if name.startswith(("_old-", "_staging-")):
+            _, inside = _fs(spark, f"{folder.toString()}/{part}")
+            if fs.exists(inside):
+                if name.startswith("_old-") and not fs.exists(at):
+                    fs.mkdirs(at.getParent())
+                    fs.rename(inside, at)
+                fs.delete(folder, True)
+
+
 def publish_partition(df: DataFrame, path: str, **keys: object) -> int:
     """Replace exactly one partition of a Parquet table by ``df`` and return its rows.
 
-    The new rows are staged beside the table and counted again from there; only then is the partition moved away and
-    the staged folder moved in. No rows remove the partition. If anything fails, the old partition is back in place.
+    The new rows are staged beside the table, counted as they are written and again from there; only then is the
+    partition moved away and the staged folder moved in. No rows remove the partition. If anything fails, the old
+    partition is back in place; if the job is killed between the two moves, the next publication of this partition, or
+    anyone who moves ``_old-*`` back, restores it. Two publications of one partition must not run at a time.
     """
     spark = df.sparkSession
-    target, run = partition_path(path, **keys), uuid.uuid4().hex
-    staged, old = f"{path.rstrip('/')}/_staging-{run}", f"{path.rstrip('/')}/_old-{run}"
-    fs, at = _fs(spark, target)
-    (_, staged_at), (_, old_at) = _fs(spark, staged), _fs(spark, old)
-    body = df.drop(*keys)
+    target, run, part = partition_path(path, **keys), uuid.uuid4().hex, partition_path("", **keys).lstrip("/")
+    folders = [f"{path.rstrip('/')}/_{kind}-{run}" for kind in ("staging", "old")]
+    (fs, at), (_, staged_at), (_, old_at) = (_fs(spark, p) for p in (target, *(f"{f}/{part}" for f in folders)))
+    _sweep(spark, path, target, part)
+    body, written = df.drop(*keys), Observation()
     try:
-        body.write.parquet(staged)
-        rows = spark.read.schema(body.schema).parquet(staged).count()
-        expected = df.count()
-        if rows != expected:
-            raise RuntimeError(f"{rows} rows were staged of {expected}")
-        moved = fs.exists(at) and fs.rename(at, old_at)
+        body.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(staged_at.toString())
+        rows = spark.read.schema(body.schema).parquet(staged_at.toString()).count()
+        if rows != written.get["rows"]:
+            raise RuntimeError(f"{rows} rows were staged of {written.get['rows']}")
+        moved = fs.exists(at)
+        if moved:
+            fs.mkdirs(old_at.getParent())
+            if not fs.rename(at, old_at):
+                raise RuntimeError(f"could not move {target} away")
         try:
             if rows:
                 fs.mkdirs(at.getParent())
@@ -76,9 +99,9 @@ def publish_partition(df: DataFrame, path: str, **keys: object) -> int:
             if moved:
                 fs.rename(old_at, at)
             raise
-        if moved:
-            fs.delete(old_at, True)
     finally:
-        if fs.exists(staged_at):
-            fs.delete(staged_at, True)
+        for folder in folders:
+            _, left = _fs(spark, folder)
+            if fs.exists(left):
+                fs.delete(left, True)
     return rows

@@ -4,6 +4,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from natspark import job
 from natspark.operators import decode, reports, runner
 from natspark.schema import SESSION_COLUMNS, SESSIONS, SESSIONS_V1
 from natspark.sources import packets, rowbinary
@@ -119,6 +120,43 @@ def test_a_failing_case_leaves_the_others_alone(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/out/public_ip_pool").count() == 2
 
 
+def test_subscribers_of_each_address_are_published_apart(spark, tmp_path):
+    path, out = f"file://{tmp_path}/s", f"file://{tmp_path}/out"
+    write_sessions(sessions(spark, [session(k) for k in range(3)]), path)
+    found = sorted({r.public_ip for r in read_sessions(spark, path, DAY, ["node-1"]).collect()})
+    case = runner.BY_ADDRESS
+    for ip in (*found, 12345):
+        assert not runner.run_reports(spark, path, DAY, [case], out, ["node-1"], [ip]).first().error
+    got = spark.read.parquet(f"{out}/{case}").collect()
+    assert sorted({r.public_ip for r in got}) == found and all(r.loaded_at is not None for r in got)
+
+
+def test_a_killed_publication_is_swept(spark, tmp_path):
+    path = f"file://{tmp_path}/r"
+    publish_partition(report(spark, 2), path, data_date=DAY)
+    publish_partition(report(spark, 1), path, data_date=DAY + datetime.timedelta(days=1))
+    table = tmp_path / "r"
+    (table / "_old-x").mkdir()
+    (table / f"data_date={DAY}").rename(table / "_old-x" / f"data_date={DAY}")
+    (table / "_staging-x" / f"data_date={DAY}").mkdir(parents=True)
+    broken = report(spark, 1).withColumn("v", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        publish_partition(broken, path, data_date=DAY)
+    assert spark.read.parquet(path).where(F.col("data_date") == F.lit(DAY)).count() == 2
+    assert sorted(p.name for p in table.iterdir()) == [f"data_date={DAY}", f"data_date={DAY + datetime.timedelta(days=1)}"]
+
+
+def test_job(spark, tmp_path, capsys):
+    path, out = f"file://{tmp_path}/s", f"file://{tmp_path}/out"
+    write_sessions(sessions(spark, [session(k) for k in range(3)]), path)
+    args = ["--sessions", path, "--out", out, "--date", str(DAY), "--cases", "smtp_abuse", "--nodes", "node-1"]
+    assert job.main([*args, "--dry-run"], spark) == 0 and not (tmp_path / "out").exists()
+    assert job.main(args, spark) == 0 and spark.read.parquet(f"{out}/smtp_abuse").count() == 3
+    assert job.main([*args, "node-2"], spark) == 1 and "MissingNode" in capsys.readouterr().out
+    assert job.yesterday(datetime.datetime(2026, 9, 10, 0, 30, tzinfo=datetime.timezone.utc).timestamp()) == datetime.date(2026, 9, 8)
+    assert job.address("200.1.2.3") == 0xC8010203
+
+
 def test_windowed_reports_drop_sessions_of_the_day_before(spark):
     early = session(start_time=T0 - datetime.timedelta(days=1))
     made = sessions(spark, [session(), session(1), early]).withColumn("event_date", F.lit(DAY))
@@ -135,6 +173,6 @@ def test_top_k_is_per_node_and_ties_go_to_lower_addresses(spark):
 def test_reports_prune_columns_and_rank_in_parts(spark, tmp_path):
     path = f"file://{tmp_path}/p"
     write_sessions(sessions(spark, [session(k) for k in range(3)]), path)
-    plan = reports.smtp_abuse(read_sessions(spark, path, DAY))._jdf.queryExecution().toString()
+    plan = reports.smtp_abuse(read_sessions(spark, path, DAY, ["node-1"]))._jdf.queryExecution().toString()
     assert plan.split("Physical Plan")[1].count("Window [row_number()") == 2 and "PushedFilters: [IsNotNull(destination_port), EqualTo(destination_port,25)]" in plan
     assert "private_port" not in plan.split("ReadSchema")[1].splitlines()[0] and "PartitionFilters: [isnotnull(event_date" in plan
