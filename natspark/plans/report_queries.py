@@ -17,8 +17,8 @@ from natspark.sources import rowbinary
 from natspark.sources.sessions import publish_partition, read_sessions, write_sessions
 from natspark.sources.shared import new_path
 
-#: Rows of top-k reports in these queries: few enough for the cut to bite on small tables.
-K = 50
+# Rows of the top-k reports for each node and day.
+SMTP_K, SHARING_K = 10_000, 200
 DAY = datetime.date(2026, 8, 1)
 ALL: dict = {}
 SQL: dict[str, str] = {}
@@ -76,10 +76,10 @@ def hourly_nat_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT * FROM (SELECT data_date, node, private_ip, public_ip, destination_ip, count(*) AS sessions, CAST(sum(packet_size) AS BIGINT) AS total_bytes
-  FROM dated WHERE destination_port = 25 GROUP BY ALL) t {_TOP.format('sessions DESC, private_ip, public_ip, destination_ip', K)}"""
+  FROM dated WHERE destination_port = 25 GROUP BY ALL) t {_TOP.format('sessions DESC, private_ip, public_ip, destination_ip', SMTP_K)}"""
 )
 def smtp_abuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(reports.smtp_abuse(inputs.sessions(spark, sf_dir), k=K))
+    return _out(reports.smtp_abuse(inputs.sessions(spark, sf_dir), k=SMTP_K))
 
 
 @query(
@@ -115,18 +115,18 @@ _SHARING = f"""SELECT data_date, node, {_HOUR} AS hour, public_ip, count(DISTINC
   count(DISTINCT router_ip) AS routers, count(*) AS records FROM dated WHERE start_day = event_day GROUP BY ALL"""
 
 
-@query(f"SELECT data_date, node, least(count(*), {K}) AS rows, true AS near FROM ({_SHARING}) t GROUP BY ALL")
+@query(f"SELECT data_date, node, least(count(*), {SHARING_K}) AS rows, true AS near FROM ({_SHARING}) t GROUP BY ALL")
 def public_ip_sharing_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = inputs.sessions(spark, sf_dir)
     keys = ["data_date", "node", "hour", "public_ip"]
     exact = reports.public_ip_sharing_hour(made, k=1 << 30, exact=True)
-    both = reports.public_ip_sharing_hour(made, k=K).join(exact.select(*keys, "origins"), keys)
+    both = reports.public_ip_sharing_hour(made, k=SHARING_K).join(exact.select(*keys, "origins"), keys)
     return _out(both.groupBy("data_date", "node").agg(F.count(F.lit(1)).alias("rows"), F.every(_near("origins_approx", "origins")).alias("near")))
 
 
-@query(f"SELECT * FROM ({_SHARING}) t {_TOP.format('origins DESC, hour, public_ip', K)}")
+@query(f"SELECT * FROM ({_SHARING}) t {_TOP.format('origins DESC, hour, public_ip', SHARING_K)}")
 def public_ip_sharing_hour_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(reports.public_ip_sharing_hour(inputs.sessions(spark, sf_dir), k=K, exact=True))
+    return _out(reports.public_ip_sharing_hour(inputs.sessions(spark, sf_dir), k=SHARING_K, exact=True))
 
 
 @query(f"SELECT data_date, node, count(*) AS rows, CAST(sum(translations) AS BIGINT) AS translations FROM ({_POOL}) t GROUP BY ALL")
