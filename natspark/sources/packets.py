@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,9 +64,8 @@ def packets_of_files(files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                rows = list(walk(bytes(content)))
-                for begin in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[begin : begin + 10_000], columns=["received_ns", "router", "router_port", "payload"])
+                for rows in batched(walk(bytes(content)), 10_000):
+                    yield pd.DataFrame(list(rows), columns=["received_ns", "router", "router_port", "payload"])
 
     got = files.select("content").mapInPandas(run, "received_ns bigint, router string, router_port int, payload binary")
     seconds = F.floor(F.col("received_ns") / F.lit(1_000_000_000)).cast("bigint")

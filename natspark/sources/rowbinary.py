@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -86,8 +87,7 @@ def decode_rowbinary(files: DataFrame, version: int = 2, keep: tuple[str, ...] =
                     rows = rows_v2(content)
                     parts = ({c: rows[c][b : b + ROWS_PER_BATCH] for c in names} for b in range(0, len(rows), ROWS_PER_BATCH))
                 else:
-                    table = pd.DataFrame(rows_v1(content), columns=names)
-                    parts = [dict(table.items())] if len(table) else []
+                    parts = (dict(zip(names, zip(*rows))) for rows in batched(rows_v1(content), ROWS_PER_BATCH))
                 for part in parts:
                     yield _typed(part, schema).assign(**{c: getattr(row, c) for c in keep})
 
