@@ -513,12 +513,11 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("rows"), F.sum("private_port").alias("ports"))
 
 
-def _run(stream: DataFrame, name: str) -> DataFrame:
-    """The rows that a stream appends until its source is read."""
-    spark, out = stream.sparkSession, new_path(stream.sparkSession, name)
-    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, f"{name}-state"))
+def _run(stream: DataFrame, out: str, state: str) -> DataFrame:
+    """The rows that a stream has appended when its source is read."""
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
     writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
 @query("SELECT received_s, count(*) AS packets FROM (SELECT DISTINCT received_s, router_ip, raw_hex FROM packets) t GROUP BY ALL", "packets")
@@ -528,16 +527,22 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     packets = inputs.packets(spark, sf_dir).withColumn("received_time", F.timestamp_seconds("received_s"))
     packets.unionByName(packets).repartition(3).write.parquet(source)
     stream = spark.readStream.schema(packets.schema).parquet(source)
-    return _run(ingest.stream_dedup(stream, "4 days"), "deduped").groupBy("received_s").agg(F.count(F.lit(1)).alias("packets"))
+    return _run(ingest.stream_dedup(stream, "4 days"), new_path(spark, "deduped"), new_path(spark, "deduped-state")).groupBy("received_s").agg(F.count(F.lit(1)).alias("packets"))
 
 
 @query(_ended_sql(_INCIDENTS), "ticks")
 def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = new_path(spark, "ticks")
+    """Ticks from many files in no order; a last one far ahead, of a series of its own, lets the watermark pass them all."""
+    source, out, state = new_path(spark, "ticks"), new_path(spark, "incidents"), new_path(spark, "incidents-state")
     ticks = inputs.table(spark, sf_dir, "ticks")
-    ticks.coalesce(1).write.parquet(source)
+    ticks.repartition(spark.sparkContext.defaultParallelism).write.parquet(source)
+    newest = ticks.agg((F.max("tick") + 1_000_000).alias("tick"))
+    fields = {"host": "none", "alert": "none", "indicator": 0, "valid": False, "denominator": 0}
+    last = newest.select("tick", *(F.lit(v).cast(ticks.schema[k].dataType).alias(k) for k, v in fields.items()))
     stream = spark.readStream.schema(ticks.schema).parquet(source)
-    versions = _run(live.stream_incidents(stream, 1.0, 0.2, 2, 2, update_s=0), "incidents")
+    _run(live.stream_incidents(stream, 1.0, 0.2, 2, 2, update_s=0), out, state)
+    last.write.mode("append").parquet(source)
+    versions = _run(live.stream_incidents(stream, 1.0, 0.2, 2, 2, update_s=0), out, state)
     last = versions.groupBy("host", "alert", "incident").agg(F.max_by(F.struct("start_tick", "end_tick", "peak"), "version").alias("x"))
     return _ended(last.select("host", "alert", "incident", "x.*"))
 
@@ -545,15 +550,12 @@ def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_EV + _COHORTS + " SELECT second, CAST(sum(received_packets) AS BIGINT) AS received FROM cohorts GROUP BY ALL")
 def stream_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-second cohorts of a stream, closed by its watermark; a last event far ahead closes them all."""
-    source = new_path(spark, "events")
+    source, out, state = new_path(spark, "events"), new_path(spark, "cohorts"), new_path(spark, "cohorts-state")
     events = inputs.pipeline_events(spark, sf_dir)
-    events.coalesce(1).write.parquet(source)
+    events.write.parquet(source)
     late = events.limit(1).select("host", F.lit("none").alias("kind"), F.timestamp_seconds(F.lit(S + 1_000_000)).alias("cohort_time"), F.timestamp_seconds(F.lit(S + 1_000_000)).alias("done_time"), "packets", "rows")
-    stream = live.watermarked(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source))
-    out, state = new_path(spark, "cohorts"), new_path(spark, "cohorts-state")
+    stream = live.watermarked(spark.readStream.schema(events.schema).parquet(source))
     counted = stream.groupBy("host", F.window("cohort_time", "1 second").alias("w")).agg(F.sum(F.when(F.col("kind") == "received", F.col("packets")).otherwise(0)).alias("received"))
-    for _ in range(2):
-        counted.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-        late.write.mode("append").parquet(source)
-    counted.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(counted.schema).parquet(out).groupBy(F.unix_seconds("w.start").alias("second")).agg(F.sum("received").alias("received"))
+    _run(counted, out, state)
+    late.write.mode("append").parquet(source)
+    return _run(counted, out, state).groupBy(F.unix_seconds("w.start").alias("second")).agg(F.sum("received").alias("received"))

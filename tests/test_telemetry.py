@@ -167,16 +167,32 @@ def test_versions_wait_for_the_update_interval(spark):
     assert [(r.emitted_tick, r.peak, r.end_tick, r.state) for r in got] == [(0, 1.0, None, "ACTIVE"), (60, 3.0, None, "ACTIVE"), (70, 3.0, 70, "CLEARED")]
 
 
-def test_a_restart_does_not_open_an_incident_again(spark, tmp_path):
+def test_ticks_out_of_order_over_restarts(spark, tmp_path):
+    """Each part is a file and a run of its own; the last but one lets the watermark pass, the last comes too late."""
     source, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
-    for part in ([(5, True, 1)], [(6, True, 1), (0, True, 1)]):
-        frame = ticks(spark, part).withColumn("tick", F.col("tick") + (10 if len(part) == 2 else 0))
+    for part in ([(5010, 6.0)], [(5020, 0.0), (5000, 5.0)], [(6000, 0.0)], [(5005, 9.0), (None, 9.0)]):
+        frame = spark.createDataFrame([("h", "a", t, v, True, 1) for t, v in part], TICKS)
         frame.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(TICKS).parquet(source)
         writer = live.stream_incidents(stream, 1, 0.2, clear_n=1, update_s=0).writeStream.format("parquet").option("path", out)
         writer.option("checkpointLocation", f"file://{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
     got = spark.read.schema(incidents.VERSIONS).parquet(out).orderBy("version").collect()
-    assert [(r.incident, r.version, r.state, r.peak) for r in got] == [(1, 1, "ACTIVE", 5.0), (1, 2, "ACTIVE", 6.0), (1, 3, "CLEARED", 6.0)]
+    assert [(r.incident, r.version, r.emitted_tick, r.state, r.peak) for r in got] == [(1, 1, 5000, "ACTIVE", 5.0), (1, 2, 5010, "ACTIVE", 6.0), (1, 3, 5020, "CLEARED", 6.0)]
+
+
+def test_ticks_of_many_files_give_the_versions_of_the_whole_series(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(f"h{h}", "a", 5000 + 10 * k, rng.choice([0.0, 0.1, 0.5, 1.0, 2.0]), rng.random() > 0.2, 1) for h in range(3) for k in range(60)]
+    source, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    mixed = sorted(rows, key=lambda r: r[2] + rng.randrange(250))
+    for k in range(0, len(mixed), 45):
+        spark.createDataFrame(mixed[k : k + 45], TICKS).coalesce(1).write.mode("append").parquet(source)
+    spark.createDataFrame([("z", "a", 10_000, 0.0, False, 1)], TICKS).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(TICKS).option("maxFilesPerTrigger", 1).parquet(source)
+    writer = live.stream_incidents(stream, 1, 0.2, 2, 2).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"file://{tmp_path}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    want = incidents.incident_versions(spark.createDataFrame(rows, TICKS), 1, 0.2, 2, 2)
+    assert sorted(spark.read.schema(incidents.VERSIONS).parquet(out).collect()) == sorted(want.collect())
 
 
 SIDECAR = '{"schema_version": %s, "table_name": "%s", "rows": %s, "bytes": %s, "format": "%s"}'
