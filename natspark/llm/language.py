@@ -1,17 +1,22 @@
 """Language of texts by a linear-chain conditional random field over words.
 
 A word's evidence is a sum of weights of its byte n-grams, its affixes (n-grams that touch the word's ends, and its
-first and last four bytes) and its place in a lexicon of frequent words. Transition weights between the languages of
-neighbouring words are learnt too, so that a switch of language inside a text can be followed. Words are labelled by
-forward-backward; a text's language is the one with the largest sum of word probabilities, its score that sum's share.
+first and last four bytes) and its place in a lexicon of frequent words. Start weights and transition weights between
+the languages of neighbouring words are learnt too, so that a switch of language inside a text can be followed. Words
+are labelled by forward-backward; a text's language is the one with the largest sum of word probabilities, its score
+that sum's share.
 
 Many texts make one chain: at a text's first word the transition is replaced by the start distribution, which forgets
 all before. The chain is cut into strips that numpy handles side by side; each strip's transfer matrix first carries
-the state to the next strip, so the result is that of the whole chain. Evidence is computed once for each distinct word
-of a block.
+the state to the next strip, so the result is that of the whole chain. Likewise a chain is worked off in pieces of
+``PIECE`` words, so that memory beyond a text's words doesn't grow with its length. Evidence is computed once for each
+distinct word of a block.
 
 The model is fitted on a sample of about ``rows`` documents of each language, chosen by a hash of the id outside the
-held-out fold; everything else covers all texts, whole.
+held-out fold; of a document longer than ``SPAN`` characters it takes one span of that length, at a place chosen by the
+hash. So the driver holds at most about ``rows * SPAN`` characters a language. Labels are given for documents, so
+code-switched texts are made: of each ``SWITCH`` sampled documents the last goes on where the one before ends. Weights
+of a transition are learnt inside texts only. Everything else covers all texts, whole.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; rows without lang teach nothing; rows
 without doc_id are not held out, and teach nothing; without any labelled text all is ``und``; equal rows get equal
@@ -33,9 +38,12 @@ from pyspark.sql import functions as F
 from natspark.llm.tokens import blocks
 from natspark.llm.toxicity import held_out
 
-SAMPLE_ROWS, LEXICON = 400, 4000
+SAMPLE_ROWS, SPAN, LEXICON = 400, 20_000, 4000
+SWITCH = 4
 SLOTS = 1 << 16
 STRIP = 64
+#: Words worked off together; strips must fill it.
+PIECE = 1 << 16
 _DROP = {ord(c): None for c in string.punctuation + string.digits}
 _NEWLINE = 10
 
@@ -80,9 +88,9 @@ class Model:
         return out
 
 
-def marginals(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probabilities of each word's language, exactly those of the whole chain; also the (unnormalised) forward and
-    backward weights. ``first`` marks the words that open a text."""
+def _strips(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The chain in strips: factors of words, openings of texts, factors of transitions and of starts, and the transfer
+    matrix of each strip up to a factor."""
     n, k = evidence.shape
     strips = max(1, -(-n // STRIP))
     e = np.ones((strips * STRIP, k))
@@ -92,7 +100,6 @@ def marginals(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray,
     opens[:n] = first
     opens = opens.reshape(strips, STRIP)
     a, pi = np.exp(transitions - transitions.max()), np.exp(start - start.max())
-
     carry = np.broadcast_to(np.eye(k), (strips, k, k)).copy()
     for t in range(STRIP):
         moved = carry @ a
@@ -100,17 +107,45 @@ def marginals(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray,
         moved[o] = carry[o].sum(2)[:, :, None] * pi
         carry = moved * e[:, t, None, :]
         carry /= carry.sum((1, 2), keepdims=True)
-    enter, leave = np.empty((strips, k)), np.empty((strips, k))
-    state = np.ones(k) / k
-    for s in range(strips):
-        enter[s] = state
+    return e, opens, a, pi, carry
+
+
+def borders(carry: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The state in which each of these transfer matrices is entered, and the backward state in which it is left."""
+    n, k = carry.shape[:2]
+    enters, leaves = np.empty((n, k)), np.empty((n, k))
+    state = np.ones(k) / k if enter is None else enter
+    for s in range(n):
+        enters[s] = state
         state = state @ carry[s]
         state /= state.sum()
-    state = np.ones(k) / k
-    for s in reversed(range(strips)):
-        leave[s] = state
+    state = np.ones(k) / k if leave is None else leave
+    for s in reversed(range(n)):
+        leaves[s] = state
         state = carry[s] @ state
         state /= state.sum()
+    return enters, leaves
+
+
+def transfer(evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The transfer matrix of a part of a chain, up to a factor; its strips must be full."""
+    carry = _strips(evidence, first, transitions, start)[-1]
+    whole = carry[0]
+    for one in carry[1:]:
+        whole = whole @ one
+        whole /= whole.sum()
+    return whole
+
+
+def marginals(
+    evidence: np.ndarray, first: np.ndarray, transitions: np.ndarray, start: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probabilities of each word's language, exactly those of the whole chain; also the (unnormalised) forward and
+    backward weights. ``first`` marks the words that open a text; ``enter`` and ``leave`` are the states at the ends of
+    a part of a chain."""
+    n, k = evidence.shape
+    e, opens, a, pi, carry = _strips(evidence, first, transitions, start)
+    enter, leave = borders(carry, enter, leave)
     forward, backward = np.empty_like(e), np.empty_like(e)
     state = enter
     for t in range(STRIP):
@@ -160,15 +195,19 @@ def fit(texts: list[str], languages: list[str], rounds: int = 6, rate: float = 0
     slots, of = word_features(distinct, lexicon)
     weights, seen = np.zeros((SLOTS + LEXICON, k)), np.full((SLOTS + LEXICON, k), 1e-6)
     transitions, t_seen = np.zeros((k, k)), np.full((k, k), 1e-6)
+    start, s_seen = np.zeros(k), np.full(k, 1e-6)
+    begins = (np.cumsum(n) - n)[np.arange(len(n)) % SWITCH != SWITCH - 1]  # the others go on where the text before ends
+    opens = np.zeros(len(index), bool)
+    opens[begins] = True
     parts = max(1, len(index) // 60_000)
-    edges = np.linspace(0, len(index), parts + 1).astype(int)
+    edges = np.unique(begins[np.searchsorted(begins, np.linspace(0, begins[-1], parts, endpoint=False))])
+    edges = np.append(edges, len(index))
     for _ in range(rounds):
         for a, b in zip(edges[:-1], edges[1:]):
             table = np.stack([np.bincount(of, weights[slots, j], len(distinct)) for j in range(k)], 1)
             e = table[index[a:b]]
-            first = np.zeros(b - a, bool)
-            first[0] = True
-            p, forward, backward = marginals(e, first, transitions, np.zeros(k))
+            first = opens[a:b]
+            p, forward, backward = marginals(e, first, transitions, start)
             want = np.zeros_like(p)
             want[np.arange(b - a), gold[a:b]] = 1
             off = p - want
@@ -176,15 +215,19 @@ def fit(texts: list[str], languages: list[str], rounds: int = 6, rate: float = 0
             gradient = np.stack([np.bincount(slots, by_word[of, j], SLOTS + LEXICON) for j in range(k)], 1) / (b - a) + 1e-6 * weights
             seen += gradient**2
             weights -= rate * gradient / np.sqrt(seen)
-            if b - a > 1:
-                step = np.exp(e[1:] - e[1:].max(1, keepdims=True)) * backward[1:]
-                joint = forward[:-1, :, None] * np.exp(transitions)[None] * step[:, None, :]
+            s_gradient = off[first].mean(0) + 1e-4 * start
+            inside = np.flatnonzero(~first)  # words with one before them in their text
+            if len(inside):
+                step = np.exp(e[inside] - e[inside].max(1, keepdims=True)) * backward[inside]
+                joint = forward[inside - 1, :, None] * np.exp(transitions)[None] * step[:, None, :]
                 joint /= joint.sum((1, 2), keepdims=True)
-                real = np.bincount(gold[a : b - 1] * k + gold[a + 1 : b], minlength=k * k).reshape(k, k)
+                real = np.bincount(gold[a:b][inside - 1] * k + gold[a:b][inside], minlength=k * k).reshape(k, k)
                 t_gradient = (joint.sum(0) - real) / (b - a) + 1e-4 * transitions
                 t_seen += t_gradient**2
                 transitions -= 0.3 * rate * t_gradient / np.sqrt(t_seen)
-    return Model(names, lexicon, weights.astype(np.float32), transitions, np.zeros(k))
+            s_seen += s_gradient**2
+            start -= 0.3 * rate * s_gradient / np.sqrt(s_seen)
+    return Model(names, lexicon, weights.astype(np.float32), transitions, start)
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
@@ -195,7 +238,9 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, min(1.0, rows / n) * 1_000_000).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    sample = known.where(place < share).toPandas()
+    spare = F.greatest(F.length("text") - SPAN, F.lit(0))
+    span = F.substring("text", (1 + F.pmod(F.xxhash64("doc_id", F.lit(1)), spare + 1)).cast("int"), F.lit(SPAN))
+    sample = known.where(place < share).withColumn("text", span).toPandas()
     if not len(sample):
         return None
     sample = sample.iloc[np.argsort([hash_of(d) for d in sample["doc_id"]], kind="stable")]
@@ -216,9 +261,21 @@ def labelled(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     first = np.zeros(len(index), bool)
     starts = np.cumsum(n) - n
     first[starts] = True
-    p, _, _ = marginals(model.evidence(distinct)[index], first, model.transitions, model.start)
-    p[~lettered[index]] = 0
-    sums = np.add.reduceat(p, starts, axis=0)
+    of_text = np.repeat(np.arange(len(n)), n)
+    evidence = model.evidence(distinct)
+    cuts = range(0, len(index), PIECE)
+    enter, leave = np.full((2, len(cuts), len(model.languages)), 1 / len(model.languages))
+    if len(cuts) > 1:
+        matrices = [transfer(evidence[index[a : a + PIECE]], first[a : a + PIECE], model.transitions, model.start) for a in cuts]
+        enter, leave = borders(np.stack(matrices))
+    sums = np.zeros((len(n), len(model.languages)))
+    for piece, a in enumerate(cuts):
+        part = index[a : a + PIECE]
+        p, _, _ = marginals(evidence[part], first[a : a + PIECE], model.transitions, model.start, enter[piece], leave[piece])
+        p[~lettered[part]] = 0
+        here = of_text[a : a + PIECE]
+        for k in range(len(model.languages)):
+            sums[here[0] : here[-1] + 1, k] += np.bincount(here - here[0], p[:, k])
     counted = np.add.reduceat(lettered[index].astype(float), starts)
     best = sums.argmax(1)
     score = sums[np.arange(len(n)), best] / np.maximum(counted, 1)

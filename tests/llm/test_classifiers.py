@@ -117,6 +117,16 @@ def test_forward_backward(monkeypatch, strip):
     assert np.allclose(got, brute_marginals(evidence, first, transitions, start))
 
 
+@pytest.mark.parametrize("strip, piece", [(1, 1), (3, 6), (64, 64)])
+def test_pieces_give_the_result_of_the_whole_chain(monkeypatch, model, strip, piece):
+    texts = pa.array([" ".join(speech("aa", 20, 1) + speech("bb", 25, 2)), "12", None, " ".join(speech("cc", 90, 3)), "x"], pa.string())
+    lang, score = language.labelled(texts, model)
+    monkeypatch.setattr(language, "STRIP", strip)
+    monkeypatch.setattr(language, "PIECE", piece)
+    got, scores = language.labelled(texts, model)
+    assert got == lang and np.allclose(scores, score)
+
+
 SYLLABLES = {"aa": ["ba", "ti", "ko", "lu"], "bb": ["sch", "ung", "der", "keit"], "cc": ["ción", "ñar", "que", "los"]}
 
 
@@ -143,6 +153,24 @@ def test_code_switches_are_followed(model):
     assert (np.diag(model.transitions) > model.transitions.max(1, where=~np.eye(3, dtype=bool), initial=-9)).all()
 
 
+def test_starts_are_learnt():
+    texts = [(" ".join(speech(lang, 20, k)), lang) for k in range(60) for lang in ("aa", "aa", "aa", "bb")]
+    random.Random(1).shuffle(texts)
+    start = language.fit([t for t, _ in texts], [x for _, x in texts]).start
+    assert start[0] > start[1]
+
+
+def test_a_long_text_teaches_one_span(spark, monkeypatch):
+    rows = [(k, " ".join(speech("aa" if k % 2 else "bb", 40, k)), "aa" if k % 2 else "bb", "a") for k in range(60)]
+    docs = docs_of(spark, [*rows, *((100 + k, " ".join(speech("cc", 4000, k)), "cc", "a") for k in range(12))])
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda texts, languages: seen.extend(zip(texts, languages)))
+    monkeypatch.setattr(language, "SPAN", 500)
+    language.learn(docs, 60)
+    whole = {r[1] for r in rows}
+    assert len(seen) > 40 and all(len(t) == 500 for t, x in seen if x == "cc") and all(t in whole for t, x in seen if x != "cc")
+
+
 def test_texts_are_labelled(model):
     texts = [" ".join(speech(lang, 12, 700 + k)) for k in range(20) for lang in SYLLABLES]
     odd = [None, "", " \n ", "123 !?", "12 " + texts[0]]

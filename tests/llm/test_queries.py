@@ -1,5 +1,6 @@
 """The registered queries on a small folder: their columns, and what each derives from its operator."""
 
+import os
 import zlib
 
 import numpy as np
@@ -80,3 +81,21 @@ def test_classifiers(spark, folder, name):
         assert all(r.predicted == int(r.score >= 0.5) for r in got.values())
     else:
         assert got[1].lang_pred == got[2].lang_pred == "und" and got[6].lang_pred in {"en", "de", "fr", "es", "zh"}
+
+
+@pytest.mark.parametrize("name, tables", [("op9_toxicity", "/root/testdata/sf0.1"), ("op10_language", "/root/testdata/sf0.01")])
+def test_held_out_accuracy(spark, name, tables):
+    """Of the held-out fold of the given tables: toxic rows found and others left alone, and languages named right."""
+    if not os.path.isdir(tables):
+        pytest.skip("needs the given tables")
+    got = queries.queries()[name](spark, tables).where("held_out")
+    if name == "op9_toxicity":
+        labels = spark.read.parquet(f"{tables}/labels.parquet").groupBy("doc_id").agg({"toxic": "max"}).toDF("doc_id", "toxic")
+        rows = got.join(labels, "doc_id").select("toxic", "predicted").collect()
+        found = [r.predicted for r in rows if r.toxic]
+        alone = [1 - r.predicted for r in rows if r.toxic == 0]
+        assert sum(found) >= 0.85 * len(found) and sum(alone) >= 0.97 * len(alone)
+    else:
+        docs = spark.read.parquet(f"{tables}/documents.parquet").where("lang is not null").select("doc_id", "lang")
+        right = [r.lang == r.lang_pred for r in got.join(docs, "doc_id").where("lang_pred <> 'und'").select("lang", "lang_pred").collect()]
+        assert len(right) > 100 and sum(right) >= 0.98 * len(right)
