@@ -44,7 +44,11 @@ LONG = 64
 #: Bytes of a key, in the first index and in that of long lists.
 SIZES = (5, 6)
 #: Fingerprints of its words that a document has in :func:`similar`.
-PRINTS = 4
+PRINTS = 2
+#: Four more of the distinct shingles. Of their 256 bits, two texts alike by 0.8 differ in 39 (five shingles: 48), texts
+#: that share none in 128, so a pair that differs in more than ``OUTLINE_BITS`` isn't worth reading its shingles.
+_OUTLINE = [f"outline{k}" for k in range(4)]
+OUTLINE_BITS = 72
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _PIECE = 1 << 18
 
@@ -157,24 +161,28 @@ def grouped(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return prints.join(of_print, "print").select("doc_id", "text_hash", "print", "component_id")
 
 
-def word_prints(text: bytes | None) -> list[int]:
-    """``PRINTS`` SimHashes of a text's words, each word as often as it occurs, from one hash a word mixed in as many ways."""
-    from xxhash import xxh64_intdigest
-
-    words = (text or b"").lower().split()
-    counts = np.zeros((PRINTS, 8, 8), np.int64)
-    for begin in range(0, len(words), _PIECE):
-        part = words[begin : begin + _PIECE]
-        h = np.fromiter((xxh64_intdigest(w, SEED) for w in part), np.uint64, len(part))
-        for k in range(PRINTS):
+def _simhashes(hashes: np.ndarray, kinds: int) -> np.ndarray:
+    """``kinds`` SimHashes of the same hashes, mixed in as many ways."""
+    counts = np.zeros((kinds, 8, 8), np.int64)
+    for begin in range(0, len(hashes), _PIECE):
+        h = hashes[begin : begin + _PIECE]
+        for k in range(kinds):
             x = h + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             parts = (x ^ (x >> np.uint64(31))).view(np.uint8).reshape(-1, 8)
             for byte in range(8):
                 counts[k, byte] += np.bincount(parts[:, byte], minlength=256) @ _BITS
-    bits = np.packbits((2 * counts > len(words)).reshape(PRINTS, 64), axis=1, bitorder="little")
-    return np.ascontiguousarray(bits).view(np.uint64).ravel().tolist()
+    bits = np.packbits((2 * counts > len(hashes)).reshape(kinds, 64), axis=1, bitorder="little")
+    return np.ascontiguousarray(bits).view(np.int64).ravel()
+
+
+def word_prints(text: bytes | None) -> np.ndarray:
+    """``PRINTS`` SimHashes of a text's words, each word as often as it occurs."""
+    from xxhash import xxh64_intdigest
+
+    words = (text or b"").lower().split()
+    return _simhashes(np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)), PRINTS)
 
 
 def shingle_set(text: bytes | None, shingle: int = 5) -> np.ndarray:
@@ -191,13 +199,15 @@ def _text_keys(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def _all_word_prints(docs: DataFrame) -> DataFrame:
-    names = [f"print{k}" for k in range(PRINTS)]
+def _all_word_prints(docs: DataFrame, shingle: int) -> DataFrame:
+    names = [*(f"print{k}" for k in range(PRINTS)), *_OUTLINE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in (b for batch in batches for b in blocks(batch, "text")):
-            prints = np.array([word_prints(bytes(t.as_buffer()) if t.is_valid else None) for t in block.column("text")], np.uint64).reshape(-1, PRINTS)
-            columns = [pa.array(np.ascontiguousarray(prints[:, k]).view(np.int64)) for k in range(PRINTS)]
+            texts = [bytes(t.as_buffer()) if t.is_valid else None for t in block.column("text")]
+            prints = [np.concatenate([word_prints(t), _simhashes(shingle_set(t, shingle).view(np.uint64), len(_OUTLINE))]) for t in texts]
+            table = np.array(prints, np.int64).reshape(-1, len(names))
+            columns = [pa.array(np.ascontiguousarray(table[:, k])) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_hash"), *columns], names=["doc_id", "text_hash", *names])
 
     return _text_keys(docs).mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names))
@@ -222,7 +232,8 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame
 
 def _candidates(nodes: DataFrame) -> DataFrame:
     """``a, b, votes``: pairs of nodes that any of the prints links; of rows with one print, a star around the
-    first. Pairs grow with the rows, not with the square of a group."""
+    first. Pairs grow with the rows, not with the square of a group. Outlines of their
+    shingles must be near, too."""
     prints = F.array(*(f"print{k}" for k in range(PRINTS)))
     # One index for all: fingerprints made in different ways have no reason to be near, and pairs are tested anyhow.
     of = nodes.select("node", F.explode(prints).alias("print"))
@@ -231,7 +242,11 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     to = firsts.select(F.col("print").alias("b"), F.col("first").alias("y"))
     met = links(firsts.select("print")).join(at, "a").join(to, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     equal = of.join(firsts, "print").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    return met.unionByName(equal).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+    pairs = met.unionByName(equal).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), *(F.col(n).alias(f"{n}_{end}") for n in _OUTLINE)), end)
+    differ = sum(F.bit_count(F.col(f"{n}_a").bitwiseXOR(F.col(f"{n}_b"))) for n in _OUTLINE)
+    return pairs.where(differ <= OUTLINE_BITS).select("a", "b", "votes")
 
 
 def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -241,7 +256,7 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataF
     Candidates are pairs within two bits in one of ``PRINTS`` fingerprints of the words, found by :func:`links`; the
     sets of the candidates decide. Pairs are tested in rounds, for each row first those that most fingerprints link,
     eight times as many in each round as in the one before. A pair whose rows are joined by then needs no test."""
-    nodes = stored(_all_word_prints(docs), "word-prints").withColumn("node", F.monotonically_increasing_id())
+    nodes = stored(_all_word_prints(docs, shingle), "word-prints").withColumn("node", F.monotonically_increasing_id())
     nodes = stored(nodes, "nodes")
     left = stored(_candidates(nodes), "candidates")
     ends = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
