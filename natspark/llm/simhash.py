@@ -177,12 +177,12 @@ def _simhashes(hashes: np.ndarray, kinds: int) -> np.ndarray:
     return np.ascontiguousarray(bits).view(np.int64).ravel()
 
 
-def word_prints(text: bytes | None) -> np.ndarray:
-    """``PRINTS`` SimHashes of a text's words, each word as often as it occurs."""
+def word_prints(text: bytes | None, kinds: int = PRINTS) -> np.ndarray:
+    """``kinds`` SimHashes of a text's words, each word as often as it occurs."""
     from xxhash import xxh64_intdigest
 
     words = (text or b"").lower().split()
-    return _simhashes(np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)), PRINTS)
+    return _simhashes(np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)), kinds)
 
 
 def shingle_set(text: bytes | None, shingle: int = 5) -> np.ndarray:
@@ -200,12 +200,13 @@ def _text_keys(docs: DataFrame) -> DataFrame:
 
 
 def _all_word_prints(docs: DataFrame, shingle: int) -> DataFrame:
-    names = [*(f"print{k}" for k in range(PRINTS)), *_OUTLINE]
+    kinds = PRINTS
+    names = [*(f"print{k}" for k in range(kinds)), *_OUTLINE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in (b for batch in batches for b in blocks(batch, "text")):
             texts = [bytes(t.as_buffer()) if t.is_valid else None for t in block.column("text")]
-            prints = [np.concatenate([word_prints(t), _simhashes(shingle_set(t, shingle).view(np.uint64), len(_OUTLINE))]) for t in texts]
+            prints = [np.concatenate([word_prints(t, kinds), _simhashes(shingle_set(t, shingle).view(np.uint64), len(_OUTLINE))]) for t in texts]
             table = np.array(prints, np.int64).reshape(-1, len(names))
             columns = [pa.array(np.ascontiguousarray(table[:, k])) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_hash"), *columns], names=["doc_id", "text_hash", *names])
