@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import exact, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity
+from natspark.llm import exact, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity, whitening
 from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,9 +65,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(docs, language.learn(docs))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_mixing, op2_line_dedup, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op8_substrings, op9_toxicity, op10_language,
+        op11_whitening,
     )
     return {f.__name__: f for f in found}
 
