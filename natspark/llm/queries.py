@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import exact, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity, whitening
+from natspark.llm import alignment, exact, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity, whitening
 from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,10 +69,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.align(documents(spark, sf_dir), digest).withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_mixing, op2_line_dedup, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op8_substrings, op9_toxicity, op10_language,
-        op11_whitening,
+        op11_whitening, op12_alignment,
     )
     return {f.__name__: f for f in found}
 
