@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natspark.llm import alignment, exact, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity, whitening
+from natspark.llm import alignment, exact, extraction, grammar, language, lines, mixing, packing, quality, simhash, substrings, toxicity, whitening
 from natspark.llm.common import documents, shared_dir, stored, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,13 +74,19 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(documents(spark, sf_dir), digest).withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    texts = extraction.extract(pages, extraction.learn(pages))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_mixing, op2_line_dedup, op3_packing, op4_simhash, op5_grammar, op6_quality, op7_exact_dedup, op8_substrings, op9_toxicity, op10_language,
-        op11_whitening, op12_alignment,
+        op11_whitening, op12_alignment, op13_extraction,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": lines.ORACLE, "op6_quality": quality.oracle(), "op7_exact_dedup": exact.ORACLE}
+    return {"op2_line_dedup": lines.ORACLE, "op6_quality": quality.oracle(), "op7_exact_dedup": exact.ORACLE, "op8_substrings": substrings.ORACLE, "op13_extraction": extraction.ORACLE}

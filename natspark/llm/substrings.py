@@ -11,15 +11,14 @@ of copied passages. Only the windows of anchors that have different runs are the
 by 128 bits. Both halves come from word hashes of their own. Repeats inside one text are found where the text is read;
 texts without others move no further.
 
-The sketch has a cell in each row for every four bytes of text, about nine for each anchor, so that it filters alike at
-every size. As long as its bits are few (``BROADCAST_BYTES``) they are broadcast; a larger sketch stays a table of the
-cells that are hit twice, which the runs are joined with, and texts are moved to meet the runs whose windows are wanted.
-Either way gives the same runs and windows.
+The sketch has a cell in each row for every four bytes of text, about nine for each anchor, up to a fixed number that bounds
+what is broadcast. Beyond it, the sketch fills up and lets more runs through, at last all of them; runs are grouped exactly
+in any case, so the result is the same, and each run moves once.
 
 A window is removed if an equal one starts earlier, in a smaller doc_id or before it in the same text. Defined cases:
 null text has no words; rows with one doc_id do not precede each other, and rows without doc_id come last; rows with one
 doc_id, or none, are told apart by a hash of their text, as equal texts have equal ranges; texts shorter than a window
-stay; an empty table gives an empty result; extra columns are ignored by :func:`removed`.
+stay; a very long text is read whole, alone in its block; an empty table gives an empty result; extra columns are ignored by :func:`removed`.
 """
 
 from __future__ import annotations
@@ -41,8 +40,8 @@ from natspark.llm.tokens import blocks
 WINDOW, GRAM = 20, 10
 #: Text for each cell of a row of the sketch, and rows. Cells travel in slices.
 BYTES_PER_CELL, ROWS, SLICE = 4, 2, 1 << 19
-#: The most bits that are broadcast, in bytes.
-BROADCAST_BYTES = 64 << 20
+#: Cells of a row at most: two rows of bits are 32 MB.
+MOST_CELLS = 1 << 27
 #: Multipliers of the two rolling hashes, both odd and so with inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -185,16 +184,6 @@ def merged(parts: DataFrame, n_cells: int, rows: int, least: int) -> np.ndarray:
     return flat.reshape(rows, -1)
 
 
-def hot_cells(parts: DataFrame, n_cells: int) -> DataFrame:
-    """``cell``: the cells that all partitions together hit twice; those of a row follow those of the row before."""
-    width = min(SLICE, n_cells)
-
-    def one(key: tuple, sent: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(_counts(sent, width) > 1) + key[0].as_py() * width)], names=["cell"])
-
-    return parts.groupBy("slice").applyInArrow(one, "cell long")
-
-
 def sketch(docs: DataFrame, window: int, gram: int, n_cells: int, rows: int) -> DataFrame:
     """The partitions' sketches of the anchors of each text. Merged, a cell counts two where two texts, or two anchors,
     share it."""
@@ -236,28 +225,23 @@ def row_keys(rows: pa.RecordBatch) -> list[pa.Array]:
     return [rows.column("doc_id"), pa.array(low.view(np.int64)), pa.array(high.view(np.int64))]
 
 
-_RUNS = ["start", "size", "anchor", "span"]
-
-
-def runs_of(docs: DataFrame, seen: Broadcast | None, window: int, gram: int, n_cells: int = 0, rows: int = 0) -> DataFrame:
+def runs_of(docs: DataFrame, seen: Broadcast, window: int, gram: int) -> DataFrame:
     """``ROW`` and ``start, size, anchor, span`` of the runs whose anchor is estimated to be in another text too; anchor and
-    span are the hash of all the run's words. Without ``seen``, of all runs, with their ``rows`` cells."""
-    cell_names = [f"cell{row}" for row in range(rows)]
+    span are the hash of all the run's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
                 runs = Runs(block, window, gram)
-                chosen = np.flatnonzero(hit(seen.value, runs.anchor)) if seen else np.arange(len(runs.anchor))
+                chosen = np.flatnonzero(hit(seen.value, runs.anchor))
                 if len(chosen):
-                    text, anchor = runs.text[chosen], runs.anchor[chosen]
+                    text = runs.text[chosen]
                     start = (runs.start[chosen] - runs.begin[text]).astype(np.int32)
-                    span = runs.spans(chosen, window).view(np.int64)
-                    own = [start, runs.size[chosen].astype(np.int32), anchor.view(np.int64), span, *(cells(anchor, row, n_cells) + row * n_cells for row in range(rows))]
+                    own = [start, runs.size[chosen].astype(np.int32), runs.anchor[chosen].view(np.int64), runs.spans(chosen, window).view(np.int64)]
                     columns = [*(c.take(pa.array(text)) for c in row_keys(block)), *map(pa.array, own)]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*ROW, *_RUNS, *cell_names])
+                    yield pa.RecordBatch.from_arrays(columns, names=[*ROW, "start", "size", "anchor", "span"])
 
-    return docs.mapInArrow(run, ", ".join([f"{_ROW_SCHEMA}, start int, size int, anchor long, span long", *(f"{c} long" for c in cell_names)]))
+    return docs.mapInArrow(run, f"{_ROW_SCHEMA}, start int, size int, anchor long, span long")
 
 
 _WINDOWS = f"{_ROW_SCHEMA}, start int, a long, b long"
@@ -287,29 +271,12 @@ def windows_of(docs: DataFrame, seen: Broadcast, several: Broadcast, window: int
     return docs.mapInArrow(run, _WINDOWS)
 
 
-def windows_of_runs(docs: DataFrame, runs: DataFrame, window: int) -> DataFrame:
-    """The same of some ``runs``; their texts are moved to meet them."""
+def _keyed(docs: DataFrame, wanted: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """``ROW`` and ``text`` of the rows that are wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "text"):
-                h, n = word_hashes(block.column("text"))
-                begin = np.cumsum(n) - n
-                text = np.repeat(np.arange(len(block)), pc.list_value_length(block.column("starts")).to_numpy())
-                start, size = (block.column(c).flatten().to_numpy().astype(np.int64) for c in ("starts", "sizes"))
-                if len(text):
-                    yield _windows(h, begin, text, begin[text] + start, size, [block.column(c) for c in ROW], window)
-
-    of_row = runs.groupBy(*ROW).agg(F.collect_set(F.struct("start", "size")).alias("runs"))
-    return _joined(_keyed(docs), of_row.select(*ROW, F.col("runs.start").alias("starts"), F.col("runs.size").alias("sizes")), "inner").mapInArrow(run, _WINDOWS)
-
-
-def _keyed(docs: DataFrame, wanted: Callable[[pa.RecordBatch], pa.Array] | None = None) -> DataFrame:
-    """``ROW`` and ``text`` of the rows, or of those that are wanted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(wanted(batch)) if wanted else batch
+            batch = batch.filter(wanted(batch))
             yield pa.RecordBatch.from_arrays([*row_keys(batch), batch.column("text")], names=[*ROW, "text"])
 
     return docs.mapInArrow(run, f"{_ROW_SCHEMA}, text string")
@@ -332,9 +299,10 @@ def bits_of(numbers: DataFrame, n_cells: int) -> np.ndarray:
 
 
 def cells_for(docs: DataFrame) -> int:
-    """Cells of a row of the sketch of these texts: the power of two above a cell for every four bytes."""
+    """Cells of a row of the sketch of these texts: the power of two above a cell for every four bytes, up to
+    ``MOST_CELLS``."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1 << 16, 1 << (size // BYTES_PER_CELL).bit_length())
+    return min(max(1 << 16, 1 << (size // BYTES_PER_CELL).bit_length()), MOST_CELLS)
 
 
 def earlier(docs: DataFrame, window: int, gram: int, n_cells: int | None, rows: int) -> DataFrame:
@@ -342,26 +310,12 @@ def earlier(docs: DataFrame, window: int, gram: int, n_cells: int | None, rows:
     are between stored tables, so that a run in a large share of all texts is split between tasks."""
     share = docs.sparkSession.sparkContext.broadcast
     n_cells = n_cells or cells_for(docs)
-    parts = sketch(docs, window, gram, n_cells, rows)
-    small = rows * n_cells // 8 <= BROADCAST_BYTES
-    if small:
-        seen = share(merged(parts, n_cells, rows, 2))
-        runs = runs_of(docs, seen, window, gram)
-    else:
-        hot = stored(hot_cells(parts, n_cells), "hot-cells")
-        runs = runs_of(docs, None, window, gram, n_cells, rows)
-        for row in range(rows):
-            of_row = hot.where((F.col("cell") >= row * n_cells) & (F.col("cell") < (row + 1) * n_cells)).withColumnRenamed("cell", f"cell{row}")
-            runs = runs.join(of_row, f"cell{row}", "left_semi").drop(f"cell{row}")
-    runs = stored(runs.select(*ROW, *_RUNS), "runs")
+    seen = share(merged(sketch(docs, window, gram, n_cells, rows), n_cells, rows, 2))
+    runs = stored(runs_of(docs, seen, window, gram), "runs")
     spans = runs.groupBy("anchor", "span").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     spans = stored(spans, "spans")
     several = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    if small:
-        windows = windows_of(docs, seen, share(bits_of(several, n_cells)), window, gram)
-    else:
-        windows = windows_of_runs(docs, runs.join(stored(several, "several"), "anchor", "left_semi"), window)
-    windows = stored(windows, "windows")
+    windows = stored(windows_of(docs, seen, share(bits_of(several, n_cells)), window, gram), "windows")
     firsts = windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b", "first")
     later = "first < doc_id or (doc_id is null and first is not null)"
     whole = runs.join(spans.where("n > 1").select("anchor", "span", "first"), ["anchor", "span"]).where(later)
@@ -419,7 +373,7 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: in
     earlier one, by a bit set of their ids, are moved to meet their ranges; ``n_cells`` follows the input by default."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(earlier(texts, window, gram, n_cells, rows), "earlier")
-    some = docs.sparkSession.sparkContext.broadcast(bits_of(found.select("doc_id"), min(n_cells or cells_for(texts), 8 * BROADCAST_BYTES)))
+    some = docs.sparkSession.sparkContext.broadcast(bits_of(found.select("doc_id"), n_cells or cells_for(texts)))
 
     def shares(batch: pa.RecordBatch) -> pa.Array:
         ids = pc.fill_null(batch.column("doc_id"), 0).to_numpy().view(np.uint64)
@@ -441,3 +395,16 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: in
     joined = _joined(_keyed(texts, shares), ranges, "left")
     met = joined.select("doc_id", "text", "starts", "sizes").mapInArrow(with_ranges, _RESULT_SCHEMA)
     return texts.mapInArrow(at_once, _RESULT_SCHEMA).unionByName(met)
+
+
+#: Plain windows, for doc_ids that are unique.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS start, w FROM d WHERE len(w) >= 20),
+ranked AS (SELECT doc_id, start, row_number() OVER (PARTITION BY array_to_string(w[start:start + 19], ' ') ORDER BY doc_id, start) AS rank FROM windows),
+gone AS (SELECT DISTINCT doc_id, start + k AS place FROM ranked, range(20) AS t(k) WHERE rank > 1),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

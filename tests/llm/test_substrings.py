@@ -54,10 +54,11 @@ def test_removed_words(spark, n_cells):
     assert got(spark, passages(), n_cells=n_cells) == brute(passages(), 20)
 
 
-@pytest.mark.parametrize("n_cells", [None, 64])
-def test_a_sketch_too_large_to_broadcast(spark, monkeypatch, n_cells):
-    monkeypatch.setattr(substrings, "BROADCAST_BYTES", 8)
-    assert got(spark, passages(), n_cells=n_cells) == brute(passages(), 20)
+@pytest.mark.parametrize("most", [8, 1 << 10])
+def test_a_full_sketch_loses_nothing(spark, monkeypatch, most):
+    """More text than the sketch has room for."""
+    monkeypatch.setattr(substrings, "MOST_CELLS", most)
+    assert got(spark, passages()) == brute(passages(), 20)
 
 
 def test_cells_follow_the_texts(spark):
