@@ -12,15 +12,11 @@ changed. Two differ in two bits at most if and only if they share one of these l
 So neither lists nor pairs grow with the square of a group, and no pair is lost: where one shares a long list, both of
 it are members of that list and meet in the next index.
 
-:func:`similar` and :func:`keep` look for texts alike in their sets of five-word shingles. One changed word changes five
-shingles but one word, so that fingerprints of words, of which each text has several, stay within two bits where those
-of shingles don't. They only propose pairs; the sets of shingles decide.
-
 Components come from minimum labels with hooking and pointer jumping over stored tables, until nothing changes.
 
 Defined cases: a text without words has fingerprint zero and links like any other; null text has no words; null doc_ids
-never name a component unless all of its are null; rows with one doc_id are told apart by their texts in :func:`keep`, and
-rows without doc_id stay; an empty table gives an empty result; extra columns are kept by :func:`keep`.
+never name a component unless all of its are null; a very long text is hashed whole, alone in its block; an empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,10 +27,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natspark.llm.common import free_name, stored
+from natspark.llm.common import stored
 from natspark.llm.tokens import blocks
 
 SEED = 42
@@ -43,12 +39,6 @@ DISTANCE = 2
 LONG = 64
 #: Bytes of a key, in the first index and in that of long lists.
 SIZES = (5, 6)
-#: Fingerprints of its words that a document has in :func:`similar`.
-PRINTS = 2
-#: Four more of the distinct shingles. Of their 256 bits, two texts alike by 0.8 differ in 39 (five shingles: 48), texts
-#: that share none in 128, so a pair that differs in more than ``OUTLINE_BITS`` isn't worth reading its shingles.
-_OUTLINE = [f"outline{k}" for k in range(4)]
-OUTLINE_BITS = 72
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _PIECE = 1 << 18
 
@@ -159,144 +149,3 @@ def grouped(docs: DataFrame, shingle: int = 3) -> DataFrame:
     ids = stored(named.groupBy("label").agg(F.min("first").alias("component_id")), "components")
     of_print = stored(named.join(ids, "label").select("print", "component_id"), "of_print")
     return prints.join(of_print, "print").select("doc_id", "text_hash", "print", "component_id")
-
-
-def _simhashes(hashes: np.ndarray, kinds: int) -> np.ndarray:
-    """``kinds`` SimHashes of the same hashes, mixed in as many ways."""
-    counts = np.zeros((kinds, 8, 8), np.int64)
-    for begin in range(0, len(hashes), _PIECE):
-        h = hashes[begin : begin + _PIECE]
-        for k in range(kinds):
-            x = h + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            parts = (x ^ (x >> np.uint64(31))).view(np.uint8).reshape(-1, 8)
-            for byte in range(8):
-                counts[k, byte] += np.bincount(parts[:, byte], minlength=256) @ _BITS
-    bits = np.packbits((2 * counts > len(hashes)).reshape(kinds, 64), axis=1, bitorder="little")
-    return np.ascontiguousarray(bits).view(np.int64).ravel()
-
-
-def word_prints(text: bytes | None, kinds: int = PRINTS) -> np.ndarray:
-    """``kinds`` SimHashes of a text's words, each word as often as it occurs."""
-    from xxhash import xxh64_intdigest
-
-    words = (text or b"").lower().split()
-    return _simhashes(np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)), kinds)
-
-
-def shingle_set(text: bytes | None, shingle: int = 5) -> np.ndarray:
-    """The sorted distinct hashes of a text's word shingles (fewer words: the whole sequence; none: no shingle)."""
-    from xxhash import xxh64_intdigest
-
-    words = (text or b"").lower().split()
-    n = max(1, len(words) - shingle + 1) if words else 0
-    return np.unique(np.fromiter((xxh64_intdigest(b" ".join(words[k : k + shingle]), SEED) for k in range(n)), np.uint64, n)).view(np.int64)
-
-
-def _text_keys(docs: DataFrame) -> DataFrame:
-    text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-
-
-def _all_word_prints(docs: DataFrame, shingle: int) -> DataFrame:
-    kinds = PRINTS
-    names = [*(f"print{k}" for k in range(kinds)), *_OUTLINE]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in (b for batch in batches for b in blocks(batch, "text")):
-            texts = [bytes(t.as_buffer()) if t.is_valid else None for t in block.column("text")]
-            prints = [np.concatenate([word_prints(t, kinds), _simhashes(shingle_set(t, shingle).view(np.uint64), len(_OUTLINE))]) for t in texts]
-            table = np.array(prints, np.int64).reshape(-1, len(names))
-            columns = [pa.array(np.ascontiguousarray(table[:, k])) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_hash"), *columns], names=["doc_id", "text_hash", *names])
-
-    return _text_keys(docs).mapInArrow(run, "doc_id long, text_hash long, " + ", ".join(f"{n} long" for n in names))
-
-
-def _shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``node, shingles`` for the rows that ``wanted`` (``node, doc_id, text_hash``) names."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in (b for batch in batches for b in blocks(batch, "text")):
-            sets = [shingle_set(bytes(t.as_buffer()) if t.is_valid else None, shingle) for t in block.column("text")]
-            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-            flat = pa.array(np.concatenate([np.empty(0, np.int64), *sets]))
-            yield pa.RecordBatch.from_arrays([block.column("node"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["node", "shingles"])
-
-    here = _text_keys(docs).alias("here")
-    # Rows alike in id and text share a set, but each is a node; null texts have one hash as well.
-    same = F.col("here.doc_id").eqNullSafe(F.col("there.doc_id")) & (F.col("here.text_hash") == F.col("there.text_hash"))
-    first = stored(wanted.groupBy("doc_id", "text_hash").agg(F.min("node").alias("node")), "firsts").alias("there")
-    return here.join(first, same).select("there.node", "here.text").dropDuplicates(["node"]).mapInArrow(run, "node long, shingles array<long>")
-
-
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """``a, b, votes``: pairs of nodes that any of the prints links; of rows with one print, a star around the
-    first. Pairs grow with the rows, not with the square of a group. Outlines of their
-    shingles must be near, too."""
-    prints = F.array(*(f"print{k}" for k in range(PRINTS)))
-    # One index for all: fingerprints made in different ways have no reason to be near, and pairs are tested anyhow.
-    of = nodes.select("node", F.explode(prints).alias("print"))
-    firsts = stored(of.groupBy("print").agg(F.min("node").alias("first")), "firsts")
-    at = firsts.select(F.col("print").alias("a"), F.col("first").alias("x"))
-    to = firsts.select(F.col("print").alias("b"), F.col("first").alias("y"))
-    met = links(firsts.select("print")).join(at, "a").join(to, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    equal = of.join(firsts, "print").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    pairs = met.unionByName(equal).where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
-    for end in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), *(F.col(n).alias(f"{n}_{end}") for n in _OUTLINE)), end)
-    differ = sum(F.bit_count(F.col(f"{n}_a").bitwiseXOR(F.col(f"{n}_b"))) for n in _OUTLINE)
-    return pairs.where(differ <= OUTLINE_BITS).select("a", "b", "votes")
-
-
-def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """``doc_id, text_hash, component_id`` of the rows in a component of several, joined by pairs whose sets of word
-    shingles have a Jaccard similarity of ``similarity`` or more.
-
-    Candidates are pairs within two bits in one of ``PRINTS`` fingerprints of the words, found by :func:`links`; the
-    sets of the candidates decide. Pairs are tested in rounds, for each row first those that most fingerprints link,
-    eight times as many in each round as in the one before. A pair whose rows are joined by then needs no test."""
-    nodes = stored(_all_word_prints(docs, shingle), "word-prints").withColumn("node", F.monotonically_increasing_id())
-    nodes = stored(nodes, "nodes")
-    left = stored(_candidates(nodes), "candidates")
-    ends = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
-    keys = stored(nodes.select("node", "doc_id", "text_hash").join(ends, "node"), "keys")
-    sets = stored(_shingle_sets(docs, keys, shingle), "sets")
-    # A row whose like has the set is one with it.
-    firsts = keys.groupBy("doc_id", "text_hash").agg(F.min("node").alias("first"))
-    both = keys.alias("k").join(firsts.alias("f"), F.col("k.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("k.text_hash") == F.col("f.text_hash")))
-    same = stored(both.select("node", "first"), "same")
-    edges = same.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    first = F.col("first")
-    left = left.join(same.select(F.col("node").alias("a"), first.alias("x")), "a").join(same.select(F.col("node").alias("b"), first.alias("y")), "b")
-    left = left.select(F.col("x").alias("a"), F.col("y").alias("b"), "votes").where("a <> b")
-    left = stored(left.groupBy("a", "b").agg(F.max("votes").alias("votes")), "left")
-    labels, tests = components(edges), 1
-    while not left.isEmpty():
-        order = Window.partitionBy("b").orderBy(F.desc("votes"), F.xxhash64("a", "b"), "a")
-        ranked = stored(left.withColumn("rank", F.row_number().over(order)), "ranked")
-        chosen = ranked.where(F.col("rank") <= tests).select("a", "b")
-        x, y = (sets.select(F.col("node").alias(n), F.col("shingles").alias(of)) for n, of in (("a", "of_a"), ("b", "of_b")))
-        shared = F.size(F.array_intersect("of_a", "of_b"))
-        passed = shared >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - shared)
-        edges = stored(edges.unionByName(chosen.join(x, "a").join(y, "b").where(passed).select("a", "b")), "verified")
-        labels = components(edges)
-        rest = ranked.where(F.col("rank") > tests)
-        for end in ("a", "b"):
-            rest = rest.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}")), end, "left")
-        apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
-        left, tests = stored(rest.where(apart).select("a", "b", "votes"), "left"), 8 * tests
-    members = stored(keys.join(labels, "node"), "members")
-    least = stored(members.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
-    return members.join(least, "label").select("doc_id", "text_hash", "component_id")
-
-
-def keep(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """``docs`` without the documents that :func:`similar` joins to one of a smaller doc_id."""
-    gone, of = free_name(docs, "gone"), free_name(docs, "of_text")
-    dropped = similar(docs, similarity, shingle).where(F.col("doc_id") != F.col("component_id"))
-    # Written first, so that the plan knows its size: texts stay where they are if it is small enough to broadcast.
-    dropped = stored(dropped.select(F.col("doc_id").alias(gone), F.col("text_hash").alias(of)).distinct(), "dropped")
-    same = (F.col("doc_id") == F.col(gone)) & (F.xxhash64(F.col("text").cast("string")) == F.col(of))
-    return docs.join(dropped, same, "left_anti")

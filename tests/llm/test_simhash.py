@@ -123,72 +123,5 @@ def test_groups(spark):
     assert got == want
 
 
-def shingles(text, n=5):
-    words = (text or "").encode().lower().split()
-    return {b" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
-
-
-def alike(texts):
-    """The pairs of texts whose five-word shingles have a Jaccard similarity of 0.8 or more; none is alike to none."""
-    sets = [shingles(t) for t in texts]
-    return [(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-
-
-def kept_by_brute_force(rows):
-    """Rows (doc_id, text) that stay: those without doc_id, and those of the smallest doc_id of their component."""
-    root = union(range(len(rows)), alike([t for _, t in rows]))
-    least = {}
-    for k, (d, _) in enumerate(rows):
-        if d is not None:
-            least[root[k]] = min(least.get(root[k], d), d)
-    return sorted((str(d), t or "") for k, (d, t) in enumerate(rows) if d is None or d == least[root[k]])
-
-
-@pytest.mark.parametrize("long", [64, 8])
-def test_keep_is_brute_force_on_near_copies(spark, monkeypatch, long):
-    """Groups of near copies, texts that share passages without being alike, and the rows that operators must bear."""
-    monkeypatch.setattr(simhash, "LONG", long)
-    passage = prose(60, 41, 4000)
-    rows = [*near_rows(), *((800 + k, f"{prose(200, 900 + k, 4000)} {passage}", "en", "a") for k in range(20))]
-    docs = docs_of(spark, rows)
-    kept = simhash.keep(docs)
-    assert kept.columns == docs.columns
-    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == kept_by_brute_force([r[:2] for r in rows])
-
-
-def test_alike_words_in_another_order_stay(spark):
-    """Fingerprints of words are equal here; the shingles decide."""
-    words = prose(300, 71, 4000).split()
-    rows = [(k, " ".join(random.Random(k).sample(words, len(words))), "en", "a") for k in range(1, 30)]
-    assert len({tuple(simhash.word_prints(r[1].encode())) for r in rows}) == 1
-    assert simhash.keep(docs_of(spark, rows)).count() == len(rows)
-
-
-def test_recall_and_precision_at_the_threshold(spark, monkeypatch):
-    """Copies with some words changed: no text is dropped that brute force keeps. Words are nearly all
-    rare here, which is hardest for fingerprints of words: four in five of the others go at least with four prints (129 of 146 did)."""
-    monkeypatch.setattr(simhash, "PRINTS", 4)
-    rng, rows = random.Random(3), []
-    for g in range(60):
-        words = prose(300, 2000 + g, 4000).split()
-        rows.append((10 * g, " ".join(words), "en", "a"))
-        for k in range(1, 4):
-            changed = list(words)
-            for p in rng.sample(range(300), rng.randrange(1, 9)):
-                changed[p] = f"new{rng.randrange(10**6)}"
-            rows.append((10 * g + k, " ".join(changed), "en", "a"))
-    want = {d for d, _ in kept_by_brute_force([r[:2] for r in rows])}
-    got = {str(r.doc_id) for r in simhash.keep(docs_of(spark, rows)).collect()}
-    gone = {str(r[0]) for r in rows} - want
-    assert want <= got and len(gone & got) <= len(gone) / 5
-
-
-def test_rows_of_one_id_are_kept_by_their_texts(spark):
-    copy, own = prose(80, 61), prose(80, 62)
-    docs = docs_of(spark, [(1, copy, "en", "a"), (2, copy, "en", "a"), (2, own, "en", "a"), (3, copy, "en", "a")])
-    assert sorted((r.doc_id, r.text == own) for r in simhash.keep(docs).collect()) == [(1, False), (2, True)]
-
-
 def test_empty_table(spark):
     assert simhash.grouped(docs_of(spark, [])).count() == 0
-    assert simhash.keep(docs_of(spark, [])).count() == 0
