@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Protocol numbers that have a name.
 PROTOCOLS = {0: "unknown", 1: "icmp", 6: "tcp", 17: "udp"}
+#: Fixed value: an identifier of a table name.
 _NAME = "[A-Za-z_][A-Za-z0-9_]*"
 
 

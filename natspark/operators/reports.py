@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from natspark.functions.times import hour_utc, in_day
+from natspark.operators import distinct
+from natspark.sources.shared import stored
 
 DAY = ["data_date", "node"]
 SMTP_PORTS = (25,)
@@ -37,9 +39,10 @@ def _top(df: DataFrame, k: int, *order: Column, parts: int = 64) -> DataFrame:
 
 
 def public_ip_pool(sessions: DataFrame) -> DataFrame:
-    return _dated(sessions).groupBy(*DAY, "public_ip").agg(
-        F.countDistinct("public_port").alias("ports_in_use"), F.count(F.lit(1)).alias("translations"), F.countDistinct("private_ip").alias("subscribers")
-    )
+    keys = [*DAY, "public_ip"]
+    made = _dated(sessions)
+    ports = distinct.counted(distinct.bitmaps(made, keys, "public_port"), keys, "ports_in_use", "translations")
+    return distinct.side_by_side(keys, ports, distinct.grouped(made, keys, "private_ip", "subscribers"))
 
 
 def subscribers_of_public_ip(sessions: DataFrame, ips: Iterable[int] | DataFrame) -> DataFrame:
@@ -48,12 +51,11 @@ def subscribers_of_public_ip(sessions: DataFrame, ips: Iterable[int] | DataFrame
         chosen = sessions.join(ips.select("public_ip"), "public_ip", "left_semi")
     else:
         chosen = sessions.where(F.col("public_ip").isin(*ips))
-    return _dated(chosen).groupBy(*DAY, "public_ip", "private_ip").agg(
-        F.count(F.lit(1)).alias("sessions"),
-        F.countDistinct("destination_ip").alias("destinations"),
-        F.countDistinct("destination_port").alias("destination_ports"),
-        F.sum("packet_size").alias("total_bytes"),
-    )
+    keys = [*DAY, "public_ip", "private_ip"]
+    made = _dated(chosen)
+    ports = distinct.grouped(made, keys, "destination_port", "destination_ports", sessions=F.lit(1), total_bytes=F.col("packet_size"))
+    both = distinct.side_by_side(keys, ports, distinct.grouped(made, keys, "destination_ip", "destinations"))
+    return both.select(*keys, "sessions", "destinations", "destination_ports", "total_bytes")
 
 
 def hourly_nat_load(sessions: DataFrame) -> DataFrame:
@@ -87,13 +89,16 @@ def _distinct(column: Column, lg_k: int, exact: bool) -> Column:
 
 
 def router_hour_observations(sessions: DataFrame, day: datetime.date | None = None, lg_k: int = 17, exact: bool = False) -> DataFrame:
-    tail = "" if exact else "_approx"
-    return _started_today(sessions, day).groupBy(*DAY, hour_utc(F.col("start_time")).alias("hour"), "router_ip").agg(
-        F.count(F.lit(1)).alias("records"),
-        _distinct(F.col("private_ip"), lg_k, exact).alias(f"private_ips{tail}"),
-        _distinct(F.col("public_ip"), lg_k, exact).alias(f"public_ips{tail}"),
-        _distinct(F.col("destination_ip"), lg_k, exact).alias(f"destinations{tail}"),
-    )
+    """Distinct addresses of each router and hour. Exactly: private and public addresses come from pools and are told by
+    bitmaps, destinations are grouped."""
+    keys = [*DAY, "hour", "router_ip"]
+    made = _started_today(sessions, day).withColumn("hour", hour_utc(F.col("start_time")))
+    names = {"private_ip": "private_ips", "public_ip": "public_ips", "destination_ip": "destinations"}
+    if exact:
+        private, public = (distinct.counted(distinct.bitmaps(made, keys, c), keys, names[c]) for c in ("private_ip", "public_ip"))
+        parts = [private, public.drop("records"), distinct.grouped(made, keys, "destination_ip", names["destination_ip"])]
+        return distinct.side_by_side(keys, *parts).select(*keys, "records", *names.values())
+    return made.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"), *(F.hll_sketch_estimate(F.hll_sketch_agg(c, lg_k)).alias(f"{n}_approx") for c, n in names.items()))
 
 
 def origin(router_ip: str = "router_ip", private_ip: str = "private_ip") -> Column:
@@ -109,6 +114,31 @@ def public_ip_sharing_hour(sessions: DataFrame, day: datetime.date | None = None
     return _top(counted, k, F.desc(origins), F.asc("hour"), F.asc("public_ip"))
 
 
+#: Standard errors of a sketch that an estimate may be off by; a normal error is beyond six once in 500 million.
+SIGMAS = 6
+
+
+def public_ip_sharing_hour_proven(sessions: DataFrame, day: datetime.date | None = None, k: int = 200, lg_k: int = 17) -> DataFrame:
+    """The exact report, of which only those address-hours are counted exactly that the bounds of their sketches allow
+    among the first ``k``: all whose upper bound reaches the ``k``-th lower bound of their day and node."""
+    keys = [*DAY, "hour", "public_ip"]
+    made = _started_today(sessions, day).withColumn("hour", hour_utc(F.col("start_time")))
+    estimate = F.hll_sketch_estimate(F.hll_sketch_agg(origin(), lg_k))
+    estimated = made.groupBy(*keys).agg(estimate.alias("estimate"))
+    error = SIGMAS * 1.04 / 2 ** (lg_k / 2)
+    # A sketch too rough to bound anything from above excludes nothing.
+    high = F.col("estimate") / (1 - error) + 1 if error < 1 else F.lit(float("inf"))
+    bounds = stored(estimated.select(*keys, (F.col("estimate") / (1 + error) - 1).alias("low"), high.alias("high")), "bounds")
+    first = _top(bounds.drop("high"), k, F.desc("low")).groupBy(*DAY).agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("n"))
+    # One row a day and node.
+    chosen = stored(bounds.join(first, DAY).where((F.col("high") >= F.col("least")) | (F.col("n") < k)).select(*keys), "candidates")
+    # Address-hours that can't be among the first go before anything is grouped.
+    pairs = made.join(chosen, keys, "left_semi").groupBy(*keys, "router_ip", "private_ip").agg(F.count(F.lit(1)).alias("records"))
+    routers = pairs.groupBy(*keys, "router_ip").agg(F.count("private_ip").alias("origins"), F.sum("records").alias("records"))
+    counted = routers.groupBy(*keys).agg(F.sum("origins").alias("origins"), F.count("router_ip").alias("routers"), F.sum("records").alias("records"))
+    return _top(counted, k, F.desc("origins"), F.asc("hour"), F.asc("public_ip"))
+
+
 def reconcile(report: DataFrame, measure: str = "translations") -> DataFrame:
     """Rows of a report and the sum of a measure, by day and node."""
     return report.groupBy(*DAY).agg(F.count(F.lit(1)).alias("rows"), F.sum(measure).alias(measure))
@@ -129,8 +159,16 @@ def node_sketches(sessions: DataFrame, keys: list[str], value: str, lg_k: int =
     return _dated(sessions).groupBy(*DAY, *keys).agg(F.hll_sketch_agg(value, lg_k).alias("sketch"), F.count(F.lit(1)).alias("records"))
 
 
+def node_bitmaps(sessions: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The same, exactly: bitmaps of the values, which are numbers that lie close together."""
+    return distinct.bitmaps(_dated(sessions), [*DAY, *keys], value)
+
+
 def global_uniques(source: DataFrame, keys: list[str], value: str = "private_ip") -> DataFrame:
-    """Distinct values over all nodes: exactly from sessions, or by merging what :func:`node_sketches` kept."""
+    """Distinct values over all nodes: exactly from sessions or from what :func:`node_bitmaps` kept, or nearly from what
+    :func:`node_sketches` kept."""
+    if "bitmap" in source.columns:
+        return distinct.counted(distinct.merged(source, ["data_date", *keys]), ["data_date", *keys], "uniques")
     if "sketch" in source.columns:
         merged = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
         return source.groupBy("data_date", *keys).agg(merged.alias("uniques_approx"), F.sum("records").alias("records"))

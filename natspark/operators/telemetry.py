@@ -122,11 +122,45 @@ def pipeline_balance(summary: DataFrame) -> DataFrame:
     )
 
 
+def _in_rows(newest: DataFrame, keys: list[str], shown: list[str]) -> DataFrame:
+    names = F.array(*map(F.lit, shown))
+    rows = newest.select(*keys, "fields", F.posexplode(names).alias("place", "name"))
+    return rows.select(*keys, (F.col("place") + 1).alias("place"), "name", F.col("fields")[F.col("name")].alias("value"))
+
+
 def latest_metrics(metrics: DataFrame, shown: list[str] = SHOWN) -> DataFrame:
     """``host, place, name, value``: the newest sample of each host, a field a row."""
     newest = _samples(metrics).groupBy("host").agg(F.max_by("fields", "ts").alias("fields"))
-    names = F.array(*map(F.lit, shown))
-    return newest.select("host", "fields", F.posexplode(names).alias("place", "name")).select("host", (F.col("place") + 1).alias("place"), "name", F.col("fields")[F.col("name")].alias("value"))
+    return _in_rows(newest, ["host"], shown)
+
+
+#: How old the sample that a capture begins with may be.
+FRESH_S = 60
+
+
+def metrics_at(metrics: DataFrame, instants: DataFrame, within_s: int = FRESH_S) -> DataFrame:
+    """``instants`` (``host``, ``at`` in seconds, and any key of their own) with ``ts`` and ``fields`` of the newest sample of the
+    host in the ``within_s`` seconds up to the instant, or none. Of samples of one time that with the most received packets counts, which came last.
+
+    An as-of join by order: samples and instants are dealt by host and stretch of time, each sample to its own and the
+    next stretch, so that a host's long history is the work of many tasks, and the last sample before each instant is carried along. No
+    pair of a sample and an instant is made but the one that is kept."""
+    stretch = lambda c: F.floor(c / within_s).cast("bigint")
+    own = [c for c in instants.columns if c != "host"]
+    kept = F.struct("ts", "fields")
+    samples = _samples(metrics).select("host", F.explode(F.array(stretch(F.col("ts")), stretch(F.col("ts")) + 1)).alias("stretch"), F.col("ts").alias("time"), F.lit(0).alias("kind"), F.col("total_received").alias("tie"), kept.alias("sample"))
+    asked = instants.select("host", stretch(F.col("at")).alias("stretch"), F.col("at").cast("double").alias("time"), F.lit(1).alias("kind"), F.struct(*own).alias("instant"))
+    both = samples.unionByName(asked, allowMissingColumns=True)
+    order = Window.partitionBy("host", "stretch").orderBy("time", "kind", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    last = both.withColumn("found", F.last("sample", ignorenulls=True).over(order)).where("kind = 1")
+    fresh = F.when(F.col("time") - F.col("found.ts") <= within_s, F.col("found"))
+    return last.select("host", "instant.*", fresh.alias("found")).select("host", *own, "found.ts", "found.fields")
+
+
+def latest_metrics_at(metrics: DataFrame, instants: DataFrame, within_s: int = FRESH_S, shown: list[str] = SHOWN) -> DataFrame:
+    """The fields to show of the newest sample at each instant, a field a row; instants without a fresh sample have no rows."""
+    found = metrics_at(metrics, instants, within_s).where("fields is not null")
+    return _in_rows(found, ["host", *(c for c in instants.columns if c != "host")], shown)
 
 
 def socket_distribution(metrics: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ from natspark.functions import ipv4, names, times
 from natspark.operators import decode, reports, runner
 from natspark.plans import inputs
 from natspark.plans.inputs import DATE, DAYS, NODES, S, duck
-from natspark.schema import SESSION_COLUMNS
+from natspark.schema import SESSION_COLUMNS, SESSIONS
 from natspark.sources import packets as packet_files
 from natspark.sources import rowbinary
+from natspark.sources.files import write_files
 from natspark.sources.sessions import publish_partition, read_sessions, write_sessions
-from natspark.sources.shared import new_path
+from natspark.sources.shared import new_path, stored
+from natspark.streaming import ingest
 
 # Rows of the top-k reports for each node and day.
 SMTP_K, SHARING_K = 10_000, 200
@@ -115,13 +117,21 @@ _SHARING = f"""SELECT data_date, node, {_HOUR} AS hour, public_ip, count(DISTINC
   count(DISTINCT router_ip) AS routers, count(*) AS records FROM dated WHERE start_day = event_day GROUP BY ALL"""
 
 
-@query(f"SELECT data_date, node, least(count(*), {SHARING_K}) AS rows, true AS near FROM ({_SHARING}) t GROUP BY ALL")
+@query(f"SELECT data_date, node, least(count(*), {SHARING_K}) AS rows, true AS near, true AS among_the_first FROM ({_SHARING}) t GROUP BY ALL")
 def public_ip_sharing_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's estimate against its exact count, and that count against the last one of the exact report."""
     made = inputs.sessions(spark, sf_dir)
     keys = ["data_date", "node", "hour", "public_ip"]
     exact = reports.public_ip_sharing_hour(made, k=1 << 30, exact=True)
-    both = reports.public_ip_sharing_hour(made, k=SHARING_K).join(exact.select(*keys, "origins"), keys)
-    return _out(both.groupBy("data_date", "node").agg(F.count(F.lit(1)).alias("rows"), F.every(_near("origins_approx", "origins")).alias("near")))
+    last = reports.public_ip_sharing_hour(made, k=SHARING_K, exact=True).groupBy("data_date", "node").agg(F.min("origins").alias("last"))
+    both = reports.public_ip_sharing_hour(made, k=SHARING_K).join(exact.select(*keys, "origins"), keys).join(last, ["data_date", "node"])
+    among = F.col("origins") >= 0.97 * F.col("last")
+    return _out(both.groupBy("data_date", "node").agg(F.count(F.lit(1)).alias("rows"), F.every(_near("origins_approx", "origins")).alias("near"), F.every(among).alias("among_the_first")))
+
+
+@query(f"SELECT * FROM ({_SHARING}) t {_TOP.format('origins DESC, hour, public_ip', SHARING_K)}")
+def public_ip_sharing_hour_proven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _out(reports.public_ip_sharing_hour_proven(inputs.sessions(spark, sf_dir), k=SHARING_K))
 
 
 @query(f"SELECT * FROM ({_SHARING}) t {_TOP.format('origins DESC, hour, public_ip', SHARING_K)}")
@@ -152,6 +162,13 @@ def global_uniques_of_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(both.select("data_date", "public_ip", "uniques", "records", _near("uniques_approx", "uniques").alias("near")))
 
 
+@query(_UNIQUES)
+def global_uniques_of_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "bitmaps")
+    reports.node_bitmaps(inputs.sessions(spark, sf_dir), ["public_ip"], "private_ip").write.partitionBy("node").parquet(path)
+    return _out(reports.global_uniques(spark.read.parquet(path), ["public_ip"]))
+
+
 @query("SELECT count(*) AS rows, min(end_s) AS first_end, max(end_s) AS last_end FROM nat")
 def row_window_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = reports.row_window_check(inputs.sessions(spark, sf_dir))
@@ -172,12 +189,17 @@ def column_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approx.join(F.broadcast(exact)).select("rows", near.alias("near"))
 
 
+_BEHIND = [3355508736, 3355508737, 3355508799]
 _COUNTS = " UNION ALL ".join(
     f"SELECT '{case}' AS report, {sql} AS rows"
     for case, sql in {
         "public_ip_pool": "(SELECT count(*) FROM (SELECT DISTINCT node, public_ip FROM d))",
+        "subscribers_of_public_ip": f"(SELECT count(*) FROM (SELECT DISTINCT node, public_ip, private_ip FROM d WHERE public_ip IN {tuple(_BEHIND)}))",
         "hourly_nat_load": f"(SELECT count(*) FROM (SELECT DISTINCT node, public_ip, {_HOUR} FROM d))",
         "smtp_abuse": "(SELECT sum(least(n, 10000)) FROM (SELECT node, count(DISTINCT (private_ip, public_ip, destination_ip)) AS n FROM d WHERE destination_port = 25 GROUP BY node))",
+        "top_service_ports": f"(SELECT count(*) FROM (SELECT DISTINCT node, public_ip, destination_port FROM d WHERE destination_port IN {reports.SERVICE_PORTS}))",
+        "router_hour_observations": f"(SELECT count(*) FROM (SELECT DISTINCT node, router_ip, {_HOUR} FROM d WHERE start_day = event_day))",
+        "public_ip_sharing_hour": f"(SELECT sum(least(n, {SHARING_K})) FROM (SELECT node, count(DISTINCT (public_ip, {_HOUR})) AS n FROM d WHERE start_day = event_day GROUP BY node))",
         "no_such_case": "NULL",
     }.items()
 )
@@ -185,10 +207,10 @@ _COUNTS = " UNION ALL ".join(
 
 @query(f"@, d AS (SELECT * FROM dated WHERE data_date = '{DAYS[0]}') SELECT report, CAST(coalesce(rows, -1) AS BIGINT) AS rows, rows IS NULL AS failed FROM ({_COUNTS}) t")
 def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven reports, and one that there isn't."""
     path, out = new_path(spark, "sessions"), new_path(spark, "reports")
     write_sessions(inputs.sessions(spark, sf_dir).select(*SESSION_COLUMNS, "node"), path)
-    cases = ["public_ip_pool", "hourly_nat_load", "smtp_abuse", "no_such_case"]
-    status = runner.run_reports(spark, path, DAY, cases, out, NODES)
+    status = runner.run_reports(spark, path, DAY, [*runner.CASES, "no_such_case"], out, NODES, ips=_BEHIND)
     return status.select(F.col("case").alias("report"), F.coalesce("rows", F.lit(-1)).alias("rows"), F.col("error").isNotNull().alias("failed"))
 
 
@@ -261,9 +283,31 @@ def read_packets_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packet_rows(packet_files.read_packets_jsonl(spark, path))
 
 
+def _captures(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of captures of all packets, with the beginning of one more frame at the end of each."""
+    folder = new_path(spark, "captures")
+    made = packet_files.captures(inputs.packets(spark, sf_dir)).withColumn("content", F.concat("content", F.lit(bytearray(CUT))))
+    write_files(stored(made.withColumn("name", F.concat(F.lit("capture-"), F.monotonically_increasing_id().cast("string"))), "captures"), folder)
+    return folder
+
+
+CUT = b"\0\0\0\x30cut off"
+
+
 @query(_PACKET_ROWS)
 def read_packets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _packet_rows(packet_files.packets_of_files(packet_files.captures(inputs.packets(spark, sf_dir))))
+    """In ranges far smaller than the files."""
+    return _packet_rows(packet_files.read_packets_raw(spark, _captures(spark, sf_dir), 100_000)[0])
+
+
+@query(f"SELECT count(*) AS packets, true AS each_cut_is_told FROM ({duck('packets')}) p")
+def capture_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _captures(spark, sf_dir)
+    packets, errors = packet_files.read_packets_raw(spark, folder, 100_000)
+    files = spark.read.format("binaryFile").load(folder).agg(F.count(F.lit(1)).alias("files"))
+    cut = errors.agg(F.count(F.lit(1)).alias("cuts"), F.countDistinct("path").alias("paths"), F.coalesce(F.every((F.col("stop") - F.col("start") == len(CUT)) & F.col("error").startswith("the last frame is cut off")), F.lit(True)).alias("alike"))
+    told = (F.col("cuts") == F.col("files")) & (F.col("paths") == F.col("files")) & F.col("alike")
+    return packets.agg(F.count(F.lit(1)).alias("packets")).crossJoin(files.crossJoin(cut).select(told.alias("each_cut_is_told")))
 
 
 _ROWS = f"SELECT start_s, end_s, router_ip, router_port, protocol_id, {_FIELDS}, packet_size FROM nat"
@@ -287,6 +331,42 @@ def rowbinary_v1_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _seconds(read.where("header = repeat('h', 200) and protocol = 'unknown' and event_time = end_time and length(event_id) = 40"))
 
 
+def _batch_folder(spark: SparkSession, sf_dir: str, rows_per_batch: int) -> str:
+    rowbinary.register(spark)
+    folder = new_path(spark, "batches")
+    made = inputs.sessions(spark, sf_dir).select(*SESSION_COLUMNS)
+    made.write.format("rowbinary").option("rowsPerBatch", rows_per_batch).mode("append").save(folder)
+    return folder
+
+
+@query(_ROWS)
+def write_rowbinary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by the format's writer, read back by its reader in ranges smaller than a file."""
+    folder = _batch_folder(spark, sf_dir, 50_000)
+    return _seconds(spark.read.format("rowbinary").option("rangeBytes", 500_000).load(folder))
+
+
+@query(_ROWS)
+def stream_rowbinary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder as a stream."""
+    folder, out = _batch_folder(spark, sf_dir, 2_000), new_path(spark, "streamed")
+    stream = spark.readStream.format("rowbinary").load(folder)
+    ingest.finish(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "streamed-state")))
+    return _seconds(spark.read.schema(SESSIONS).parquet(out))
+
+
+@query(_ROWS)
+def rowbinary_v1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of schema 1, read in ranges that one pass found."""
+    folder = new_path(spark, "batches-v1")
+    old = inputs.sessions(spark, sf_dir).withColumns({"event_time": F.col("end_time"), "event_id": F.lit("e"), "event_type": F.lit("nat"), "header": F.repeat(F.lit("h"), 150), "protocol": F.lit("")})
+    blobs = rowbinary.write_rowbinary(old, 5000, version=1)
+    named = blobs.select(F.concat(F.lit("b"), F.monotonically_increasing_id().cast("string"), F.lit(".rowbinary.done")).alias("name"), F.col("blob").alias("content"))
+    write_files(stored(named, "batches-v1"), folder)
+    files = spark.read.format("binaryFile").load(folder).select("path", "length")
+    return _seconds(rowbinary.decode_ranges(stored(rowbinary.ranges_of(files, 1, range_bytes=100_000), "ranges"), 1))
+
+
 @query(f"{_ROWS} WHERE end_s >= {S} AND end_s < {S + 86400}")
 def migrate_v1_to_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = inputs.sessions(spark, sf_dir).withColumns({"event_time": F.col("end_time"), "header": F.lit(""), "protocol": F.lit("unknown")})

@@ -7,12 +7,15 @@ from collections.abc import Iterator
 from itertools import batched
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from natspark.functions.ipv4 import ip_to_long, long_to_ip
 from natspark.functions.times import OFFSET_S
 from natspark.schema import RAW_PACKETS_JSON
+from natspark.sources.files import listed, opened, pieces
+from natspark.sources.shared import stored
 
 MAGIC = b"HCGNRAW2\n"
 #: Big-endian: length of the rest, receive time in nanoseconds, router port, lengths of the router's text and of the data.
@@ -45,35 +48,96 @@ def frame(received_ns: int, router_ip: str, router_port: int, data: bytes) -> by
     return FRAME.pack(FRAME.size - 4 + len(ip) + len(data), received_ns, router_port, len(ip), len(data)) + ip + data
 
 
-def walk(content: bytes) -> Iterator[tuple[int, str, int, bytes]]:
-    """The packets of a capture; a frame that is cut off at the end is left out."""
-    if not content.startswith(MAGIC):
-        raise ValueError("not a raw packet capture")
-    at = len(MAGIC)
+#: Of a frame after its length, and of a range that a task decodes.
+MOST_FRAME_BYTES, RANGE_BYTES = FRAME.size - 4 + 2 * 65_535, 32 << 20
+
+
+def walk(content: bytes, at: int = 0) -> Iterator[tuple[int, int, str, int, bytes]]:
+    """The whole frames from a place on: where each ends, and its packet."""
     while at + FRAME.size <= len(content):
         size, nanos, port, ip_size, data_size = FRAME.unpack_from(content, at)
+        if size > MOST_FRAME_BYTES or FRAME.size - 4 + ip_size + data_size > size:
+            raise ValueError(f"a frame of {size} bytes with {ip_size} and {data_size} bytes in it")
         body, at = at + FRAME.size, at + 4 + size
         if at > len(content):
+            return
+        yield at, nanos, content[body : body + ip_size].decode(errors="replace"), port, content[body + ip_size : body + ip_size + data_size]
+
+
+def _walked(path: str, size: int) -> Iterator[tuple[int, int, int, str | None]]:
+    """Ranges of whole frames of a capture, and an error range for what isn't one."""
+    at = start = frames = 0
+    rest, problem, begun = b"", None, False
+    for piece in pieces(path):
+        rest += piece
+        if not begun and len(rest) >= len(MAGIC):
+            if not rest.startswith(MAGIC):
+                break
+            begun, at, start, rest = True, len(MAGIC), len(MAGIC), rest[len(MAGIC) :]
+        here = 0
+        try:
+            for here, *_ in walk(rest) if begun else ():
+                frames += 1
+                if at + here - start >= size:
+                    yield start, at + here, frames, None
+                    start, frames = at + here, 0
+        except ValueError as e:
+            problem = str(e)
+        at, rest = at + here, rest[here:]
+        if problem:
             break
-        yield nanos, content[body : body + ip_size].decode(), port, content[body + ip_size : body + ip_size + data_size]
+    if at > start:
+        yield start, at, frames, None
+    if not begun:
+        yield 0, len(rest), 0, "not a raw packet capture"
+    elif rest:
+        yield at, at + len(rest), 0, f"{problem or 'the last frame is cut off'}, after byte {at}"
 
 
-def packets_of_files(files: DataFrame) -> DataFrame:
-    """Packets of captures in ``content``; a task walks its files one at a time."""
+def capture_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``path, start, stop, frames, error``: ranges of whole frames of each capture (``path``), found in one pass. What isn't
+    a whole frame is a range with an error and no frames."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                for rows in batched(walk(bytes(content)), 10_000):
-                    yield pd.DataFrame(list(rows), columns=["received_ns", "router", "router_port", "payload"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path in (p for batch in batches for p in batch.column("path").to_pylist()):
+            columns = [pa.array(c, t) for c, t in zip(zip(*_walked(path, range_bytes)), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(path), len(columns[0])), *columns], names=["path", "start", "stop", "frames", "error"])
 
-    got = files.select("content").mapInPandas(run, "received_ns bigint, router string, router_port int, payload binary")
+    return files.select("path").repartition("path").mapInArrow(run, "path string, start long, stop long, frames long, error string")
+
+
+def _typed(got: DataFrame) -> DataFrame:
     seconds = F.floor(F.col("received_ns") / F.lit(1_000_000_000)).cast("bigint")
     return got.select(seconds.alias("received_s"), "received_ns", ip_to_long(F.col("router")).alias("router_ip"), "router_port", "payload")
 
 
-def read_packets_raw(spark: SparkSession, path: str) -> DataFrame:
-    return packets_of_files(spark.read.format("binaryFile").load(path))
+_FRAMES = "received_ns bigint, router string, router_port int, payload binary"
+
+
+def _batches(content: bytes) -> Iterator[pa.RecordBatch]:
+    for rows in batched(walk(content), 10_000):
+        columns = list(zip(*rows))[1:]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.binary()))], names=["received_ns", "router", "router_port", "payload"])
+
+
+def packets_of_ranges(ranges: DataFrame) -> DataFrame:
+    """Packets of the ranges without error, dealt out evenly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, start, stop in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop"))):
+                yield from _batches(opened(path, start, stop))
+
+    dealt = ranges.where("error is null").select("path", "start", "stop").repartition(max(2, 2 * ranges.sparkSession.sparkContext.defaultParallelism), "path", "start")
+    return _typed(dealt.mapInArrow(run, _FRAMES))
+
+
+def read_packets_raw(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Packets of the captures of a folder, and ``path, start, stop, error`` of the bytes that aren't whole frames. Captures are
+    walked once to find ranges, of which each is a task's work, so that a file may have any size."""
+    files = spark.createDataFrame([(f.path,) for f in listed(path)], "path string")
+    ranges = stored(capture_ranges(files, range_bytes), "capture-ranges")
+    return packets_of_ranges(ranges), ranges.where("error is not null").select("path", "start", "stop", "error")
 
 
 def packets_to_json(packets: DataFrame) -> DataFrame:

@@ -1,18 +1,31 @@
-"""Fixed-width (schema 2) and variable-width (schema 1) row batches, little-endian without padding."""
+"""Fixed-width (schema 2) and variable-width (schema 1) row batches, little-endian without padding.
+
+Files are read in byte ranges, so that one file is the work of many tasks and none holds more than a range: ranges of
+schema 2 follow from the length alone, those of schema 1 from one pass that finds where rows begin, and whether they end. The format
+``rowbinary`` reads folders of schema 2, at once or as a stream, and writes batch files with their sidecars.
+"""
 
 from __future__ import annotations
 
+import json
 import struct
+import time
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import batched
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
+from natspark.functions.times import OFFSET_S
 from natspark.schema import SESSION_COLUMNS, SESSIONS, SESSIONS_V1
+from natspark.sources.files import listed, opened, pieces, place
 
 #: Bytes and order of the columns of a row.
 ROW = np.dtype([
@@ -22,20 +35,33 @@ ROW = np.dtype([
 ])
 EVENT_ID = 40
 ROWS_PER_BATCH = 200_000
+#: Bytes of a range, and of a row of schema 1 at most: a longer one is an error, not a reason to read on.
+RANGE_BYTES, MOST_ROW_BYTES = 32 << 20, 4 << 20
+DONE, SIDECAR_SUFFIX = ".rowbinary.done", ".json"
 _TIMES = ("event_time", "start_time", "end_time")
-_KINDS = {"bigint": np.int64, "int": np.int32, "smallint": np.int16}
+_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "string": pa.string()}
+
+
+class Unfinished(ValueError):
+    """A row goes on where its bytes end."""
+
+
+def _names(version: int) -> list[str]:
+    return SESSION_COLUMNS if version == 2 else [c.split()[0] for c in SESSIONS_V1.split(", ")]
 
 
-def _typed(columns: dict, schema: str) -> pd.DataFrame:
+def _schema(version: int) -> str:
+    return SESSIONS if version == 2 else SESSIONS_V1
+
+
+def _typed(columns: dict, version: int) -> pa.RecordBatch:
     out = {}
-    for name, kind in (c.split() for c in schema.split(", ")):
+    for name, kind in (c.split() for c in _schema(version).split(", ")):
         value = columns[name]
         if kind == "timestamp":
-            value = pd.to_datetime(np.asarray(value, np.int64), unit="s", utc=True)
-        elif kind in _KINDS:
-            value = np.asarray(value).astype(_KINDS[kind])
-        out[name] = value
-    return pd.DataFrame(out)
+            value = pa.array(np.asarray(value, np.int64) * 1_000_000).cast(pa.timestamp("us", "UTC"))
+        out[name] = value if kind == "timestamp" else pa.array(value).cast(_KINDS[kind])
+    return pa.RecordBatch.from_pydict(out)
 
 
 def rows_v2(content: bytes) -> np.ndarray:
@@ -48,21 +74,28 @@ def _text(content: bytes, at: int) -> tuple[str, int]:
     """A string with its length before it, seven bits a byte from the lowest."""
     size = shift = 0
     while True:
+        if at >= len(content):
+            raise Unfinished
         byte = content[at]
         at += 1
         size |= (byte & 127) << shift
         shift += 7
+        if size > MOST_ROW_BYTES:
+            raise ValueError(f"a string of {size} bytes or more")
         if byte < 128:
-            return content[at : at + size].decode(errors="replace"), at + size
+            break
+    if at + size > len(content):
+        raise Unfinished
+    return content[at : at + size].decode(errors="replace"), at + size
 
 
 _V1_PARTS = (struct.Struct("<3I"), struct.Struct("<IHB"), struct.Struct("<IHIHIHH"))
 
 
-def rows_v1(content: bytes) -> Iterator[tuple]:
-    at = 0
+def _row_v1(content: bytes, at: int) -> tuple[tuple, int]:
+    """The row at a place, and where the next one begins."""
     times, router, rest = _V1_PARTS
-    while at < len(content):
+    try:
         moments = times.unpack_from(content, at)
         at += times.size
         event_id = content[at : at + EVENT_ID].rstrip(b"\0").decode(errors="replace")
@@ -70,34 +103,288 @@ def rows_v1(content: bytes) -> Iterator[tuple]:
         header, at = _text(content, at)
         numbers = router.unpack_from(content, at)
         protocol, at = _text(content, at + router.size)
-        yield (*moments, event_id, event_type, header, *numbers, protocol, *rest.unpack_from(content, at))
-        at += rest.size
+        return (*moments, event_id, event_type, header, *numbers, protocol, *rest.unpack_from(content, at)), at + rest.size
+    except struct.error:
+        raise Unfinished from None
+
+
+def rows_v1(content: bytes) -> Iterator[tuple]:
+    at = 0
+    while at < len(content):
+        row, at = _row_v1(content, at)
+        yield row
+
+
+def _decoded(content: bytes, version: int) -> Iterator[pa.RecordBatch]:
+    names = _names(version)
+    if version == 2:
+        rows = rows_v2(content)
+        for b in range(0, len(rows), ROWS_PER_BATCH):
+            yield _typed({c: rows[c][b : b + ROWS_PER_BATCH] for c in names}, 2)
+    else:
+        for part in batched(rows_v1(content), ROWS_PER_BATCH):
+            yield _typed(dict(zip(names, zip(*part))), 1)
+
+
+def _kept(df: DataFrame, keep: tuple[str, ...]) -> str:
+    return "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
 
 
 def decode_rowbinary(files: DataFrame, version: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
     """Sessions of the batches in ``content``, with the columns ``keep`` of their files; a file is decoded in parts."""
-    schema = SESSIONS if version == 2 else SESSIONS_V1
-    names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                content = bytes(row.content)
-                if version == 2:
-                    rows = rows_v2(content)
-                    parts = ({c: rows[c][b : b + ROWS_PER_BATCH] for c in names} for b in range(0, len(rows), ROWS_PER_BATCH))
-                else:
-                    parts = (dict(zip(names, zip(*rows))) for rows in batched(rows_v1(content), ROWS_PER_BATCH))
-                for part in parts:
-                    yield _typed(part, schema).assign(**{c: getattr(row, c) for c in keep})
+            for k in range(batch.num_rows):
+                for rows in _decoded(batch.column("content")[k].as_py(), version):
+                    for c in keep:
+                        rows = rows.append_column(c, pa.repeat(batch.column(c)[k], rows.num_rows))
+                    yield rows
 
-    kept = "".join(f", {c} {files.schema[c].dataType.simpleString()}" for c in keep)
-    return files.select("content", *keep).mapInPandas(run, schema + kept)
+    return files.select("content", *keep).mapInArrow(run, _schema(version) + _kept(files, keep))
+
+
+# ---- ranges
+
+
+_RANGES = "start long, stop long, rows long, error string"
+
+
+def _walked_v1(path: str, size: int) -> Iterator[tuple[int, int, int, str | None]]:
+    """Ranges of whole rows of a file, and an error range for what follows the last whole row."""
+    at = start = rows = 0
+    rest, problem = b"", None
+    for piece in pieces(path):
+        rest += piece
+        here = 0
+        try:
+            while here < len(rest):
+                _, here = _row_v1(rest, here)
+                rows += 1
+                if at + here - start >= size:
+                    yield start, at + here, rows, None
+                    start, rows = at + here, 0
+        except Unfinished:
+            if len(rest) - here > MOST_ROW_BYTES:
+                problem = f"a row of over {MOST_ROW_BYTES} bytes"
+        except ValueError as e:
+            problem = str(e)
+        at, rest = at + here, rest[here:]
+        if problem:
+            break
+    if at > start:
+        yield start, at, rows, None
+    if rest:
+        yield at, at + len(rest), 0, f"{problem or 'the last row is cut off'}, after byte {at}"
+
+
+def ranges_of(files: DataFrame, version: int, keep: tuple[str, ...] = (), range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``path, start, stop, rows, error`` and the columns ``keep`` of the files (``path``, ``length``): ranges of whole rows. What isn't a
+    whole row at a file's end is a range with an error and no rows."""
+    if version == 2:
+        step = range_bytes // ROW.itemsize * ROW.itemsize
+        whole = F.col("length") - F.col("length") % ROW.itemsize
+        starts = F.when(whole > 0, F.sequence(F.lit(0).cast("long"), whole - 1, F.lit(step).cast("long")))
+        good = files.select("path", *keep, whole.alias("whole"), F.explode(starts).alias("start")).withColumn("stop", F.least(F.col("start") + step, "whole"))
+        good = good.select("path", *keep, "start", "stop", ((F.col("stop") - F.col("start")) / ROW.itemsize).cast("long").alias("rows"), F.lit(None).cast("string").alias("error"))
+        left = F.concat(F.lit("the last row is cut off, after byte "), whole.cast("string"))
+        cut = files.where(F.col("length") > whole).select("path", *keep, whole.alias("start"), F.col("length").alias("stop"), F.lit(0).cast("long").alias("rows"), left.alias("error"))
+        return good.unionByName(cut)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                found = list(_walked_v1(batch.column("path")[k].as_py(), range_bytes))
+                if found:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+                    of_file = [pa.repeat(batch.column(c)[k], len(found)) for c in ("path", *keep)]
+                    yield pa.RecordBatch.from_arrays([*of_file, *columns], names=["path", *keep, "start", "stop", "rows", "error"])
+
+    # A file is walked by one task, so each is dealt to one of its own.
+    return files.select("path", *keep).repartition("path").mapInArrow(run, f"path string{_kept(files, keep)}, {_RANGES}")
+
+
+def decode_ranges(ranges: DataFrame, version: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Sessions of ranges without error (``path, start, stop``), dealt out evenly, with their columns ``keep``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                path, start, stop = (batch.column(c)[k].as_py() for c in ("path", "start", "stop"))
+                for rows in _decoded(opened(path, start, stop), version):
+                    for c in keep:
+                        rows = rows.append_column(c, pa.repeat(batch.column(c)[k], rows.num_rows))
+                    yield rows
+
+    wanted = ranges.select(*dict.fromkeys(("path", "start", "stop", *keep)))
+    dealt = wanted.repartition(max(2, 2 * ranges.sparkSession.sparkContext.defaultParallelism), "path", "start")
+    return dealt.mapInArrow(run, _schema(version) + _kept(ranges, keep))
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Batch files of a folder, without their contents."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.rowbinary*").load(path)
+    return found.where(~F.col("path").endswith(SIDECAR_SUFFIX)).select("path", "length")
 
 
 def read_rowbinary(spark: SparkSession, path: str, version: int = 2) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.rowbinary*").load(path)
-    return decode_rowbinary(files.where(~F.col("path").endswith(".json")), version)
+    """Sessions of all batch files of a folder, read in ranges. Bytes that aren't a whole row raise an error when the
+    ranges are made; :func:`ranges_of` gives them as rows."""
+    ranges = ranges_of(_files(spark, path), version)
+    checked = ranges.withColumn("start", F.when(F.col("error").isNull(), F.col("start")).otherwise(F.raise_error(F.concat_ws(": ", "path", "error")).cast("long")))
+    return decode_ranges(checked, version)
+
+
+# ---- the format
+
+
+@dataclass
+class ByteRange(InputPartition):
+    path: str
+    start: int
+    stop: int
+
+
+def _cut(files: list[tuple[str, int]], range_bytes: int) -> list[ByteRange]:
+    step = range_bytes // ROW.itemsize * ROW.itemsize
+    for path, size in files:
+        if size % ROW.itemsize:
+            raise ValueError(f"{path}: {size} bytes aren't a number of whole rows")
+    return [ByteRange(path, b, min(b + step, size)) for path, size in files for b in range(0, size, step)]
+
+
+class RowBinaryFormat(DataSource):
+    """``rowbinary``: folders of batch files of schema 2. Options: ``path``; reading: ``rangeBytes``; writing: ``tableName``, ``rowsPerBatch``, ``reason`` (the sidecar's ``error``)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "rowbinary"
+
+    def schema(self) -> str:
+        return SESSIONS
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _Reader(self.options)
+
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return _StreamReader(self.options)
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        if overwrite:
+            raise ValueError("batch files are only added to a folder")
+        if [f.name for f in schema] != SESSION_COLUMNS:
+            raise ValueError(f"the columns must be {SESSION_COLUMNS}")
+        return _Writer(self.options)
+
+
+def _read(part: ByteRange) -> Iterator[pa.RecordBatch]:
+    yield from _decoded(opened(part.path, part.start, part.stop), 2)
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.path, self.range_bytes = options["path"], int(options.get("rangeBytes", RANGE_BYTES))
+
+    def partitions(self) -> list[ByteRange]:
+        return _cut([(f.path, f.size) for f in listed(self.path) if f.path.endswith(DONE)], self.range_bytes)
+
+    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+        return _read(partition)
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Files in the order of their time and name; an offset is the newest one there was. Files appear by a rename, so they are
+    whole; one that appears with an older time than the offset's is not seen. A micro-batch takes all new files, in ranges."""
+
+    def __init__(self, options: dict):
+        self.path, self.range_bytes = options["path"], int(options.get("rangeBytes", RANGE_BYTES))
+        self.newest = [0, ""]
+
+    def _files(self) -> list[tuple[list, str, int]]:
+        return [([f.mtime_ns, f.path], f.path, f.size) for f in listed(self.path) if f.path.endswith(DONE)]
+
+    def initialOffset(self) -> dict:
+        return {"last": [0, ""]}
+
+    def latestOffset(self) -> dict:
+        self.newest = max([self.newest, *(key for key, *_ in self._files())])
+        return {"last": self.newest}
+
+    def partitions(self, start: dict, end: dict) -> list[ByteRange]:
+        return _cut([(path, size) for key, path, size in sorted(self._files()) if start["last"] < key <= end["last"]], self.range_bytes)
+
+    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+        return _read(partition)
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    #: File names, of data and its sidecar each.
+    names: list[str]
+
+
+class _Writer(DataSourceArrowWriter):
+    """Two phases: tasks write into a folder of this job, and the commit moves each sidecar and then its data into place;
+    a data file is never without its sidecar. What a failed job or task wrote goes with the folder."""
+
+    def __init__(self, options: dict):
+        self.path, self.rows = options["path"].rstrip("/"), int(options.get("rowsPerBatch", ROWS_PER_BATCH))
+        self.table, self.reason = options.get("tableName", "sessions"), options.get("reason", "")
+        self.job = uuid.uuid4().hex
+        self.staging = f"{self.path}/_staging-{self.job}"
+
+    def _put(self, task: str, k: int, rows: np.ndarray) -> str:
+        name = f"batch_{self.job}_{task}_{k}_rows{len(rows)}{DONE}"
+        data = rows.tobytes()
+        created = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(time.time() + OFFSET_S))
+        meta = {"schema_version": 2, "created_time": created, "table_name": self.table, "rows": len(rows), "bytes": len(data), "format": "RowBinary", "error": self.reason}
+        fs, at = place(self.staging)
+        fs.create_dir(at, recursive=True)
+        for end, content in (("", data), (SIDECAR_SUFFIX, json.dumps(meta).encode())):
+            with fs.open_output_stream(f"{at}/{name}{end}") as out:
+                out.write(content)
+        return name
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
+        # A name of its own for every attempt: a task that runs twice leaves files that no message names.
+        task, names = uuid.uuid4().hex[:12], []
+        held, n = [], 0
+        for batch in iterator:
+            rows = np.empty(batch.num_rows, ROW)
+            for c in SESSION_COLUMNS:
+                column = batch.column(c)
+                if column.null_count:
+                    raise ValueError(f"{c} has no value")
+                rows[c] = column.cast(pa.int64()).to_numpy() // 1_000_000 if c in _TIMES else column.to_numpy()
+            held.append(rows)
+            n += len(rows)
+            while n >= self.rows:
+                rows = np.concatenate(held)
+                names.append(self._put(task, len(names), rows[: self.rows]))
+                held, n = [rows[self.rows :]], n - self.rows
+        if n:
+            names.append(self._put(task, len(names), np.concatenate(held)))
+        return _Written(names)
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        (fs, staged), (_, to) = place(self.staging), place(self.path)
+        for name in (name for m in messages if m for name in m.names):
+            for end in (SIDECAR_SUFFIX, ""):
+                fs.move(f"{staged}/{name}{end}", f"{to}/{name}{end}")
+        self.abort(messages)
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        fs, staged = place(self.staging)
+        if fs.get_file_info(staged).type.name == "Directory":
+            fs.delete_dir(staged)
+
+
+def register(spark: SparkSession) -> None:
+    """Make the format ``rowbinary`` known to a session."""
+    spark.dataSource.register(RowBinaryFormat)
+
+
+# ---- batches in a column
 
 
 def _packed_text(text: str) -> bytes:
@@ -119,7 +406,7 @@ def _packed_v1(row: tuple) -> bytes:
 
 def write_rowbinary(sessions: DataFrame, rows_per_batch: int = ROWS_PER_BATCH, version: int = 2) -> DataFrame:
     """``blob, rows``: batches of schema 2 or 1, each from rows of one partition."""
-    names = SESSION_COLUMNS if version == 2 else [c.split()[0] for c in SESSIONS_V1.split(", ")]
+    names = _names(version)
     seconds = [F.unix_seconds(c).alias(c) if c in _TIMES else F.col(c) for c in names]
 
     def packed(batch: pd.DataFrame) -> bytes:

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from natspark.functions.times import event_date
 from natspark.operators.decode import decode_packets
 from natspark.schema import PARTITIONS
 
 
+def finish(writer: DataStreamWriter) -> None:
+    """Run a stream over all there is now."""
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def routed(packets: DataFrame, node: str) -> DataFrame:
     """Decoded sessions with the day and node that they belong to."""
     numbered = packets if "packet_id" in packets.columns else packets.withColumn("packet_id", F.xxhash64("payload", "received_s"))

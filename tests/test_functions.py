@@ -27,7 +27,7 @@ def test_long_to_ip(spark):
 
 @pytest.mark.parametrize(
     "day, after",
-    [(datetime.date(2026, 10, 16), "2026-10-17"), (datetime.date(2026, 12, 31), "2027-01-01"), (datetime.date(2024, 2, 29), "2024-03-01")],
+    [(datetime.date(2025, 4, 30), "2025-05-01"), (datetime.date(2029, 12, 31), "2030-01-01"), (datetime.date(2028, 2, 29), "2028-03-01"), (datetime.date(2027, 2, 28), "2027-03-01")],
 )
 def test_day_bounds(spark, day, after):
     start, stop = times.day_bounds(day)
@@ -38,11 +38,11 @@ def test_day_bounds(spark, day, after):
 def test_midnight_whatever_the_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        at = F.timestamp_seconds(F.lit(1792126800))  # 2026-10-16 00:00 at UTC-5
-        assert str(one(spark, times.event_date(at).cast("string"))) == "2026-10-16"
-        assert str(one(spark, times.event_date(F.timestamp_seconds(F.lit(1792126799))).cast("string"))) == "2026-10-15"
-        assert one(spark, times.in_day(at, datetime.date(2026, 10, 16)))
-        assert one(spark, times.day_suffix(times.event_date(at))) == "2026_10_16"
+        at = F.timestamp_seconds(F.lit(1804568400))  # 2027-03-09 00:00 at UTC-5
+        assert str(one(spark, times.event_date(at).cast("string"))) == "2027-03-09"
+        assert str(one(spark, times.event_date(F.timestamp_seconds(F.lit(1804568399))).cast("string"))) == "2027-03-08"
+        assert one(spark, times.in_day(at, datetime.date(2027, 3, 9)))
+        assert one(spark, times.day_suffix(times.event_date(at))) == "2027_03_09"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -1,14 +1,16 @@
 import datetime
 import struct
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from natspark import job
-from natspark.operators import decode, reports, runner
+from natspark.operators import decode, replay, reports, runner
 from natspark.schema import SESSION_COLUMNS, SESSIONS, SESSIONS_V1
 from natspark.sources import packets, rowbinary
 from natspark.sources.sessions import MissingNode, publish_partition, read_sessions, write_sessions
+from natspark.sources.spool import list_spool, set_aside
 
 DAY = datetime.date(2026, 10, 16)
 T0 = datetime.datetime(2026, 10, 16, 12)
@@ -72,10 +74,95 @@ def test_one_parsed_and_one_error(spark):
 def test_raw_captures(spark, tmp_path):
     body = packets.frame(1_500_000_000_123_456_789, "10.0.0.1", 9088, b"abc") + packets.frame(2, "x", 1, b"")
     (tmp_path / "a.raw").write_bytes(packets.MAGIC + body + b"\0\0\0\x20cut off")
-    rows = packets.read_packets_raw(spark, f"file://{tmp_path}").orderBy("received_ns").collect()
-    assert [(r.received_s, r.router_ip, r.router_port, bytes(r.payload)) for r in rows] == [(0, 0, 1, b""), (1_500_000_000, 167772161, 9088, b"abc")]
-    with pytest.raises(ValueError):
-        list(packets.walk(b"other"))
+    (tmp_path / "b.raw").write_bytes(b"other")
+    (tmp_path / "c.raw").write_bytes(b"")
+    (tmp_path / "d.raw").write_bytes(packets.MAGIC + body + b"\xff" * 40)
+    got, errors = packets.read_packets_raw(spark, f"file://{tmp_path}", 30)
+    rows = got.orderBy("received_ns").collect()
+    want = [(0, 0, 1, b""), (1_500_000_000, 167772161, 9088, b"abc")]
+    assert [(r.received_s, r.router_ip, r.router_port, bytes(r.payload)) for r in rows] == [w for w in want for _ in "ad"]
+    told = {r.path[-5:]: (r.stop - r.start, r.error) for r in errors.collect()}
+    end = len(packets.MAGIC) + len(body)
+    assert told["a.raw"] == (11, f"the last frame is cut off, after byte {end}") and told["b.raw"][1] == told["c.raw"][1] == "not a raw packet capture"
+    assert told["d.raw"][0] == 40 and "a frame of" in told["d.raw"][1] and set(told) == {"a.raw", "b.raw", "c.raw", "d.raw"}
+
+
+def test_a_capture_is_cut_at_frames(spark, tmp_path):
+    """Pieces smaller than a frame and ranges of a few frames give the frames of the whole."""
+    frames = [packets.frame(k, f"10.0.0.{k % 250}", k, bytes([k % 256]) * (k % 90)) for k in range(300)]
+    (tmp_path / "x").write_bytes(packets.MAGIC + b"".join(frames))
+    files = spark.createDataFrame([(f"file:{tmp_path}/x",)], "path string")
+    ranges = packets.capture_ranges(files, 500).collect()
+    assert len(ranges) > 20 and sum(r.frames for r in ranges) == 300 and not any(r.error for r in ranges)
+    assert [r.stop for r in ranges[:-1]] == [r.start for r in ranges[1:]] and ranges[0].start == len(packets.MAGIC) and ranges[-1].stop == (tmp_path / "x").stat().st_size
+    got = packets.packets_of_ranges(packets.capture_ranges(files, 500)).collect()
+    assert sorted((r.received_ns, r.router_port, bytes(r.payload)) for r in got) == [(k, k, bytes([k % 256]) * (k % 90)) for k in range(300)]
+
+
+def test_a_file_of_over_two_gigabytes(spark, tmp_path):
+    """A sparse file: its ranges come from its length, and any of them is read alone."""
+    size = 35 * 70_000_000
+    with open(tmp_path / "big.rowbinary.done", "wb") as file:
+        file.truncate(size)
+    files = spark.createDataFrame([(f"file:{tmp_path}/big.rowbinary.done", size)], "path string, length long")
+    ranges = rowbinary.ranges_of(files, 2)
+    assert ranges.agg(F.sum("rows")).first()[0] == 70_000_000 and ranges.count() == -(-size // (rowbinary.RANGE_BYTES // 35 * 35))
+    assert rowbinary.decode_ranges(ranges.where(F.col("stop") == size), 2).groupBy("router_ip").count().count() == 1
+
+
+def test_cut_rows_are_errors_of_their_file(spark, tmp_path):
+    made = sessions(spark, [session(k) for k in range(7)])
+    old = made.withColumns({"event_time": F.col("end_time"), "event_id": F.lit("e"), "event_type": F.lit("é" * 200), "header": F.lit(""), "protocol": F.lit("x")})
+    for version, frame in ((2, made), (1, old)):
+        blob = bytes(rowbinary.write_rowbinary(frame.coalesce(1), 7, version).first().blob)
+        for name, content in (("whole", blob), ("cut", blob[:-3]), ("empty", b""), ("bad", blob + b"\xff" * 60)):
+            (tmp_path / f"{version}{name}").write_bytes(content)
+        files = spark.createDataFrame([(f"file://{tmp_path}/{version}{n}", (tmp_path / f"{version}{n}").stat().st_size) for n in ("whole", "cut", "empty", "bad")], "path string, length long")
+        ranges = rowbinary.ranges_of(files, version, range_bytes=100)
+        found = {r.path.rsplit("/", 1)[-1][1:]: (r.rows, r.errors) for r in ranges.groupBy("path").agg(F.sum("rows").alias("rows"), F.count("error").alias("errors")).collect()}
+        assert found["whole"] == (7, 0) and found["cut"] == (6, 1) and "empty" not in found
+        assert found["bad"][1] == 1
+        read = rowbinary.decode_ranges(ranges.where("error is null and path like '%whole'"), version)
+        assert {r.private_ip for r in read.collect()} == set(range(6, 13))
+
+
+def written(folder):
+    return sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+
+
+def test_the_format_writes_pairs_or_nothing(spark, tmp_path):
+    rowbinary.register(spark)
+    made, path = sessions(spark, [session(k) for k in range(50)]).select(*SESSION_COLUMNS), f"file://{tmp_path}/b"
+    made.repartition(3).write.format("rowbinary").option("rowsPerBatch", 8).option("tableName", "logs.t").mode("append").save(path)
+    names = written(tmp_path / "b")
+    data = [n for n in names if n.endswith(".done")]
+    assert len(data) >= 7 and names == sorted([*data, *(f"{n}.json" for n in data)])
+    inventory = replay.spool_inventory(*list_spool(spark, path), int(time.time()) + 100)
+    assert {(r["class"], r.table_name, r.version) for r in inventory.collect()} == {("candidate", "logs.t", 2)}
+    assert inventory.agg(F.sum("rows")).first()[0] == 50
+    read = spark.read.format("rowbinary").option("rangeBytes", 70).load(path)
+    assert sorted(map(str, read.collect())) == sorted(map(str, made.collect()))
+    # A task that fails after others have written leaves nothing of the job.
+    broken = made.withColumn("router_port", F.when(F.col("private_ip") == 50, F.raise_error(F.lit("no"))).otherwise(F.col("router_port")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        broken.repartition(3).write.format("rowbinary").option("rowsPerBatch", 2).mode("append").save(path)
+    assert written(tmp_path / "b") == names
+
+
+def test_set_aside_twice(spark, tmp_path):
+    folder = tmp_path / "s"
+    folder.mkdir()
+    for n in ("a", "b", "c"):
+        (folder / f"{n}.rowbinary.done").write_bytes(n.encode())
+    for n in ("a", "b"):
+        (folder / f"{n}.rowbinary.done.json").write_text("{}")
+    pairs = spark.createDataFrame([(f"file:{folder}/{n}.rowbinary.done", f"file://{tmp_path}/{to}") for n, to in (("a", "x"), ("b", "y"), ("c", "y"), ("gone", "y"))], "path string, to string")
+    outcome = lambda: {r.path.rsplit("/", 1)[-1].split(".")[0]: r.outcome for r in set_aside(pairs).collect()}
+    assert outcome() == {"a": "moved", "b": "moved", "c": "moved", "gone": "failed"}
+    # A kill between the two moves of a pair: the sidecar is still in the spool.
+    (tmp_path / "y" / "b.rowbinary.done.json").rename(folder / "b.rowbinary.done.json")
+    assert outcome() == {"a": "already", "b": "moved", "c": "already", "gone": "failed"}
+    assert written(folder) == [] and written(tmp_path / "x") == ["a.rowbinary.done", "a.rowbinary.done.json"] and len(written(tmp_path / "y")) == 3
 
 
 def test_sessions_go_to_the_day_they_end(spark, tmp_path):
