@@ -3,11 +3,12 @@
 Each partition packs the documents it reads, so nothing is shuffled: a text is encoded, whole windows are cut off its
 front, and the rest is placed at the fill level that keeps the sum of the squared numbers of open windows per level
 least (a new window is one choice). Open windows are few; when their number passes a bound, and when the partition
-ends, their pieces are laid end to end and cut anew, and the last part goes to windows filled to a power of two,
+ends, the fullest are filled with pieces of the emptiest, and the last part goes to windows filled to a power of two,
 which need no padding. The next window number of a partition starts from the partition's number.
 
 Defined cases: a null or empty text is one end id; a null doc_id is kept as null; repeated rows are packed once each;
-an empty table gives no pieces; extra columns are ignored; a text longer than a window fills several.
+an empty table gives no pieces; extra columns are ignored; a text longer than a window fills several, and a very long
+one is encoded whole, alone in its block.
 """
 
 from __future__ import annotations
@@ -94,29 +95,44 @@ class SumOfSquares:
             self.settle(last=False)
 
     def settle(self, last: bool = True) -> None:
-        """Lay the pieces of all open windows end to end and cut them anew; what is left over stays open, or goes to
-        windows that are full to a power of two if this is the ``last`` call."""
-        row: list[Piece] = []
-        filled = 0
-        left = sum(h * len(windows) for h, windows in enumerate(self.at))
-        size = min(self.window, left)
-        for windows in reversed(self.at):
-            for doc_id, start, ids, total in (p for pieces in windows for p in pieces):
-                while len(ids):
-                    if not filled and left < self.window:
-                        size = 1 << (left.bit_length() - 1) if last else self.window
-                    part = ids[: size - filled]
-                    row.append((doc_id, start, part, total))
-                    start, ids, filled, left = start + len(part), ids[len(part) :], filled + len(part), left - len(part)
-                    if filled == size:
-                        self._close(row)
-                        row, filled = [], 0
-        self.level[:] = 0
-        self.at = [[] for _ in range(self.window + 1)]
-        self.open = int(bool(row))
-        if row:
-            self.at[filled].append(row)
-            self.level[filled] = 1
+        """Fill the fullest open windows with ids of the emptiest, whose pieces alone are moved and cut; the windows that
+        are filled keep what the rule has put there. What is left over is less than a window: it stays open, or goes
+        to windows that are full to a power of two if this is the ``last`` call."""
+        windows = [pieces for of_level in self.at for pieces in of_level]
+        fills = [h for h, of_level in enumerate(self.at) for _ in of_level]
+        self.level[:], self.at, self.open = 0, [[] for _ in range(self.window + 1)], 0
+        low, high = 0, len(windows) - 1
+        while low <= high:
+            filled, missing = windows[high], self.window - fills[high]
+            while missing and low < high:
+                doc_id, start, ids, total = windows[low].pop()
+                part, rest = ids[:missing], ids[missing:]
+                filled.append((doc_id, start, part, total))
+                missing -= len(part)
+                if len(rest):
+                    windows[low].append((doc_id, start + len(part), rest, total))
+                fills[low] -= len(part)
+                low += not windows[low]
+            if not missing:
+                self._close(filled)
+            elif last:
+                self._close_in_powers(filled, self.window - missing)
+            else:
+                self.at[self.window - missing].append(filled)
+                self.level[self.window - missing] = self.open = 1
+            high -= 1
+
+    def _close_in_powers(self, pieces: list[Piece], left: int) -> None:
+        """Windows full to falling powers of two, of pieces with ``left`` ids together."""
+        row, size = [], 1 << (left.bit_length() - 1)
+        for doc_id, start, ids, total in pieces:
+            while len(ids):
+                part, ids = ids[:size], ids[size:]
+                row.append((doc_id, start, part, total))
+                start, size, left = start + len(part), size - len(part), left - len(part)
+                if not size:
+                    self._close(row)
+                    row, size = [], 1 << (left.bit_length() - 1) if left else 0
 
     def take(self) -> pa.RecordBatch | None:
         if not self.rows:

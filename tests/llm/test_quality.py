@@ -63,6 +63,28 @@ def test_verdicts_equal_sql_and_spare_unknown_strata(spark):
     assert all(kept[k] for k in range(1000, 3400)) and not any(kept[k] for k in range(4000, 4060)) and kept[9000]
 
 
+def test_cutoffs_of_the_given_documents(spark):
+    """Equal to SQL where cutoffs act, not base rules alone."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.judged(docs, labels).collect()
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
+    want = con.execute(quality.oracle()).fetchall()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sum(not r.kept and not r.base_failed for r in got) > 30
+
+
+def test_steps_stop_at_the_first_that_is_not_usable(spark):
+    """Rejections only grow along the path; a stratum's union of rules stays below the risk."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    kept = quality.judged(docs, labels).join(docs.select("doc_id", "lang"), "doc_id").join(labels.where("quality = 1").select("doc_id"), "doc_id").where("not base_failed")
+    shares = {r.lang: (r.n, r.lost) for r in kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("kept")).alias("lost")).collect()}
+    assert set(shares) == {"de", "en", "es", "fr"} and all(lost <= quality.RISK * n for n, lost in shares.values())
+    bad = quality.judged(docs, labels).join(docs.select("doc_id", "lang"), "doc_id").where("not base_failed and not kept")
+    assert {r.lang for r in bad.select("lang").distinct().collect()} == {"de", "en", "es", "fr"}
+
+
 def test_cutoffs_need_evidence(spark):
     rows = [r for r in corpus() if 1000 <= (r[0] or 0) < 1100] + [(4000, spam(0), "en", "a")]
     assert {r.kept for r in quality.judged(docs_of(spark, rows), labels_of(spark, [(r[0], 1) for r in rows])).collect()} == {True}
