@@ -16,7 +16,7 @@ from natspark.functions.names import batch_id, valid_table_name
 from natspark.functions.times import event_date
 from natspark.schema import SESSIONS, SIDECAR
 from natspark.sources.rowbinary import DONE, RANGE_BYTES, ROW, decode_ranges, ranges_of
-from natspark.sources.runs import RunTable
+from natspark.sources.runs import Conflict, RunTable
 from natspark.sources.shared import stored
 from natspark.sources.spool import list_spool, set_aside
 
@@ -107,9 +107,13 @@ def stage_replay(candidates: DataFrame, table: RunTable, run: str, range_bytes:
 def replay_batches(candidates: DataFrame, table: RunTable, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Insert each candidate once, whatever was killed before, and return the outcome of those that were new. Raises
     :class:`natspark.sources.runs.Conflict`, with nothing inserted, if another run was committed meanwhile."""
-    seen, run = len(table.committed()), table.new_run()
+    seen, run = table.seen(), table.new_run()
     outcome = stage_replay(candidates, table, run, range_bytes)
-    table.commit(run, seen)
+    try:
+        table.commit(run, seen)
+    except Conflict:
+        table.drop(run)
+        raise
     return outcome
 
 

@@ -17,6 +17,7 @@ from natspark.sources import alerts as alert_files
 from natspark.sources import packets as packet_files
 from natspark.sources import rowbinary
 from natspark.sources.files import write_files
+from natspark.sources.runs import RunTable
 from natspark.sources.shared import new_path, stored
 from natspark.sources.spool import list_spool
 from natspark.streaming import incidents as live
@@ -619,6 +620,29 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("rows"), F.sum("private_port").alias("ports"))
 
 
+@query()
+def stream_ingest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches bounded by bytes, whose files are merged between two runs of the stream and after them."""
+    source, out, state = new_path(spark, "captures"), new_path(spark, "ingested"), new_path(spark, "ingest-state")
+    packets = stored(packet_files.packets_to_json(inputs.packets(spark, sf_dir)), "packets-json")
+    part = F.pmod(F.xxhash64("raw_hex", "received_time"), F.lit(2))
+    for k in (0, 1):
+        packets.where(part == k).repartition(4).write.mode("append").json(source)
+        # No file is so small: each micro-batch takes one.
+        stream = packet_files.stream_packets_jsonl(spark, source, bytes_per_trigger=1)
+        ingest.finish(ingest.SessionSink(out, "captures", "node-1").writer(stream, state))
+        ingest.compact(spark, out)
+    table = RunTable(spark, out)
+    days = ingest.ingested(spark, out).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("rows"), F.sum("private_port").alias("ports"))
+    days = stored(days, "days")
+    # A file a day is all that is left.
+    files = sum(table.files(run, "sessions")[0] for run in table.committed())
+    return days.withColumn("bounded", F.lit(files <= days.count()))
+
+
+SQL["stream_ingest_compacted"] = f"SELECT *, true AS bounded FROM ({SQL['stream_ingest']}) ingested"
+
+
 def _run(stream: DataFrame, out: str, state: str) -> DataFrame:
     """The rows that a stream has appended when its source is read."""
     writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)

@@ -39,8 +39,10 @@ def read_packets_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return packets_of_json(spark.read.schema(RAW_PACKETS_JSON).json(path))
 
 
-def stream_packets_jsonl(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    return packets_of_json(spark.readStream.schema(RAW_PACKETS_JSON).option("maxFilesPerTrigger", files_per_trigger).json(path))
+def stream_packets_jsonl(spark: SparkSession, path: str, files_per_trigger: int = 100, bytes_per_trigger: int | None = None) -> DataFrame:
+    """Captures as a stream; a micro-batch takes so many new files, or as many as ``bytes_per_trigger`` hold (one at least)."""
+    limit = ("maxFilesPerTrigger", files_per_trigger) if bytes_per_trigger is None else ("maxBytesPerTrigger", bytes_per_trigger)
+    return packets_of_json(spark.readStream.schema(RAW_PACKETS_JSON).option(*limit).json(path))
 
 
 def frame(received_ns: int, router_ip: str, router_port: int, data: bytes) -> bytes:
