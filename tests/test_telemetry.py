@@ -225,3 +225,17 @@ def test_inventory_classes(spark):
     sidecars = spark.createDataFrame([("old.rowbinary.done", 0, good), ("new.rowbinary.done", 0, good), ("young.rowbinary.done", 990, good), ("bad.rowbinary.done", 0, "{")], "path string, sidecar_mtime_s long, sidecar string")
     found = {r.path.split(".")[0]: (r["class"], r.reason) for r in replay.spool_inventory(files, sidecars, 1000).collect()}
     assert found == {"old": ("candidate", None), "new": ("too_recent", None), "alone": ("incomplete_pair", None), "young": ("too_recent", None), "bad": ("invalid", "json")}
+
+
+@pytest.mark.parametrize("trigger, clear_n, least", [(1, 1, 0), (2, 3, 1), (3, 2, 2), (2, 1, 5)])
+def test_a_series_in_many_stretches_equals_its_fold(spark, trigger, clear_n, least):
+    """Stretches of a few ticks, so that incidents begin, go on and end in different ones."""
+    rng, rule, rows, want = random.Random(trigger * 10 + clear_n), incidents.Rule(1.0, 0.2, trigger, clear_n, least), [], set()
+    for host in ("a", "b", "c"):
+        ticks_of = [(10 * k, rng.choice((0.0, 0.1, 0.5, 1.0, 2.0, round(rng.random() * 3, 3))), True, rng.randrange(4)) for k in range(400)]
+        rows += [(host, "x", t, i, n) for t, i, _, n in ticks_of]
+        last = {v[0]: (v[3], v[4], v[5]) for v in incidents.fold(incidents.State(), ticks_of, rule, 0)}
+        want |= {(host, k, *v) for k, v in last.items()}
+    frame = spark.createDataFrame(rows, "host string, alert string, tick long, indicator double, denominator long").repartition(4)
+    got = incidents.scanned(frame, rule, stretch_s=70)
+    assert {(r.host, r.incident, r.start_tick, r.end_tick, r.peak) for r in got.collect()} == want and len(want) > (3 if least < 5 else -1)
