@@ -10,6 +10,8 @@ Words met once are forgotten when there are too many; those met again stay.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import os
 from collections.abc import Iterator
@@ -171,9 +173,14 @@ def encoder(path: str | None = None) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _trim() -> None:
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries than glibc don't have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` cut into runs of rows whose texts hold about ``limit`` bytes; a longer text stands alone. After the last
-    one, memory that Arrow keeps for later goes back to the system."""
+    one, memory that Arrow and the allocator keep for later goes back to the system: a worker lives on for other stages."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin = total = 0
     for i, size in enumerate(sizes):
@@ -184,3 +191,4 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     if len(sizes) > begin:
         yield batch.slice(begin)
     pa.default_memory_pool().release_unused()
+    _trim()
