@@ -320,8 +320,10 @@ def learn(pages: DataFrame, sample: int = SAMPLE, made: int = MADE) -> Model:
     reruns agree. Only that sample comes to the driver."""
     html = F.col("html").cast("string")
     order = F.xxhash64(html)
-    rows = pages.select(html.alias("html")).where(html.rlike("(?i)<(article|main)[\\s>]") & (F.length(html) <= SAMPLE_BYTES))
-    taught = rows.select("html", order.alias("order")).distinct().orderBy("order", "html").limit(sample)
+    rows = pages.select(html.alias("html"), order.alias("order")).where(html.rlike("(?i)<(article|main)[\\s>]") & (F.length(html) <= SAMPLE_BYTES))
+    # Hashes are chosen first, so that no page moves that isn't in the sample.
+    chosen = [r.order for r in rows.select("order").distinct().orderBy("order").limit(sample).collect()]
+    taught = rows.where(F.col("order").isin(chosen)).distinct().orderBy("order", "html").limit(sample)
     return fit([r.html for r in taught.collect()], made)
 
 

@@ -27,6 +27,8 @@ from natspark.llm.tokens import END_ID, blocks, encoder
 WINDOW = 2048
 #: Open windows of a task, which hold 8 KB of ids each at most: a bound of memory that the rule stays far below.
 OPEN_WINDOWS = 8192
+#: Bytes of text encoded at a time.
+BLOCK_BYTES = 3 << 19
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -149,7 +151,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, en
         enc = encoder(tokenizer)
         packer = SumOfSquares(window, first=TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", BLOCK_BYTES):
                 ids, n = enc.encode(block.column("text"), end_id)
                 to = np.cumsum(n)
                 for doc_id, a, b in zip(block.column("doc_id").to_pylist(), (to - n).tolist(), to.tolist()):
