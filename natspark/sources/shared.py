@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -20,8 +21,21 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@functools.lru_cache(maxsize=64)
+def _session_folder(folder: str) -> str:
+    """``folder``, made now and deleted when the session's JVM ends."""
+    context = SparkSession.active().sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(context._jsc.hadoopConfiguration())
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return folder
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder for a table that no one needs after the session."""
+    folder = _session_folder(f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
