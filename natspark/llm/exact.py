@@ -9,7 +9,7 @@ identifiers, is made where its text is read; only recipes are grouped and joined
 Of equal texts the row with the most characters stays, then the smallest doc_id (null last), then one row of equal ones.
 
 Defined cases: null text is empty, and all empty texts are one group; equal rows with one doc_id are copies of each
-other; an empty table gives an empty result; extra columns are kept by :func:`keep` and ignored by :func:`decisions`.
+other; a very long text is read whole, its chunks as one value of a task, and never moves; an empty table gives an empty result; extra columns are kept by :func:`keep` and ignored by :func:`decisions`.
 """
 
 from __future__ import annotations

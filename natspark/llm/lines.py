@@ -8,7 +8,7 @@ spread by its lines. A host has at most (mean lines of its pages) / ``ratio`` bo
 add up to its mean number of lines: this bounds the list that meets its pages.
 
 Defined cases: null html has no lines; a null url, or one without a host, is the host of the empty name; rows with one
-page_id are pages of their own; an empty table gives an empty result; extra columns are kept by :func:`deduped`.
+page_id are pages of their own; a very long page is read whole, its lines as one value of a task; an empty table gives an empty result; extra columns are kept by :func:`deduped`.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ never from the held-out fold (crc32 of the id modulo 5 is 0); what it gives is b
 as many exceptions. Scoring reads every whole text in one pass without a shuffle.
 
 Defined cases: null and empty texts have no match and score as such; a document with several labels is toxic if one
-says so; rows without doc_id are not held out and carry no label; without labels of both kinds every score is 0; an
+says so; a very long text is swept whole, alone in its block; rows without doc_id are not held out and carry no label; without labels of both kinds every score is 0; an
 empty table gives an empty result; extra columns are kept by :func:`keep`; equal rows score alike.
 """
 
