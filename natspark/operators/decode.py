@@ -49,11 +49,13 @@ def decode_packets(packets: DataFrame) -> DataFrame:
         b = unsigned(F.col("payload"), *alone) if alone else F.lit(0)
         return F.when(many, a).otherwise(b)
 
-    packet_s = unsigned(F.col("payload"), *LEGACY_FIELDS["packet_s"])
-    at = {f"{k}_time": F.timestamp_seconds(timestamp_fallback(field(f"{k}_s"), packet_s, F.col("received_s"))) for k in ("start", "end")}
-    columns = at | {"router_ip": F.col("router_ip"), "router_port": F.col("router_port"), "protocol_id": field("protocol_id").cast("smallint"), "packet_size": F.col("size")}
-    columns |= {c: field(c).cast("int" if c.endswith("port") else "bigint") for c in SESSION_COLUMNS if c not in columns}
-    return each.select("packet_id", "record", *(columns[c].alias(c) for c in SESSION_COLUMNS))
+    # Numbers first, each read once, and then what uses them several times.
+    numbers = {c: field(c) for c in RECORD_FIELDS} | {"protocol_id": field("protocol_id"), "packet_s": unsigned(F.col("payload"), *LEGACY_FIELDS["packet_s"])}
+    read = each.select("packet_id", "record", "received_s", "router_ip", "router_port", F.col("size").alias("packet_size"), *(v.alias(c) for c, v in numbers.items()))
+    at = {f"{k}_time": F.timestamp_seconds(timestamp_fallback(F.col(f"{k}_s"), F.col("packet_s"), F.col("received_s"))) for k in ("start", "end")}
+    columns = at | {"protocol_id": F.col("protocol_id").cast("smallint"), "router_ip": F.col("router_ip"), "router_port": F.col("router_port"), "packet_size": F.col("packet_size")}
+    columns |= {c: F.col(c).cast("int" if c.endswith("port") else "bigint") for c in SESSION_COLUMNS if c not in columns}
+    return read.select("packet_id", "record", *(columns[c].alias(c) for c in SESSION_COLUMNS))
 
 
 def packet_errors(packets: DataFrame) -> DataFrame:
