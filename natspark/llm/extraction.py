@@ -345,8 +345,8 @@ ORACLE = r"""
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM (
   SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(
       regexp_split_to_array(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>'),
-      x -> trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
         regexp_replace(x, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g'), '&quot(;|$)', '"', 'g'), '&lt(;|$)', '<', 'g'), '&gt(;|$)', '>', 'g'), '&amp(;|$)', '&', 'g'), '\s+', ' ', 'g'))),
-    x -> x <> ''), chr(10)), '') AS text
+    lambda x: x <> ''), chr(10)), '') AS text
   FROM pages)
 """

@@ -400,10 +400,10 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, n_cells: in
 #: Plain windows, for doc_ids that are unique.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-windows AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS start, w FROM d WHERE len(w) >= 20),
-ranked AS (SELECT doc_id, start, row_number() OVER (PARTITION BY array_to_string(w[start:start + 19], ' ') ORDER BY doc_id, start) AS rank FROM windows),
-gone AS (SELECT DISTINCT doc_id, start + k AS place FROM ranked, range(20) AS t(k) WHERE rank > 1),
-words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM d),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place, len(w) AS n FROM d),
+windows AS (SELECT doc_id, place, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS text FROM words),
+ranked AS (SELECT doc_id, place, row_number() OVER (PARTITION BY text ORDER BY doc_id, place) AS rank FROM windows WHERE place + 19 <= n),
+gone AS (SELECT DISTINCT doc_id, place + k AS place FROM ranked, range(20) AS t(k) WHERE rank > 1),
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)

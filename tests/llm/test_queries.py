@@ -99,3 +99,14 @@ def test_held_out_accuracy(spark, name, tables):
         docs = spark.read.parquet(f"{tables}/documents.parquet").where("lang is not null").select("doc_id", "lang")
         right = [r.lang == r.lang_pred for r in got.join(docs, "doc_id").where("lang_pred <> 'und'").select("lang", "lang_pred").collect()]
         assert len(right) > 100 and sum(right) >= 0.98 * len(right)
+
+
+@pytest.mark.parametrize("name", ["op8_substrings", "op13_extraction"])
+def test_equal_to_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    data, con = "/root/testdata/sf0.001", duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from '{data}/{table}.parquet'")
+    got = queries.queries()[name](spark, data)
+    want = con.execute(f"select {', '.join(got.columns)} from ({queries.oracle_sql()[name]}) t").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
