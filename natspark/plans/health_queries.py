@@ -135,11 +135,8 @@ def _spool(spark: SparkSession, sf_dir: str, legacy: bool = False) -> str:
     new = made.where("l_linenumber <> 1") if legacy else made
     new.select(*SESSION_COLUMNS).repartition(WHOLE_BATCHES).write.format("rowbinary").option("rowsPerBatch", 10**9).mode("append").save(folder)
     if legacy:
-        blobs = rowbinary.write_rowbinary(_legacy(made.where("l_linenumber = 1")), 3000, version=1)
-        named = stored(blobs.withColumn("name", F.concat(F.lit("legacy_"), F.monotonically_increasing_id().cast("string"), F.lit(replay.DATA_SUFFIX))), "legacy")
-        meta = F.format_string('{"table_name": "logs.sessions", "rows": %d, "bytes": %d, "format": "rowbinary"}', "rows", F.length("blob"))
-        write_files(named.select("name", F.col("blob").alias("content")), folder)
-        write_files(named.select(F.concat("name", F.lit(".json")).alias("name"), F.encode(meta, "utf-8").alias("content")), folder)
+        old = _legacy(made.where("l_linenumber = 1"))
+        rowbinary.write_batch_files(old, folder, "legacy_", 3000, version=1, sidecar={"table_name": "logs.sessions", "format": "rowbinary"})
     files = [(f"{n}{replay.DATA_SUFFIX}", bytearray(content)) for n, content, _ in _planted()]
     files += [(f"{n}{replay.DATA_SUFFIX}.json", bytearray(text.encode())) for n, _, text in _planted() if text]
     write_files(spark.createDataFrame(files, "name string, content binary"), folder)

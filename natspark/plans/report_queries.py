@@ -14,7 +14,6 @@ from natspark.plans.inputs import DATE, DAYS, NODES, S, duck
 from natspark.schema import SESSION_COLUMNS, SESSIONS
 from natspark.sources import packets as packet_files
 from natspark.sources import rowbinary
-from natspark.sources.files import write_files
 from natspark.sources.sessions import publish_partition, read_sessions, write_sessions
 from natspark.sources.shared import new_path, stored
 from natspark.streaming import ingest
@@ -286,8 +285,7 @@ def read_packets_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _captures(spark: SparkSession, sf_dir: str) -> str:
     """A folder of captures of all packets, with the beginning of one more frame at the end of each."""
     folder = new_path(spark, "captures")
-    made = packet_files.captures(inputs.packets(spark, sf_dir)).withColumn("content", F.concat("content", F.lit(bytearray(CUT))))
-    write_files(stored(made.withColumn("name", F.concat(F.lit("capture-"), F.monotonically_increasing_id().cast("string"))), "captures"), folder)
+    packet_files.write_captures(inputs.packets(spark, sf_dir), folder, more=CUT)
     return folder
 
 
@@ -360,9 +358,7 @@ def rowbinary_v1_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of schema 1, read in ranges that one pass found."""
     folder = new_path(spark, "batches-v1")
     old = inputs.sessions(spark, sf_dir).withColumns({"event_time": F.col("end_time"), "event_id": F.lit("e"), "event_type": F.lit("nat"), "header": F.repeat(F.lit("h"), 150), "protocol": F.lit("")})
-    blobs = rowbinary.write_rowbinary(old, 5000, version=1)
-    named = blobs.select(F.concat(F.lit("b"), F.monotonically_increasing_id().cast("string"), F.lit(".rowbinary.done")).alias("name"), F.col("blob").alias("content"))
-    write_files(stored(named, "batches-v1"), folder)
+    rowbinary.write_batch_files(old, folder, "b", 5000, version=1)
     files = spark.read.format("binaryFile").load(folder).select("path", "length")
     return _seconds(rowbinary.decode_ranges(stored(rowbinary.ranges_of(files, 1, range_bytes=100_000), "ranges"), 1))
 

@@ -6,7 +6,6 @@ import struct
 from collections.abc import Iterator
 from itertools import batched
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from natspark.functions.ipv4 import ip_to_long, long_to_ip
 from natspark.functions.times import OFFSET_S
 from natspark.schema import RAW_PACKETS_JSON
-from natspark.sources.files import listed, opened, pieces
+from natspark.sources.files import dealt, listed, opened, pieces, write_made
 from natspark.sources.shared import stored
 
 MAGIC = b"HCGNRAW2\n"
@@ -105,7 +104,7 @@ def capture_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFram
             columns = [pa.array(c, t) for c, t in zip(zip(*_walked(path, range_bytes)), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(path), len(columns[0])), *columns], names=["path", "start", "stop", "frames", "error"])
 
-    return files.select("path").repartition("path").mapInArrow(run, "path string, start long, stop long, frames long, error string")
+    return dealt(files.select("path")).mapInArrow(run, "path string, start long, stop long, frames long, error string")
 
 
 def _typed(got: DataFrame) -> DataFrame:
@@ -153,14 +152,14 @@ def packets_to_json(packets: DataFrame) -> DataFrame:
     )
 
 
-def captures(packets: DataFrame, packets_per_file: int = 20_000) -> DataFrame:
-    """``content``: framed captures of some packets each."""
+def write_captures(packets: DataFrame, folder: str, packets_per_file: int = 20_000, more: bytes = b"") -> int:
+    """Write framed captures of some packets each, with the bytes ``more`` at their end, and return their number. Each is
+    written by the task that makes it."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for begin in range(0, len(batch), packets_per_file):
-                rows = batch.iloc[begin : begin + packets_per_file].itertuples(index=False)
-                frames = (frame(r.received_s * 1_000_000_000, r.router, r.router_port, bytes(r.payload)) for r in rows)
-                yield pd.DataFrame({"content": [MAGIC + b"".join(frames)]})
+    def made(batch: pa.RecordBatch) -> Iterator[list[tuple[str, bytes]]]:
+        for begin in range(0, batch.num_rows, packets_per_file):
+            rows = zip(*(c.to_pylist() for c in batch.slice(begin, packets_per_file).columns))
+            yield [("", b"".join([MAGIC, *(frame(s * 1_000_000_000, router, port, data) for s, router, port, data in rows), more]))]
 
-    return packets.select("received_s", long_to_ip(F.col("router_ip")).alias("router"), "router_port", "payload").mapInPandas(run, "content binary")
+    rows = packets.select("received_s", long_to_ip(F.col("router_ip")).alias("router"), "router_port", "payload")
+    return write_made(rows, folder, "capture-", made)

@@ -7,6 +7,7 @@ schema 2 follow from the length alone, those of schema 1 from one pass that find
 
 from __future__ import annotations
 
+import functools
 import json
 import struct
 import time
@@ -16,7 +17,6 @@ from dataclasses import dataclass
 from itertools import batched
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from natspark.functions.times import OFFSET_S
 from natspark.schema import SESSION_COLUMNS, SESSIONS, SESSIONS_V1
-from natspark.sources.files import listed, opened, pieces, place
+from natspark.sources.files import dealt, listed, opened, pieces, place, write_made
 
 #: Bytes and order of the columns of a row.
 ROW = np.dtype([
@@ -35,6 +35,8 @@ ROW = np.dtype([
 ])
 EVENT_ID = 40
 ROWS_PER_BATCH = 200_000
+#: Rows of schema 1 that are decoded at a time.
+_V1_ROWS = 20_000
 #: Bytes of a range, and of a row of schema 1 at most: a longer one is an error, not a reason to read on.
 RANGE_BYTES, MOST_ROW_BYTES = 32 << 20, 4 << 20
 DONE, SIDECAR_SUFFIX = ".rowbinary.done", ".json"
@@ -70,49 +72,72 @@ def rows_v2(content: bytes) -> np.ndarray:
     return np.frombuffer(content, ROW)
 
 
-def _text(content: bytes, at: int) -> tuple[str, int]:
-    """A string with its length before it, seven bits a byte from the lowest."""
-    size = shift = 0
-    while True:
-        if at >= len(content):
-            raise Unfinished
-        byte = content[at]
-        at += 1
-        size |= (byte & 127) << shift
-        shift += 7
-        if size > MOST_ROW_BYTES:
-            raise ValueError(f"a string of {size} bytes or more")
-        if byte < 128:
-            break
+def _text(content: bytes, at: int) -> tuple[int, int]:
+    """Where a string begins and ends; its length stands before it, seven bits a byte from the lowest."""
+    if at >= len(content):
+        raise Unfinished
+    size = content[at]
+    at += 1
+    if size > 127:
+        size, shift, byte = size & 127, 7, 128
+        while byte > 127:
+            if at >= len(content):
+                raise Unfinished
+            byte = content[at]
+            at += 1
+            size |= (byte & 127) << shift
+            shift += 7
+            if size > MOST_ROW_BYTES:
+                raise ValueError(f"a string of {size} bytes or more")
     if at + size > len(content):
         raise Unfinished
-    return content[at : at + size].decode(errors="replace"), at + size
+    return at, at + size
 
 
 _V1_PARTS = (struct.Struct("<3I"), struct.Struct("<IHB"), struct.Struct("<IHIHIHH"))
+_V1_KINDS = ([("event_time", "<u4"), ("start_time", "<u4"), ("end_time", "<u4")], [("router_ip", "<u4"), ("router_port", "<u2"), ("protocol_id", "u1")], ROW.descr[-7:])
 
 
-def _row_v1(content: bytes, at: int) -> tuple[tuple, int]:
-    """The row at a place, and where the next one begins."""
+def _row_v1(content: bytes, at: int) -> tuple[int, ...]:
+    """The places of the row at a place: its beginning, those and the ends of its three strings, and where the next row begins."""
     times, router, rest = _V1_PARTS
-    try:
-        moments = times.unpack_from(content, at)
-        at += times.size
-        event_id = content[at : at + EVENT_ID].rstrip(b"\0").decode(errors="replace")
-        event_type, at = _text(content, at + EVENT_ID)
-        header, at = _text(content, at)
-        numbers = router.unpack_from(content, at)
-        protocol, at = _text(content, at + router.size)
-        return (*moments, event_id, event_type, header, *numbers, protocol, *rest.unpack_from(content, at)), at + rest.size
-    except struct.error:
-        raise Unfinished from None
+    kind, kind_end = _text(content, at + times.size + EVENT_ID)
+    header, header_end = _text(content, kind_end)
+    name, name_end = _text(content, header_end + router.size)
+    after = name_end + rest.size
+    if after > len(content):
+        raise Unfinished
+    return at, kind, kind_end, header, header_end, name, name_end, after
 
 
-def rows_v1(content: bytes) -> Iterator[tuple]:
-    at = 0
-    while at < len(content):
-        row, at = _row_v1(content, at)
-        yield row
+def _rows_v1(content: bytes) -> Iterator[tuple[int, ...]]:
+    after = 0
+    while after < len(content):
+        places = _row_v1(content, after)
+        after = places[-1]
+        yield places
+
+
+def _columns_v1(content: bytes, places: list[tuple[int, ...]]) -> dict:
+    """The columns of rows at their places: numbers are gathered, strings cut out."""
+    at, kind, kind_end, header, header_end, name, name_end, _ = columns = list(zip(*places))
+    raw, out = np.frombuffer(content, np.uint8), {}
+    for begin, fields in zip((columns[0], header_end, name_end), _V1_KINDS):
+        of = np.dtype(fields)
+        rows = raw[np.array(begin)[:, None] + np.arange(of.itemsize)].view(of)[:, 0]
+        out |= {c: rows[c] for c in of.names}
+    first = _V1_PARTS[0].size
+    out["event_id"] = _strings([content[a + first : a + first + EVENT_ID].rstrip(b"\0") for a in at])
+    for c, begin, end in (("event_type", kind, kind_end), ("header", header, header_end), ("protocol", name, name_end)):
+        out[c] = _strings([content[a:b] for a, b in zip(begin, end)])
+    return out
+
+
+def _strings(values: list[bytes]) -> pa.Array:
+    try:
+        return pa.array(values, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:  # not UTF-8
+        return pa.array([v.decode(errors="replace") for v in values], pa.string())
 
 
 def _decoded(content: bytes, version: int) -> Iterator[pa.RecordBatch]:
@@ -122,8 +147,8 @@ def _decoded(content: bytes, version: int) -> Iterator[pa.RecordBatch]:
         for b in range(0, len(rows), ROWS_PER_BATCH):
             yield _typed({c: rows[c][b : b + ROWS_PER_BATCH] for c in names}, 2)
     else:
-        for part in batched(rows_v1(content), ROWS_PER_BATCH):
-            yield _typed(dict(zip(names, zip(*part))), 1)
+        for part in batched(_rows_v1(content), _V1_ROWS):
+            yield _typed(_columns_v1(content, part), 1)
 
 
 def _kept(df: DataFrame, keep: tuple[str, ...]) -> str:
@@ -159,7 +184,7 @@ def _walked_v1(path: str, size: int) -> Iterator[tuple[int, int, int, str | None
         here = 0
         try:
             while here < len(rest):
-                _, here = _row_v1(rest, here)
+                here = _row_v1(rest, here)[-1]
                 rows += 1
                 if at + here - start >= size:
                     yield start, at + here, rows, None
@@ -200,8 +225,8 @@ def ranges_of(files: DataFrame, version: int, keep: tuple[str, ...] = (), range_
                     of_file = [pa.repeat(batch.column(c)[k], len(found)) for c in ("path", *keep)]
                     yield pa.RecordBatch.from_arrays([*of_file, *columns], names=["path", *keep, "start", "stop", "rows", "error"])
 
-    # A file is walked by one task, so each is dealt to one of its own.
-    return files.select("path", *keep).repartition("path").mapInArrow(run, f"path string{_kept(files, keep)}, {_RANGES}")
+    # A file is walked by one task.
+    return dealt(files.select("path", *keep)).mapInArrow(run, f"path string{_kept(files, keep)}, {_RANGES}")
 
 
 def decode_ranges(ranges: DataFrame, version: int, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -397,30 +422,54 @@ def _packed_text(text: str) -> bytes:
     return bytes(head) + data
 
 
-def _packed_v1(row: tuple) -> bytes:
+_packed_again = functools.lru_cache(4096)(_packed_text)
+
+
+def _packed_v1(columns: list[list]) -> bytes:
     times, router, rest = _V1_PARTS
-    event_id, event_type, header = row[3:6]
-    parts = [times.pack(*row[:3]), event_id.encode()[:EVENT_ID].ljust(EVENT_ID, b"\0"), _packed_text(event_type), _packed_text(header)]
-    return b"".join([*parts, router.pack(*row[6:9]), _packed_text(row[9]), rest.pack(*row[10:])])
+    text = lambda t: _packed_again(t) if len(t) < 256 else _packed_text(t)
+    parts = []
+    for a, b, c, event_id, event_type, header, ip, port, protocol_id, protocol, *numbers in zip(*columns):
+        parts += (times.pack(a, b, c), event_id.encode()[:EVENT_ID].ljust(EVENT_ID, b"\0"), text(event_type), text(header), router.pack(ip, port, protocol_id), text(protocol), rest.pack(*numbers))
+    return b"".join(parts)
 
 
-def write_rowbinary(sessions: DataFrame, rows_per_batch: int = ROWS_PER_BATCH, version: int = 2) -> DataFrame:
-    """``blob, rows``: batches of schema 2 or 1, each from rows of one partition."""
+def _packed(batch: pa.RecordBatch, rows_per_batch: int, version: int) -> Iterator[tuple[bytes, int]]:
+    """Batches of the rows (numbers and texts), and how many are in each."""
     names = _names(version)
-    seconds = [F.unix_seconds(c).alias(c) if c in _TIMES else F.col(c) for c in names]
-
-    def packed(batch: pd.DataFrame) -> bytes:
+    for begin in range(0, batch.num_rows, rows_per_batch):
+        part = batch.slice(begin, rows_per_batch)
         if version == 1:
-            return b"".join(map(_packed_v1, batch.itertuples(index=False, name=None)))
-        rows = np.empty(len(batch), ROW)
+            yield _packed_v1([part.column(c).to_pylist() for c in names]), part.num_rows
+            continue
+        rows = np.empty(part.num_rows, ROW)
         for c in names:
-            rows[c] = batch[c].to_numpy()
-        return rows.tobytes()
+            rows[c] = part.column(c).to_numpy(zero_copy_only=False)
+        yield rows.tobytes(), part.num_rows
+
+
+def _numbered(sessions: DataFrame, version: int) -> DataFrame:
+    return sessions.select(*(F.unix_seconds(c).alias(c) if c in _TIMES else F.col(c) for c in _names(version)))
+
+
+def write_rowbinary(sessions: DataFrame, rows_per_batch: int = ROWS_PER_BATCH, version: int = 2) -> DataFrame:
+    """``blob, rows``: batches of schema 2 or 1, each from rows of one partition."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [batch.iloc[b : b + rows_per_batch] for b in range(0, len(batch), rows_per_batch)]
-            yield pd.DataFrame({"blob": [packed(p) for p in parts], "rows": [len(p) for p in parts]})
+            for blob, n in _packed(batch, rows_per_batch, version):
+                yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary()), pa.array([n], pa.int64())], names=["blob", "rows"])
+
+    return _numbered(sessions, version).mapInArrow(run, "blob binary, rows long")
+
+
+def write_batch_files(sessions: DataFrame, folder: str, prefix: str, rows_per_batch: int = ROWS_PER_BATCH, version: int = 2, sidecar: dict | None = None) -> int:
+    """Batches as of :func:`write_rowbinary`, written to a folder by the tasks that make them, and the number of files. With
+    ``sidecar``, its fields, each gets a sidecar that has its rows and bytes too and is there first."""
+
+    def made(batch: pa.RecordBatch) -> Iterator[list[tuple[str, bytes]]]:
+        for blob, n in _packed(batch, rows_per_batch, version):
+            beside = [] if sidecar is None else [(f"{DONE}{SIDECAR_SUFFIX}", json.dumps(sidecar | {"rows": n, "bytes": len(blob)}).encode())]
+            yield [*beside, (DONE, blob)]
 
-    kinds = T.StructType([T.StructField("blob", T.BinaryType()), T.StructField("rows", T.LongType())])
-    return sessions.select(*seconds).mapInPandas(run, kinds)
+    return write_made(_numbered(sessions, version), folder, prefix, made)

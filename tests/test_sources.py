@@ -263,3 +263,27 @@ def test_reports_prune_columns_and_rank_in_parts(spark, tmp_path):
     plan = reports.smtp_abuse(read_sessions(spark, path, DAY, ["node-1"]))._jdf.queryExecution().toString()
     assert plan.split("Physical Plan")[1].count("Window [row_number()") == 2 and "PushedFilters: [IsNotNull(destination_port), EqualTo(destination_port,25)]" in plan
     assert "private_port" not in plan.split("ReadSchema")[1].splitlines()[0] and "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_batch_files_are_written_by_their_tasks(spark, tmp_path):
+    """Files of schema 1 with their sidecars; texts that aren't UTF-8, and several rows of each length, come back."""
+    made = sessions(spark, [session(k) for k in range(90)]).coalesce(1)
+    old = made.withColumns({"event_time": F.col("end_time"), "event_id": F.lit("e"), "event_type": F.lit("nat"), "header": F.expr("repeat('h', int(private_ip) * 5)"), "protocol": F.lit("")})
+    folder = f"file://{tmp_path}/b"
+    assert rowbinary.write_batch_files(old, folder, "x", 20, version=1, sidecar={"table_name": "t", "format": "rowbinary"}) == 10
+    inventory = replay.spool_inventory(*list_spool(spark, folder), int(time.time()) + 100)
+    assert sorted(r["rows"] for r in inventory.where("class = 'candidate' and version = 1").collect()) == [10, 20, 20, 20, 20]
+    read = rowbinary.read_rowbinary(spark, folder, 1)
+    assert {(r.private_ip, r.header, r.event_id, r.packet_size) for r in read.collect()} == {(r.private_ip, r.header, "e", r.packet_size) for r in old.collect()}
+    blob = bytes(rowbinary.write_rowbinary(old.limit(1), 1, 1).first().blob).replace(b"nat", b"n\xfft")
+    assert rowbinary.decode_rowbinary(spark.createDataFrame([(bytearray(blob),)], "content binary"), 1).first().event_type == "n\ufffdt"
+
+
+def test_files_are_walked_by_many_tasks(spark, tmp_path):
+    """Adaptive execution leaves files apart, however short their paths are together."""
+    made = sessions(spark, [session(k) for k in range(32)]).coalesce(1)
+    old = made.withColumns({"event_time": F.col("end_time"), "event_id": F.lit("e"), "event_type": F.lit("nat"), "header": F.lit(""), "protocol": F.lit("")})
+    rowbinary.write_batch_files(old, f"file://{tmp_path}/b", "b", 1, version=1)
+    files = spark.read.format("binaryFile").load(f"file://{tmp_path}/b").select("path", "length")
+    for ranges in (rowbinary.ranges_of(files, 1), packets.capture_ranges(files)):
+        assert ranges.select(F.spark_partition_id().alias("task")).distinct().count() > 4
