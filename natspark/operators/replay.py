@@ -134,6 +134,19 @@ def replay_cycle(spark: SparkSession, spool: str, table: RunTable, aside: str, n
     return replay_summary(inventory, outcome, limit, moves.where((F.col("outcome") == "failed") & ~F.col("to").endswith("/done")))
 
 
+def replay_all(spark: SparkSession, spool: str, table: RunTable, aside: str, now_s: int, limit: int = 1000, min_age_s: int = MIN_AGE_S) -> int:
+    """Cycles of up to ``limit`` batches each until one finds nothing new to insert, and their number. Batches that fail are tried in
+    each cycle; once they fill one, a last cycle takes all there are, so that none waits behind them."""
+    cycles = 0
+    while True:
+        cycles += 1
+        summary = stored(replay_cycle(spark, spool, table, aside, now_s, limit, min_age_s), "summary").first()
+        if not summary.inserted_rows:
+            if limit is None or summary.discovered < limit:
+                return cycles
+            limit = None
+
+
 def quarantine(inventory: DataFrame) -> DataFrame:
     """Invalid pairs, to be written by reason."""
     return inventory.where(F.col("class") == "invalid")

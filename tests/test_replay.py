@@ -109,3 +109,18 @@ def test_equal_to_sql(spark, name):
     got = health_queries.ALL[name](spark, DATA)
     want = con.execute(f"select {', '.join(got.columns)} from ({health_queries.SQL[name]}) t").fetchall()
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_cycles_until_all_is_inserted(spark, tmp_path):
+    """More batches than two cycles take, behind some that fail each time."""
+    bad = [(f"a{k}", 9, batch(spark, 90)) for k in range(2)]
+    folder = spool(spark, f"file://{tmp_path}/spool", bad + [(f"b{k}", 1, batch(spark, k)) for k in range(5)])
+    os.utime(tmp_path / "spool" / "a0.rowbinary.done", (1, 1))
+    os.utime(tmp_path / "spool" / "a1.rowbinary.done", (1, 1))
+    table = RunTable(spark, f"file://{tmp_path}/t")
+    assert replay.replay_all(spark, folder, table, f"file://{tmp_path}/aside", LATER, limit=3) >= 6
+    assert inserted(table) == list(range(5))
+    other = RunTable(spark, f"file://{tmp_path}/u")
+    spool(spark, folder, [("c", 1, batch(spark, 7))])
+    replay.replay_all(spark, folder, other, f"file://{tmp_path}/aside", LATER, limit=2)
+    assert inserted(other) == [7]
