@@ -109,20 +109,35 @@ class RunTable:
         return n, size
 
     def compact(self, table: str, schema: str, keys: list[str], target_bytes: int = 128 << 20, least_runs: int = 2) -> int:
-        """Write the rows of all runs with files of less than half the target as one run, a file for each partition and
-        ``target_bytes``, and return how many runs it replaces. Runs that are committed meanwhile stay as they are."""
+        """Write the rows of all runs with files of less than half the target as one run, a file for each partition and about
+        ``target_bytes`` in it, and return how many runs it replaces. Runs that are committed meanwhile stay as they are.
+        After it, files of a table are at most one a partition and one for each half of the target."""
         small = {run: size for run in self.committed() for n, size in [self.files(run, table)] if size < n * target_bytes / 2 or not n}
         if len(small) < least_runs:
             return 0
         run = self.new_run()
         rows = self.spark.read.schema(f"{schema}, run string").parquet(f"{self.path}/{table}").where(F.col("run").isin(list(small))).drop("run")
-        parts = max(1, sum(small.values()) // target_bytes)
+        total = max(1, sum(small.values()) // target_bytes)
         rest = [c for c in rows.columns if c not in keys]
-        spread = rows.withColumn("_part", F.pmod(F.xxhash64(*rest), F.lit(parts))).repartition(*keys, "_part").drop("_part")
+        if total > 1:
+            # A partition's share of the rows is taken for its share of the bytes.
+            sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            share = sizes.crossJoin(F.broadcast(sizes.agg(F.sum("_n").alias("_all")))).select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.ceil(F.col("_n") / F.col("_all") * total).alias("_parts"))
+            same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+            rows = rows.join(F.broadcast(share), same).select(*keys, *rest, "_parts")
+        else:
+            rows = rows.withColumn("_parts", F.lit(1))
+        spread = rows.withColumn("_part", F.pmod(F.xxhash64(*rest), "_parts")).drop("_parts")
+        spread = spread.repartition(*keys, "_part").drop("_part")
         spread.write.partitionBy(*keys).parquet(self.folder(run, table))
         self.append(run, list(small))
         return len(small)
 
+    def is_compact(self, table: str, partitions: int, target_bytes: int = 128 << 20) -> bool:
+        """Whether files are no more than :meth:`compact` leaves of so many partitions."""
+        found = [self.files(run, table) for run in self.committed()]
+        return sum(n for n, _ in found) <= partitions + sum(size for _, size in found) // (target_bytes // 2)
+
     def _runs(self) -> list:
         """The folders of all runs."""
         fs, at = _fs(self.spark, self.path)

@@ -93,3 +93,24 @@ def test_ingest_of_bounded_batches(spark, tmp_path):
     got = ingest.ingested(spark, out)
     assert got.count() == 12 and {(str(r.event_date), r.node) for r in got.collect()} == {("2027-03-09", "node-1")}
     assert sum(table.files(run, "sessions")[0] for run in table.committed()) == 1
+
+
+def test_compaction_of_more_than_a_file(spark, table):
+    """A partition gets files by its own size, and a small one no more than one."""
+    for k in range(4):
+        run = table.new_run()
+        rows_of = spark.range(k * 20_000, k * 20_000 + 20_000).select(F.col("id").alias("v"), F.when(F.col("id") % 1000 == 0, 2).otherwise(1).alias("day"))
+        rows_of.repartition(8).write.partitionBy("day").parquet(table.folder(run, "rows"))
+        table.append(run)
+    assert not table.is_compact("rows", 2, 100_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert table.compact("rows", SCHEMA, ["day"], target_bytes=100_000) == 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    run = table.committed()[0]
+    files, size = table.files(run, "rows")
+    names = spark.read.parquet(table.folder(run, "rows")).select("day", F.input_file_name().alias("f")).distinct().groupBy("day").count().collect()
+    of_day = {r.day: r["count"] for r in names}
+    assert of_day[2] == 1 and 1 < of_day[1] <= size // 50_000 + 1 and files == sum(of_day.values())
+    assert table.is_compact("rows", 2, 100_000) and rows(table) == list(range(80_000))
