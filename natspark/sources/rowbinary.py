@@ -264,18 +264,28 @@ def read_rowbinary(spark: SparkSession, path: str, version: int = 2) -> DataFram
 
 
 @dataclass
-class ByteRange(InputPartition):
-    path: str
-    start: int
-    stop: int
+class ByteRanges(InputPartition):
+    """Ranges (path, start, stop) that a task reads, of about the wanted size together."""
 
+    parts: list[tuple[str, int, int]]
 
-def _cut(files: list[tuple[str, int]], range_bytes: int) -> list[ByteRange]:
+
+def _cut(files: list[tuple[str, int]], range_bytes: int) -> list[ByteRanges]:
+    """Large files in ranges, small ones together: the number of tasks follows the bytes and not the files."""
     step = range_bytes // ROW.itemsize * ROW.itemsize
     for path, size in files:
         if size % ROW.itemsize:
             raise ValueError(f"{path}: {size} bytes aren't a number of whole rows")
-    return [ByteRange(path, b, min(b + step, size)) for path, size in files for b in range(0, size, step)]
+    tasks, held = [], 0
+    for path, size in files:
+        for start in range(0, size, step):
+            stop = min(start + step, size)
+            if not tasks or held + stop - start > range_bytes:
+                tasks.append(ByteRanges([]))
+                held = 0
+            tasks[-1].parts.append((path, start, stop))
+            held += stop - start
+    return tasks
 
 
 class RowBinaryFormat(DataSource):
@@ -302,18 +312,19 @@ class RowBinaryFormat(DataSource):
         return _Writer(self.options)
 
 
-def _read(part: ByteRange) -> Iterator[pa.RecordBatch]:
-    yield from _decoded(opened(part.path, part.start, part.stop), 2)
+def _read(task: ByteRanges) -> Iterator[pa.RecordBatch]:
+    for path, start, stop in task.parts:
+        yield from _decoded(opened(path, start, stop), 2)
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.range_bytes = options["path"], int(options.get("rangeBytes", RANGE_BYTES))
 
-    def partitions(self) -> list[ByteRange]:
+    def partitions(self) -> list[ByteRanges]:
         return _cut([(f.path, f.size) for f in listed(self.path) if f.path.endswith(DONE)], self.range_bytes)
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
         return _read(partition)
 
 
@@ -335,17 +346,17 @@ class _StreamReader(DataSourceStreamReader):
         self.newest = max([self.newest, *(key for key, *_ in self._files())])
         return {"last": self.newest}
 
-    def partitions(self, start: dict, end: dict) -> list[ByteRange]:
+    def partitions(self, start: dict, end: dict) -> list[ByteRanges]:
         return _cut([(path, size) for key, path, size in sorted(self._files()) if start["last"] < key <= end["last"]], self.range_bytes)
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
         return _read(partition)
 
 
 @dataclass
 class _Written(WriterCommitMessage):
-    #: File names, of data and its sidecar each.
-    names: list[str]
+    #: Names of data files as staged and as committed; each has its sidecar.
+    names: list[tuple[str, str]]
 
 
 class _Writer(DataSourceArrowWriter):
@@ -358,22 +369,25 @@ class _Writer(DataSourceArrowWriter):
         self.job = uuid.uuid4().hex
         self.staging = f"{self.path}/_staging-{self.job}"
 
-    def _put(self, task: str, k: int, rows: np.ndarray) -> str:
-        name = f"batch_{self.job}_{task}_{k}_rows{len(rows)}{DONE}"
-        data = rows.tobytes()
+    def _meta(self, n: int) -> bytes:
         created = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(time.time() + OFFSET_S))
-        meta = {"schema_version": 2, "created_time": created, "table_name": self.table, "rows": len(rows), "bytes": len(data), "format": "RowBinary", "error": self.reason}
-        fs, at = place(self.staging)
-        fs.create_dir(at, recursive=True)
-        for end, content in (("", data), (SIDECAR_SUFFIX, json.dumps(meta).encode())):
-            with fs.open_output_stream(f"{at}/{name}{end}") as out:
-                out.write(content)
-        return name
+        return json.dumps({"schema_version": 2, "created_time": created, "table_name": self.table, "rows": n, "bytes": n * ROW.itemsize, "format": "RowBinary", "error": self.reason}).encode()
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         # A name of its own for every attempt: a task that runs twice leaves files that no message names.
         task, names = uuid.uuid4().hex[:12], []
-        held, n = [], 0
+        fs, at = place(self.staging)
+        fs.create_dir(at, recursive=True)
+        # Rows go to the open file as they come: a task holds a batch of them, whatever the size of a file.
+        out, n = None, 0
+
+        def close() -> None:
+            out.close()
+            staged = f"{task}_{len(names)}"
+            with fs.open_output_stream(f"{at}/{staged}{SIDECAR_SUFFIX}") as beside:
+                beside.write(self._meta(n))
+            names.append((staged, f"batch_{self.job}_{staged}_rows{n}{DONE}"))
+
         for batch in iterator:
             rows = np.empty(batch.num_rows, ROW)
             for c in SESSION_COLUMNS:
@@ -381,21 +395,25 @@ class _Writer(DataSourceArrowWriter):
                 if column.null_count:
                     raise ValueError(f"{c} has no value")
                 rows[c] = column.cast(pa.int64()).to_numpy() // 1_000_000 if c in _TIMES else column.to_numpy()
-            held.append(rows)
-            n += len(rows)
-            while n >= self.rows:
-                rows = np.concatenate(held)
-                names.append(self._put(task, len(names), rows[: self.rows]))
-                held, n = [rows[self.rows :]], n - self.rows
+            begin = 0
+            while begin < len(rows):
+                if not n:
+                    out = fs.open_output_stream(f"{at}/{task}_{len(names)}")
+                part = rows[begin : begin + self.rows - n]
+                out.write(part.tobytes())
+                begin, n = begin + len(part), n + len(part)
+                if n == self.rows:
+                    close()
+                    n = 0
         if n:
-            names.append(self._put(task, len(names), np.concatenate(held)))
+            close()
         return _Written(names)
 
     def commit(self, messages: list[_Written | None]) -> None:
         (fs, staged), (_, to) = place(self.staging), place(self.path)
-        for name in (name for m in messages if m for name in m.names):
+        for own, name in (pair for m in messages if m for pair in m.names):
             for end in (SIDECAR_SUFFIX, ""):
-                fs.move(f"{staged}/{name}{end}", f"{to}/{name}{end}")
+                fs.move(f"{staged}/{own}{end}", f"{to}/{name}{end}")
         self.abort(messages)
 
     def abort(self, messages: list[_Written | None]) -> None:

@@ -2,6 +2,8 @@ import datetime
 import struct
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -287,3 +289,23 @@ def test_files_are_walked_by_many_tasks(spark, tmp_path):
     files = spark.read.format("binaryFile").load(f"file://{tmp_path}/b").select("path", "length")
     for ranges in (rowbinary.ranges_of(files, 1), packets.capture_ranges(files)):
         assert ranges.select(F.spark_partition_id().alias("task")).distinct().count() > 4
+
+
+def test_tasks_of_a_stream_follow_bytes_and_not_files():
+    tasks = rowbinary._cut([(f"f{k}", 350) for k in range(1000)] + [("large", 35_000)], 7_000)
+    assert len(tasks) == 50 + 5 and sum(stop - start for t in tasks for _, start, stop in t.parts) == 385_000
+    assert all(sum(stop - start for _, start, stop in t.parts) <= 7_000 for t in tasks)
+
+
+def test_the_writer_holds_a_batch_of_rows(tmp_path):
+    """A file of many batches is written as they come."""
+    import resource
+
+    n = 100_000
+    zero = pa.array(np.zeros(n, np.int64))
+    batch = pa.RecordBatch.from_arrays([zero.cast(pa.timestamp("us", "UTC")) if c in ("start_time", "end_time") else zero for c in SESSION_COLUMNS], names=SESSION_COLUMNS)
+    writer = rowbinary._Writer({"path": f"file://{tmp_path}/b", "rowsPerBatch": 10**9})
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    writer.commit([writer.write(batch for _ in range(120))])
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 120_000  # KB; the file has 420 MB
+    assert sorted(p.stat().st_size for p in (tmp_path / "b").iterdir() if p.name.endswith(".done")) == [120 * n * 35]
