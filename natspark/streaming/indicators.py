@@ -1,7 +1,7 @@
 """Live indicators: the windows before each tick as they were known at it, for every host, silent ones too.
 
-State of a host: a map from cohort second to the events of that second, summed by kind and by the second in which they were
-done, and the next tick. A tick is due when the watermark has passed it: all events done by then have come, in whatever
+State of a host: a map from cohort second, of those at which windows may begin, to the events from it to the next, summed by
+kind and by the second in which they were done, and the next tick. A tick is due when the watermark has passed it: all events done by then have come, in whatever
 order and micro-batches, so results don't depend on either. A timer stands at the next tick, and fires for hosts
 without events as well. Seconds that no later window reaches are dropped, which bounds the state by the longest window
 and the watermark's delay.
@@ -10,6 +10,7 @@ and the watermark's delay.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import gcd
 
 import numpy as np
 import pandas as pd
@@ -24,23 +25,35 @@ KINDS = ("received", "parsed", "inserted", "dropped")
 INDICATORS = "host string, alert string, tick timestamp, window_start timestamp, indicator double, numerator bigint, denominator bigint, valid boolean"
 #: What is kept of an event: when it was done, its kind by place in ``KINDS``, and sums.
 CELL = np.dtype([("done", "<i8"), ("kind", "<i8"), ("packets", "<i8"), ("rows", "<i8")])
+#: New events that are summed at a time.
+HELD = 1_000_000
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _added(old: np.ndarray, new: np.ndarray) -> np.ndarray:
     """Cells of one second, one for each moment and kind."""
     both = np.concatenate([old, new])
-    keys, place = np.unique(both[["done", "kind"]], return_inverse=True)
-    out = np.zeros(len(keys), CELL)
-    out["done"], out["kind"] = keys["done"], keys["kind"]
-    for c in ("packets", "rows"):
-        np.add.at(out[c], place, both[c])
-    return out
+    return _summed(np.zeros(len(both), np.int64), both)[1]
+
+
+def _summed(second: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells with their seconds, one for each second, moment and kind, in this order."""
+    order = np.lexsort((cells["kind"], cells["done"], second))
+    second, cells = second[order], cells[order]
+    new = np.ones(len(cells), bool)
+    new[1:] = (second[1:] != second[:-1]) | (cells["done"][1:] != cells["done"][:-1]) | (cells["kind"][1:] != cells["kind"][:-1])
+    out, begin = cells[new], np.flatnonzero(new)
+    if len(begin):
+        for c in ("packets", "rows"):
+            out[c] = np.add.reduceat(cells[c], begin)
+    return second[new], out
 
 
 class Indicators(StatefulProcessor):
     def __init__(self, window_s: int, step_s: int, sla_s: int, min_packets: int, min_rows: int):
         self.window, self.step, self.sla, self.min_packets, self.min_rows = window_s, step_s, sla_s, min_packets, min_rows
+        #: Windows begin and end at multiples of it, so seconds between two are one in the state.
+        self.grain = gcd(window_s, step_s, sla_s)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -49,7 +62,7 @@ class Indicators(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         tick, started = self.clock.get() if self.clock.exists() else (None, False)
-        first = tick
+        first, new, n = tick, [], 0
         for frame in rows:
             frame = frame[frame["kind"].isin(KINDS)].dropna(subset=["second", "done"])
             if not len(frame):
@@ -60,10 +73,19 @@ class Indicators(StatefulProcessor):
             cells = np.zeros(len(frame), CELL)
             cells["done"], cells["packets"], cells["rows"] = frame["done"], frame["packets"].fillna(0), frame["rows"].fillna(0)
             cells["kind"] = frame["kind"].map(KINDS.index)
-            of = frame["second"].to_numpy(np.int64)
-            for second in np.unique(of).tolist():
-                held = np.frombuffer(self.seconds.getValue((second,))[0], CELL) if self.seconds.containsKey((second,)) else np.zeros(0, CELL)
-                self.seconds.updateValue((second,), (_added(held, cells[of == second]).tobytes(),))
+            new.append((frame["second"].to_numpy(np.int64) // self.grain * self.grain, cells))
+            n += len(cells)
+            if n > HELD:
+                new = [_summed(*map(np.concatenate, zip(*new)))]
+                n = 0
+        # A second of the state is read and written once a micro-batch, however many events it has.
+        if new:
+            of, cells = _summed(*map(np.concatenate, zip(*new)))
+            begin = np.flatnonzero(np.diff(of, prepend=of[0] - 1))
+            for second, part in zip(of[begin].tolist(), np.split(cells, begin[1:])):
+                if self.seconds.containsKey((second,)):
+                    part = _added(np.frombuffer(self.seconds.getValue((second,))[0], CELL), part)
+                self.seconds.updateValue((second,), (part.tobytes(),))
         if first is not None and first != tick:
             if tick is not None:
                 self.handle.deleteTimer(tick * 1000)
@@ -74,7 +96,7 @@ class Indicators(StatefulProcessor):
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         tick, _ = self.clock.get()
         last = timerValues.getCurrentWatermarkInMs() // 1000 // self.step * self.step
-        held = {k[0]: np.frombuffer(v[0], CELL) for k, v in self.seconds.iterator()}
+        held = dict(sorted((k[0], np.frombuffer(v[0], CELL)) for k, v in self.seconds.iterator()))
         second = np.repeat(np.array(list(held), np.int64), [len(c) for c in held.values()])
         cells = np.concatenate([*held.values(), np.zeros(0, CELL)])
         out = [row for t in range(tick, last + 1, self.step) for row in self._at(t, second, cells)]
@@ -91,10 +113,11 @@ class Indicators(StatefulProcessor):
         yield frame
 
     def _at(self, tick: int, second: np.ndarray, cells: np.ndarray) -> Iterator[tuple]:
-        known = cells["done"] <= tick
+        """The indicators at a tick; cells stand in the order of their seconds, and only those of a window are looked at."""
 
         def total(kind: str, value: str, begin: int) -> int:
-            return int(cells[value][known & (cells["kind"] == KINDS.index(kind)) & (second >= begin) & (second < begin + self.window)].sum())
+            inside = cells[slice(*np.searchsorted(second, (begin, begin + self.window)))]
+            return int(inside[value][(inside["done"] <= tick) & (inside["kind"] == KINDS.index(kind))].sum())
 
         def row(alert: str, begin: int, numerator: int, denominator: int, least: int) -> tuple:
             return alert, tick, begin, numerator * 100.0 / denominator if denominator else 0.0, numerator, denominator, denominator >= least

@@ -135,3 +135,43 @@ def test_the_newest_line_of_a_minute(spark):
     }
     shown = telemetry.latest_metrics_at(metrics, asked, shown=["total_received", "queue_packet"]).collect()
     assert len(shown) == 2 * 5 and {r.value for r in shown if r.name == "queue_packet"} == {None}
+
+
+class _State(dict):
+    """A map and a value of state that count what is asked of them."""
+
+    calls = 0
+
+    def containsKey(self, k):
+        self.calls += 1
+        return k in self
+
+    def getValue(self, k):
+        self.calls += 1
+        return self[k]
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self[k] = v
+
+
+def test_a_micro_batch_touches_each_place_of_the_state_once():
+    """However many frames its events come in; sums stay exact when many are summed on the way."""
+    import numpy as np
+    import pandas as pd
+
+    seconds, clock, rng = _State(), [], np.random.default_rng(1)
+    p = indicators.Indicators(60, 10, 60, 5, 5)
+    p.seconds = seconds
+    p.clock = type("Clock", (), {"exists": lambda self: False, "update": lambda self, v: clock.append(v)})()
+    p.handle = type("Handle", (), {"registerTimer": lambda self, at: None})()
+    n = 50_000
+    frames = [pd.DataFrame({"kind": rng.choice(["received", "parsed"], n), "second": T0 + rng.integers(0, 600, n), "done": T0 + rng.integers(600, 700, n), "packets": 1, "rows": 2}) for _ in range(24)]
+    list(p.handleInputRows(("h",), iter(frames), None))
+    assert len(seconds) == 60 and seconds.calls <= 3 * 60
+    cells = np.concatenate([np.frombuffer(v[0], indicators.CELL) for v in seconds.values()])
+    assert cells["packets"].sum() == 24 * n and cells["rows"].sum() == 48 * n and len(cells) <= 60 * 2 * 100
+    every = pd.concat(frames)
+    for second, kind in ((T0 + 20, 0), (T0 + 590, 1)):
+        held = np.frombuffer(seconds[(second,)][0], indicators.CELL)
+        assert held["packets"][held["kind"] == kind].sum() == ((every["second"] // 10 * 10 == second) & (every["kind"] == indicators.KINDS[kind])).sum()
