@@ -278,7 +278,7 @@ def _packet_rows(packets: DataFrame) -> DataFrame:
 @query(_PACKET_ROWS)
 def read_packets_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "packets-json")
-    packet_files.packets_to_json(inputs.packets(spark, sf_dir)).write.json(path)
+    packet_files.write_packets_json(inputs.packets(spark, sf_dir), path)
     return _packet_rows(packet_files.read_packets_jsonl(spark, path))
 
 

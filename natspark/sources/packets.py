@@ -152,6 +152,12 @@ def packets_to_json(packets: DataFrame) -> DataFrame:
     )
 
 
+def write_packets_json(packets: DataFrame, folder: str, packets_per_file: int = 100_000) -> None:
+    """Add packets to a folder as JSON lines, compressed, as payloads in hex are mostly zeros. A file is read by one task, so
+    none has more than so many packets."""
+    packets_to_json(packets).write.mode("append").option("compression", "lz4").option("maxRecordsPerFile", packets_per_file).json(folder)
+
+
 def write_captures(packets: DataFrame, folder: str, packets_per_file: int = 20_000, more: bytes = b"") -> int:
     """Write framed captures of some packets each, with the bytes ``more`` at their end, and return their number. Each is
     written by the task that makes it."""
