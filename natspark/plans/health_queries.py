@@ -16,7 +16,7 @@ from natspark.schema import SESSION_COLUMNS
 from natspark.sources import alerts as alert_files
 from natspark.sources import packets as packet_files
 from natspark.sources import rowbinary
-from natspark.sources.files import write_files
+from natspark.sources.files import listed, write_files
 from natspark.sources.runs import RunTable
 from natspark.sources.shared import new_path, stored
 from natspark.sources.spool import list_spool
@@ -613,7 +613,7 @@ def write_alert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out = new_path(spark, "captures"), new_path(spark, "ingested")
-    packet_files.packets_to_json(inputs.packets(spark, sf_dir)).repartition(4).write.json(source)
+    packet_files.write_packets_json(inputs.packets(spark, sf_dir), source)
     stream = packet_files.stream_packets_jsonl(spark, source)
     ingest.stream_ingest(stream, out, new_path(spark, "ingest-state"), "node-1", once=True).awaitTermination()
     read = spark.read.parquet(out)
@@ -624,12 +624,13 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches bounded by bytes, whose files are merged between two runs of the stream and after them."""
     source, out, state = new_path(spark, "captures"), new_path(spark, "ingested"), new_path(spark, "ingest-state")
-    packets = stored(packet_files.packets_to_json(inputs.packets(spark, sf_dir)), "packets-json")
-    part = F.pmod(F.xxhash64("raw_hex", "received_time"), F.lit(2))
+    packets = inputs.packets(spark, sf_dir)
+    part = F.pmod(F.xxhash64("payload", "received_s"), F.lit(2))
     for k in (0, 1):
-        packets.where(part == k).repartition(4).write.mode("append").json(source)
-        # No file is so small: each micro-batch takes one.
-        stream = packet_files.stream_packets_jsonl(spark, source, bytes_per_trigger=1)
+        packet_files.write_packets_json(packets.where(part == k), source)
+        # Some four micro-batches a run, and more of what is larger than 1 GB.
+        written = sum(f.size for f in listed(source)) // (k + 1)
+        stream = packet_files.stream_packets_jsonl(spark, source, bytes_per_trigger=min(max(1, written // 4), 256 << 20))
         ingest.finish(ingest.SessionSink(out, "captures", "node-1").writer(stream, state))
         ingest.compact(spark, out)
     table = RunTable(spark, out)
@@ -654,7 +655,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every packet arrives twice, out of order."""
     source = new_path(spark, "twice")
     packets = inputs.packets(spark, sf_dir).withColumn("received_time", F.timestamp_seconds("received_s"))
-    packets.unionByName(packets).repartition(3).write.parquet(source)
+    # Dealt by a hash, so that both copies are far apart, in as many parts as the bytes fill.
+    twice = packets.withColumn("copy", F.lit(0)).unionByName(packets.withColumn("copy", F.lit(1)))
+    twice.withColumn("part", F.xxhash64("packet_id", "copy")).hint("rebalance", "part").drop("copy", "part").write.parquet(source)
     stream = spark.readStream.schema(packets.schema).parquet(source)
     return _run(ingest.stream_dedup(stream, "4 days"), new_path(spark, "deduped"), new_path(spark, "deduped-state")).groupBy("received_s").agg(F.count(F.lit(1)).alias("packets"))
 
@@ -718,8 +721,9 @@ def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = F.unix_seconds("done_time") - S
     early = (done < 1500) | ((done < 2500) & (done % 2 == 0))
     for some in (events.where(early), events.where(~early), last):
-        some.repartition(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        # Each run is one micro-batch, over all its files: they are in no order, and later micro-batches of a run would be late.
+        some.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
         found = _run(indicators.stream_indicators(stream, min_packets=30, min_rows=100, delay_s=_DELAY), out, state)
     return _seconds(found, "tick", "window_start")
 

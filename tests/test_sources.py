@@ -309,3 +309,12 @@ def test_the_writer_holds_a_batch_of_rows(tmp_path):
     writer.commit([writer.write(batch for _ in range(120))])
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 120_000  # KB; the file has 420 MB
     assert sorted(p.stat().st_size for p in (tmp_path / "b").iterdir() if p.name.endswith(".done")) == [120 * n * 35]
+
+
+def test_packets_are_written_in_small_files(spark, tmp_path):
+    """A file of JSON lines has so many packets at most, however few tasks write."""
+    made = packet_rows(spark, [bytes([k]) * 50 for k in range(95)]).coalesce(1)
+    packets.write_packets_json(made, f"file://{tmp_path}/j", packets_per_file=10)
+    files = spark.read.text(f"file://{tmp_path}/j").groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 10 and max(r["count"] for r in files) == 10
+    assert {bytes(r.payload) for r in packets.read_packets_jsonl(spark, f"file://{tmp_path}/j").collect()} == {bytes([k]) * 50 for k in range(95)}
