@@ -7,8 +7,9 @@ ends, the fullest are filled with pieces of the emptiest, and the last part goes
 which need no padding. The next window number of a partition starts from the partition's number.
 
 Defined cases: a null or empty text is one end id; a null doc_id is kept as null; repeated rows are packed once each;
-an empty table gives no pieces; extra columns are ignored; a text longer than a window fills several, and a very long
-one is encoded whole, alone in its block.
+an empty table gives no pieces; extra columns are ignored; a text longer than a window fills several. Texts go to Python in
+parts of about ``PART_CHARS`` that end before white space, which no token spans, so that a batch of rows, which the executor
+and its worker hold whole, is small however long its texts are; only the ids of a document come together.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WINDOW = 2048
 OPEN_WINDOWS = 8192
 #: Bytes of text encoded at a time.
 BLOCK_BYTES = 3 << 19
+#: Characters of the parts of a text, up to the end of a word.
+PART_CHARS = 1000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -144,23 +147,38 @@ class SumOfSquares:
         return out
 
 
+def parts(docs: DataFrame) -> DataFrame:
+    """``doc_id, part, last``: the texts cut before white space, in order; a text of no character has one part, which is null."""
+    cut = F.regexp_extract_all(F.col("text").cast("string"), F.lit(rf"(?s).{{1,{PART_CHARS}}}[^\x20\x09-\x0D]*"), F.lit(0))
+    picked = docs.select(F.col("doc_id").cast("long"), cut.alias("parts"))
+    placed = picked.select("doc_id", F.size("parts").alias("n"), F.posexplode_outer("parts").alias("at", "part"))
+    return placed.select("doc_id", "part", F.coalesce(F.col("at") + 1 == F.col("n"), F.lit(True)).alias("last"))
+
+
 def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """One row per piece (see :data:`PIECES`); ``tokenizer`` is a tokenizer file, by default the box's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         packer = SumOfSquares(window, first=TaskContext.get().partitionId() << 40)
+        # Ids of a document's parts so far.
+        held: list[np.ndarray] = []
         for batch in batches:
-            for block in blocks(batch, "text", BLOCK_BYTES):
-                ids, n = enc.encode(block.column("text"), end_id)
+            for block in blocks(batch, "part", BLOCK_BYTES):
+                ids, n = enc.encode(block.column("part"), end_id)
                 to = np.cumsum(n)
-                for doc_id, a, b in zip(block.column("doc_id").to_pylist(), (to - n).tolist(), to.tolist()):
-                    packer.add(doc_id, ids[a:b])
+                for doc_id, last, a, b in zip(*(block.column(c).to_pylist() for c in ("doc_id", "last")), (to - n).tolist(), to.tolist()):
+                    if not last:
+                        held.append(ids[a : b - 1].copy())
+                    elif held:
+                        packer.add(doc_id, np.concatenate([*held, ids[a:b]]))
+                        held = []
+                    else:
+                        packer.add(doc_id, ids[a:b])
             if (out := packer.take()) is not None:
                 yield out
         packer.settle()
         if (out := packer.take()) is not None:
             yield out
 
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return picked.mapInArrow(run, PIECES)
+    return parts(docs).mapInArrow(run, PIECES)

@@ -34,20 +34,19 @@ _SIGN[list(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")] = _LETTER[list(b"abcdefghijklmnopqr
 class WordEncoder:
     def __init__(self, path: str, remembered: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.path, self.remembered = path, remembered
         self.tokenizer = Tokenizer.from_file(path)
-        #: The same tokenizer for words that its normalizer and its pattern leave as they are.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
+        #: The same model, held once, for words that the normalizer and the pattern leave as they are.
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.index: dict[str, int] = {"": 0}
         self.pool = np.empty(1 << 20, np.uint32)
-        self.start, self.length, self.uses = (np.zeros(1 << 18, np.int64) for _ in range(3))
+        self.start, self.length, self.uses = (np.zeros(1 << 18, kind) for kind in (np.int64, np.int32, np.int32))
         self.used = 0
 
     def _forget(self) -> None:
@@ -173,22 +172,24 @@ def encoder(path: str | None = None) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _trim() -> None:
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(AttributeError, OSError):  # other C libraries than glibc don't have it
         ctypes.CDLL(None).malloc_trim(0)
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` cut into runs of rows whose texts hold about ``limit`` bytes; a longer text stands alone. After the last
-    one, memory that Arrow and the allocator keep for later goes back to the system: a worker lives on for other stages."""
+    """``batch`` cut into runs of rows whose texts hold about ``limit`` bytes; a longer text stands alone. After each
+    one, memory that Arrow and the allocator keep for later goes back to the system: else what the blocks of a batch
+    leave adds up beside the executor's heap, and a worker lives on for other stages."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin = total = 0
     for i, size in enumerate(sizes):
         if i > begin and total + size > limit:
             yield batch.slice(begin, i - begin)
+            _give_back()
             begin, total = i, 0
         total += int(size)
     if len(sizes) > begin:
         yield batch.slice(begin)
-    pa.default_memory_pool().release_unused()
-    _trim()
+    _give_back()

@@ -157,3 +157,33 @@ def test_words_with_signs_encode_as_whole_texts():
 def test_blocks_hold_all_rows():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * k for k in (5, 0, 50, 3, 3)] + [None]})
     assert [len(b) for b in blocks(batch, "text", 8)] == [2, 1, 3]
+
+
+@pytest.mark.parametrize("chars", [1, 40])
+def test_texts_go_in_parts(spark, monkeypatch, chars):
+    """A batch for Python is bounded by its rows: no part is longer than a few words more than it should, and the ids are
+    those of whole texts."""
+    monkeypatch.setattr(packing, "PART_CHARS", chars)
+    made = [(100 + k, prose(3 * k, k), "en", "a") for k in range(30)] + [(200, " ", "en", "a"), (201, " a\n ", "en", "a"), (202, "é\u2003ö 你好\x0bx" * 20, "en", "a")]
+    rows = [r for r in HARD if r[0] is not None and r[0] != 12] + made
+    docs = docs_of(spark, rows).repartition(3)
+    cut = packing.parts(docs).collect()
+    assert sum(r.last for r in cut) == len(rows) and sum(len(r.part or "") for r in cut) == sum(len(r[1] or "") for r in rows)
+    assert all(len(r.part) <= chars + 20 for r in cut if r.doc_id >= 100 and r.part)
+    check(packing.pack(docs).collect(), {r[0]: ids_of(r[1]) for r in rows})
+
+
+def test_memory_goes_back_after_each_block(monkeypatch):
+    given = []
+    monkeypatch.setattr("natspark.llm.tokens._give_back", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * k for k in (5, 0, 50, 3, 3)]})
+    for k, _ in enumerate(blocks(batch, "text", 8)):
+        assert len(given) == k
+    assert len(given) == 3
+
+
+def test_the_model_is_held_once():
+    """A second copy of its entries took 16 MB of each worker."""
+    enc = WordEncoder(encoder().path)
+    enc.tokenizer.model.end_of_word_suffix = "?"
+    assert enc.plain.model.end_of_word_suffix == "?"
