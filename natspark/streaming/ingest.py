@@ -10,6 +10,7 @@ from natspark.functions.times import event_date
 from natspark.operators.decode import decode_packets
 from natspark.schema import PARTITIONS, SESSIONS
 from natspark.sources.runs import RunTable
+from natspark.streaming.indicators import PROVIDER
 
 INGESTED = f"{SESSIONS}, event_date date, node string"
 
@@ -63,6 +64,12 @@ def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> in
 
 
 def stream_dedup(packets: DataFrame, delay: str = "10 minutes", event_time: str = "received_time") -> DataFrame:
-    """Packets without the repeats that ambiguous retries leave within ``delay``, by router and payload."""
-    keyed = packets.withColumn("packet_hash", F.sha2(F.concat_ws("|", F.hex("payload"), F.col("router_ip").cast("string"), F.col("received_s").cast("string")), 256))
+    """Packets without the repeats that ambiguous retries leave within ``delay``, by router and payload. The state has 16 bytes of
+    a packet's SHA-256 (``packet_hash``) and a time. Sets the session's state store to RocksDB, which holds it on disk, and doesn't count its rows."""
+    conf = packets.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    # A count takes one more read for each write.
+    conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", False)
+    whole = F.sha2(F.concat_ws("|", F.hex("payload"), F.col("router_ip").cast("string"), F.col("received_s").cast("string")), 256)
+    keyed = packets.withColumn("packet_hash", F.unhex(F.substring(whole, 1, 32)))
     return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["packet_hash"])

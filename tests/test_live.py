@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from natspark.operators import incidents, telemetry
+from natspark.plans import health_queries, inputs
 from natspark.sources.alerts import VersionSink, merge_versions, read_versions
 from natspark.streaming import indicators, ingest
 
@@ -175,3 +176,15 @@ def test_a_micro_batch_touches_each_place_of_the_state_once():
     for second, kind in ((T0 + 20, 0), (T0 + 590, 1)):
         held = np.frombuffer(seconds[(second,)][0], indicators.CELL)
         assert held["packets"][held["kind"] == kind].sum() == ((every["second"] // 10 * 10 == second) & (every["kind"] == indicators.KINDS[kind])).sum()
+
+
+def test_dedup_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    """Packets that arrive twice are on disk once, with a short key in the state and what is counted."""
+    monkeypatch.setattr(health_queries, "new_path", lambda spark, name: f"file://{tmp_path}/{name}")
+    sf_dir = "/root/testdata/sf0.01"
+    got = health_queries.stream_dedup(spark, sf_dir).collect()
+    packets = inputs.packets(spark, sf_dir)
+    distinct = packets.select("received_s", "router_ip", "payload").distinct()
+    assert {tuple(r) for r in got} == {tuple(r) for r in distinct.groupBy("received_s").count().collect()}
+    held = sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file())
+    assert held < 150 * packets.count()
